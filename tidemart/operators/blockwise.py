@@ -30,7 +30,7 @@ BLOCK_QUERIES = 1_024
 BLOCK_CANDIDATES = 50_000
 TILE = 256
 
-HITS = T.StructType.fromDDL("query_id STRING, product_id STRING, score DOUBLE")
+HITS = T.StructType().add("query_id", "string").add("product_id", "string").add("score", "double")
 _ARROW_HITS = pa.schema([("query_id", pa.string()), ("product_id", pa.string()), ("score", pa.float64())])
 
 

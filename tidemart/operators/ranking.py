@@ -43,8 +43,8 @@ def product_signals(events: DataFrame, orders: DataFrame, as_of: str, days: int
 
 
 def popularity(signals: DataFrame) -> DataFrame:
-    """Weighted log shares of the window's maxima, each read as a scalar subquery."""
-    ceilings = {c: signals.agg(F.max(c)).scalar() for c in INTENT}
+    """Weighted log shares of the window's maxima, which one scalar subquery finds."""
+    ceilings = signals.agg(F.struct(*[F.max(c).alias(c) for c in INTENT])).scalar()
     score = sum((F.lit(w) * log_share(F.col(c), ceilings[c]) for c, w in INTENT.items()), F.lit(0.0))
     return signals.withColumn("popularity_score", unit_interval(score))
 

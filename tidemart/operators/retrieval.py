@@ -59,7 +59,7 @@ def search_products(
     if category in categories:
         found = found.where(F.col("category") == category)
     if query:
-        found = found.where(F.lower("name").like(like_pattern(F.lit(query), escape)))
+        found = found.where(F.like(F.lower("name"), like_pattern(F.lit(query), escape)))
     if max_price is not None and max_price > 0:
         found = found.where(F.col("price") <= float(max_price))
     columns = ["product_id", "name", "category", "price", "currency"]

@@ -12,45 +12,52 @@ PRODUCT_TRACKED = ("name", "category", "subcategory", "brand", "price", "currenc
 ORDER_KEYS = ("order_id", "user_id", "session_id_silver", "country", "payment_method")
 PRODUCT_CATEGORIES = ("electronics", "appliances", "furniture")
 
-EVENT = T.StructType.fromDDL("""
-    event_id STRING NOT NULL, event_type STRING NOT NULL, event_ts TIMESTAMP NOT NULL,
-    user_id STRING, session_id STRING NOT NULL, device STRING, user_agent STRING, ip STRING,
-    country STRING, page_url STRING, referrer STRING, product_id STRING, category STRING,
-    price DOUBLE, quantity INT, cart_id STRING, order_id STRING, payment_method STRING,
-    discount_code STRING, properties MAP<STRING, STRING>, schema_version STRING NOT NULL
-""")
-
-USER = T.StructType.fromDDL("""
-    user_id STRING NOT NULL, email STRING, first_name STRING, last_name STRING, country STRING,
-    city STRING, signup_ts TIMESTAMP NOT NULL, marketing_opt_in BOOLEAN, loyalty_tier STRING,
-    updated_ts TIMESTAMP NOT NULL, schema_version STRING NOT NULL
-""")
-
-PRODUCT = T.StructType.fromDDL("""
-    product_id STRING NOT NULL, sku STRING NOT NULL, name STRING NOT NULL,
-    category STRING NOT NULL, subcategory STRING, brand STRING, price DOUBLE NOT NULL,
-    currency STRING NOT NULL, active BOOLEAN NOT NULL, updated_ts TIMESTAMP NOT NULL,
-    schema_version STRING NOT NULL
-""")
-
-ORDER_ITEM = T.StructType.fromDDL("""
-    product_id STRING NOT NULL, sku STRING, category STRING, quantity INT NOT NULL,
-    unit_price DOUBLE NOT NULL
-""")
-
-ORDER = T.StructType.fromDDL("""
-    order_id STRING NOT NULL, user_id STRING NOT NULL, session_id STRING,
-    order_ts TIMESTAMP NOT NULL, status STRING NOT NULL, currency STRING NOT NULL,
-    subtotal DOUBLE NOT NULL, tax DOUBLE NOT NULL, shipping DOUBLE NOT NULL,
-    total DOUBLE NOT NULL, payment_method STRING, country STRING
-""").add("items", T.ArrayType(ORDER_ITEM), False).add("schema_version", "string", False)
-
-INGEST_COLUMNS = T.StructType.fromDDL("_ingest_ts TIMESTAMP NOT NULL, _source_file STRING")
-
-EMBEDDING = T.StructType.fromDDL("""
-    product_id STRING, doc_text STRING, embedding ARRAY<FLOAT>,
-    embedding_model_name STRING, embedding_version STRING, embed_ts STRING
-""")
+TEXT, TIME, MONEY, WHOLE, FLAG = T.StringType(), T.TimestampType(), T.DoubleType(), T.IntegerType(), T.BooleanType()
+
+
+def pinned(required: str, **types: T.DataType) -> T.StructType:
+    """A schema from name=type pairs; the names listed in ``required`` are NOT NULL."""
+    needed = set(required.split())
+    return T.StructType([T.StructField(name, kind, name not in needed) for name, kind in types.items()])
+
+
+EVENT = pinned(
+    "event_id event_type event_ts session_id schema_version",
+    event_id=TEXT, event_type=TEXT, event_ts=TIME, user_id=TEXT, session_id=TEXT, device=TEXT, user_agent=TEXT,
+    ip=TEXT, country=TEXT, page_url=TEXT, referrer=TEXT, product_id=TEXT, category=TEXT, price=MONEY, quantity=WHOLE,
+    cart_id=TEXT, order_id=TEXT, payment_method=TEXT, discount_code=TEXT, properties=T.MapType(TEXT, TEXT),
+    schema_version=TEXT,
+)
+
+USER = pinned(
+    "user_id signup_ts updated_ts schema_version",
+    user_id=TEXT, email=TEXT, first_name=TEXT, last_name=TEXT, country=TEXT, city=TEXT, signup_ts=TIME,
+    marketing_opt_in=FLAG, loyalty_tier=TEXT, updated_ts=TIME, schema_version=TEXT,
+)
+
+PRODUCT = pinned(
+    "product_id sku name category price currency active updated_ts schema_version",
+    product_id=TEXT, sku=TEXT, name=TEXT, category=TEXT, subcategory=TEXT, brand=TEXT, price=MONEY, currency=TEXT,
+    active=FLAG, updated_ts=TIME, schema_version=TEXT,
+)
+
+ORDER_ITEM = pinned(
+    "product_id quantity unit_price", product_id=TEXT, sku=TEXT, category=TEXT, quantity=WHOLE, unit_price=MONEY
+)
+
+ORDER = pinned(
+    "order_id user_id order_ts status currency subtotal tax shipping total items schema_version",
+    order_id=TEXT, user_id=TEXT, session_id=TEXT, order_ts=TIME, status=TEXT, currency=TEXT, subtotal=MONEY, tax=MONEY,
+    shipping=MONEY, total=MONEY, payment_method=TEXT, country=TEXT, items=T.ArrayType(ORDER_ITEM), schema_version=TEXT,
+)
+
+INGEST_COLUMNS = pinned("_ingest_ts", _ingest_ts=TIME, _source_file=TEXT)
+
+# As staged: the time of embedding is still text.
+EMBEDDING = pinned(
+    "product_id", product_id=TEXT, doc_text=TEXT, embedding=T.ArrayType(T.FloatType()), embedding_model_name=TEXT,
+    embedding_version=TEXT, embed_ts=TEXT,
+)
 
 
 def loosened(schema: T.StructType) -> T.StructType:

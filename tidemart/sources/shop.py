@@ -99,19 +99,25 @@ _ORDER = [
 ]
 
 
-def second_delivery(first: DataFrame) -> DataFrame:
-    later = F.col("_ingest_ts") + F.make_dt_interval(hours=F.lit(1))
+def _delivered(first: DataFrame, copy) -> DataFrame:
+    """Copy 0 is the first delivery, copy 1 the second."""
+    at = F.col("_ingest_ts") + F.make_dt_interval(hours=copy)
     return first.withColumns({
-        "price": F.col("price") + 1.0,
-        "_ingest_ts": later,
-        "_ingest_date": F.to_date(later),
-        "_source_file": F.lit("second"),
+        "price": F.col("price") + copy,
+        "_ingest_ts": at,
+        "_ingest_date": F.to_date(at),
+        "_source_file": F.when(copy == 0, "first").otherwise("second"),
     })
 
 
+def second_delivery(first: DataFrame) -> DataFrame:
+    return _delivered(first, F.lit(1))
+
+
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = first_delivery(spark, sf_dir)
-    return first.unionByName(second_delivery(first))
+    """Both deliveries from one scan."""
+    copies = first_delivery(spark, sf_dir).withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    return _delivered(copies, F.col("_copy")).drop("_copy")
 
 
 def line_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,7 +215,8 @@ class VersionedTable:
         paths = [f"{self.path}/v={v}/{f}".rstrip("/") for f in folders for v in pointer["folders"][f]]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
+        # Without a base path of their own, folders of several versions would show v as a column.
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths).select(*schema.names)
 
     def read(self, version: int | None = None, **expected) -> DataFrame:
         """The latest (or a kept) version; ``expected`` details must match what was published."""
