@@ -793,13 +793,12 @@ def medallion_refresh(spark, sf_dir):
 
 @query
 def backfill_window(spark, sf_dir):
-    """Silver from the first delivery, then a replay of the last ten days of both deliveries."""
-    first, second = _first_and_second(spark, sf_dir)
-    bronze = first.unionByName(second)
+    """Silver from what was ingested before the 20th, then a replay of the days from there on."""
+    bronze = shop.bronze_events(spark, sf_dir)
     table = tables.VersionedTable(spark, scratch_path(spark, "silver"), ["event_date"])
-    table.publish(sessions.silver_events(first.where("_ingest_ts < TIMESTAMP '2024-01-20'"), 720))
+    table.publish(sessions.silver_events(bronze.where("_ingest_ts < TIMESTAMP '2024-01-20'"), 720))
     rows = sessions.backfill(table.read(), bronze, "2024-01-20", "2024-03-01", 720)
-    table.upsert(rows, ["event_id"], checked_unique=True)
+    table.upsert(rows, ["event_id"])
     return _silver_cols(table.read())
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,31 +17,45 @@ FILE_OPTIONS = {"recursiveFileLookup": "true"}
 WRITE_OPTIONS = {"ignoreNullFields": "false", "timestampFormat": WIRE_TIME}
 
 
-def _absent(typed: str, schema: T.StructType) -> Column:
-    """Names of the pinned fields whose typed value is null."""
-    return F.array_compact(F.array(*[F.when(F.col(f"{typed}.{f.name}").isNull(), F.lit(f.name)) for f in schema]))
+TEXT_MAP = T.MapType(T.StringType(), T.StringType())
+
+
+def _parsed_twice(lines: DataFrame, schema: T.StructType, line: str) -> DataFrame:
+    """``lines`` plus _typed (the pinned fields), _raw (a plain key-value map) and _null (names
+    of pinned fields without a value).
+
+    The explode of one element keeps later filters from being pushed below the parsing, which
+    would repeat it for every field they look at.
+    """
+    both = F.struct(
+        F.from_json(F.col(line), loosened(schema)).alias("typed"), F.from_json(F.col(line), TEXT_MAP).alias("raw")
+    )
+    once = lines.select("*", F.explode(F.array(both)).alias("_json"))
+    null = F.array_compact(F.array(*[F.when(F.col(f"_json.typed.{f.name}").isNull(), F.lit(f.name)) for f in schema]))
+    return once.select(
+        *lines.columns, F.col("_json.typed").alias("_typed"), F.col("_json.raw").alias("_raw"), null.alias("_null")
+    )
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") -> DataFrame:
     """JSON text to the pinned columns plus ``_rescued_data``; other columns pass through.
 
-    Every line is parsed twice: into the pinned schema, and into a plain key-value map.  Keys
-    that are unknown, or whose value does not fit the pinned type, are kept as JSON.
+    Keys that are unknown, or whose value does not fit the pinned type, are kept as JSON; a
+    line that is no JSON object is kept whole.
     """
-    pinned = loosened(schema)
     known = F.array(*[F.lit(f.name) for f in schema])
-    parsed = lines.withColumns({
-        "_typed": F.from_json(F.col(line), pinned),
-        "_raw": F.from_json(F.col(line), T.MapType(T.StringType(), T.StringType())),
-    }).withColumn("_null", _absent("_typed", schema))
+    parsed = _parsed_twice(lines, schema, line)
     stray = F.map_filter(
         F.col("_raw"),
         lambda k, v: ~F.array_contains(known, k) | (v.isNotNull() & F.array_contains(F.col("_null"), k)),
     )
-    rescued = F.when(
-        F.coalesce(F.map_keys("_raw"), F.array()) == F.array().cast("array<string>"),
-        F.when(F.trim(F.col(line)).rlike(r"^\{\s*\}$"), None).otherwise(F.to_json(F.struct(F.col(line).alias("_malformed")))),
-    ).otherwise(F.when(F.size(stray) > 0, F.to_json(stray)))
+    broken = F.coalesce(F.cardinality("_raw"), F.lit(0)) < 1
+    empty = F.col(line).rlike(r"^\s*\{\s*\}\s*$")
+    rescued = (
+        F.when(empty, None)
+        .when(broken, F.to_json(F.struct(F.col(line).alias("_malformed"))))
+        .when(F.cardinality(stray) > 0, F.to_json(stray))
+    )
     passed = [c for c in lines.columns if c != line]
     return parsed.select(*[F.col(f"_typed.{f.name}").alias(f.name) for f in schema], rescued.alias("_rescued_data"), *passed)
 
@@ -87,10 +101,7 @@ def check_contract(posted: DataFrame, batch: str | None = None, line: str = "val
     optional = {"event_id", "schema_version"}
     required = [f.name for f in EVENT if not f.nullable and f.name not in optional]
     known = F.array(*[F.lit(f.name) for f in EVENT])
-    parsed = posted.withColumns({
-        "_typed": F.from_json(F.col(line), loosened(EVENT)),
-        "_raw": F.from_json(F.col(line), T.MapType(T.StringType(), T.StringType())),
-    }).withColumn("_null", _absent("_typed", EVENT))
+    parsed = _parsed_twice(posted, EVENT, line)
     given = F.map_keys(F.map_filter("_raw", lambda _, v: v.isNotNull()))
     size = F.lit(1)
     if batch:

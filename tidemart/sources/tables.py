@@ -274,18 +274,28 @@ class VersionedTable:
 
     def upsert(
         self, source: DataFrame, keys: Sequence[str], update_columns: Sequence[str] | None = None,
-        rules: Iterable[Rule] = (), keep: int = 0, checked_unique: bool = False,
+        rules: Iterable[Rule] = (), keep: int = 0,
     ) -> int:
-        """Idempotent merge; creates the table if absent.  ``rules`` guard the rows written."""
-        if not checked_unique:
-            require_unique(source, keys)
+        """Idempotent merge; creates the table if absent.  ``rules`` guard the rows written.
+
+        The source is written down first: it is computed once, and every step sees the same rows.
+        """
+        staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
+        source.write.parquet(staging)
+        try:
+            return self._merge(self.spark.read.schema(source.schema).parquet(staging), keys, update_columns, rules, keep)
+        finally:
+            fs, p = self._fs(staging)
+            fs.delete(p, True)
+
+    def _merge(self, source: DataFrame, keys: Sequence[str], update_columns, rules: Iterable[Rule], keep: int) -> int:
+        require_unique(source, keys)
         if not self.exists():
             return self.publish(source, rules, keep)
         pointer = self.pointer()
         current = self._read_folders(pointer, sorted(pointer["folders"]))
         hit = self._matched_folders(current, source, keys) if pointer["folders"] else []
-        base = self._read_folders(pointer, hit)
-        result = merged(base, source, keys, update_columns)
+        result = merged(self._read_folders(pointer, hit), source, keys, update_columns)
         version, _ = self._write_version(result, rules)
         folders = {f: list(v) for f, v in pointer["folders"].items() if f not in hit}
         for f in self._folders(version):

@@ -33,7 +33,7 @@ def upsert_stream(
     """
     def merge(batch: DataFrame, _: int) -> None:
         rows = prepare(batch) if prepare else latest_per_key(batch, keys)
-        table.upsert(rows, keys, keep=keep, checked_unique=prepare is None)
+        table.upsert(rows, keys, keep=keep)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**trigger(when)).start()
 
