@@ -1,8 +1,9 @@
-"""Versioned dimensions (SCD2) and point-in-time lookups, cut into time slices.
+"""Versioned dimensions (SCD2) and point-in-time lookups.
 
-A plain window per key would put a key with a third of all rows into one task.  Both
-operators therefore order rows within (key, time slice) and carry what crosses a slice
-border through per-slice summaries, of which a key has one per slice of calendar time.
+A plain window per key would put a key with a third of all rows into one task.  Rows of such
+heavy keys are therefore ordered within (key, time slice), and what crosses a slice border is
+carried through per-slice summaries, of which a key has one per slice of calendar time.  All
+other keys have a single slice and need no summary.
 """
 
 from __future__ import annotations
@@ -12,10 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import fingerprint, time_slice
+from ..functions.columns import fingerprint
 from .events import keyed_rows
-
-DAY = 86_400
+from .heavy import DAY, HEAVY_ROWS, heavy_keys, with_slices
 
 
 def _tracked_state(tracked: Sequence[str], compat_hash: bool) -> Column:
@@ -29,14 +29,40 @@ def _tracked_state(tracked: Sequence[str], compat_hash: bool) -> Column:
     return F.struct(*[F.col(c) for c in tracked])
 
 
+def _slice_borders(steps: DataFrame, key: str, at: str, inner: Column) -> DataFrame:
+    """Per slice of a heavy key: does its first row open a version, how many versions lie
+    before it, and when does the next version after it begin."""
+    slices = steps.where("_heavy").groupBy(key, "_slice").agg(
+        F.min_by("_state", "_pos").alias("_head"),
+        F.max_by("_state", "_pos").alias("_tail"),
+        F.min(at).alias("_head_at"),
+        F.min(F.when(inner, F.col(at))).alias("_inner_at"),
+        F.count_if(inner).alias("_inner_n"),
+    )
+    by_time = Window.partitionBy(key).orderBy("_slice")
+    earlier = by_time.rowsBetween(Window.unboundedPreceding, -1)
+    # Read backwards in time, the next change of a later slice is the last one seen.
+    later = Window.partitionBy(key).orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.lag("_slice").over(by_time).isNull()
+    slices = slices.withColumn("_opens", first | ~F.lag("_tail").over(by_time).eqNullSafe(F.col("_head")))
+    slices = slices.withColumn("_entry", F.when(F.col("_opens"), F.col("_head_at")).otherwise(F.col("_inner_at")))
+    return slices.select(
+        key,
+        "_slice",
+        "_opens",
+        F.sum(F.col("_inner_n") + F.col("_opens").cast("int")).over(earlier).alias("_before"),
+        F.last("_entry", ignorenulls=True).over(later).alias("_next"),
+    )
+
+
 def versions(
     snapshots: DataFrame,
     key: str,
     tracked: Sequence[str],
     at: str = "updated_ts",
-    slice_seconds: int = DAY,
     compat_hash: bool = False,
-    method: str = "slices",
+    heavy_rows: int = HEAVY_ROWS,
+    slice_seconds: int = DAY,
 ) -> DataFrame:
     """Snapshots to versions: a row where the tracked state differs from the one before.
 
@@ -48,12 +74,8 @@ def versions(
     if "_ingest_ts" in rows.columns:
         order.append(F.col("_ingest_ts").asc_nulls_first())
     order.append(F.col("_hash"))
-    state = _tracked_state(tracked, compat_hash)
-    rows = rows.withColumns({"_hash": fingerprint(rows), "_state": state, "_slice": time_slice(F.col(at), slice_seconds)})
-    if method == "window":
-        rows = rows.withColumn("_slice", F.lit(0))
-    elif method != "slices":
-        raise ValueError(f"unknown method {method!r}")
+    rows = rows.withColumns({"_hash": fingerprint(rows), "_state": _tracked_state(tracked, compat_hash)})
+    rows = with_slices(rows, key, at, heavy_keys([(snapshots, key)], heavy_rows), slice_seconds)
 
     in_slice = Window.partitionBy(key, "_slice").orderBy(*order)
     steps = rows.withColumns({
@@ -61,39 +83,12 @@ def versions(
         "_moved": ~F.lag("_state").over(in_slice).eqNullSafe(F.col("_state")),
     })
     inner = (F.col("_pos") > 1) & F.col("_moved")
-
-    if method == "window":
-        carried = steps.withColumns({"_opens": F.lit(True), "_before": F.lit(0), "_next": F.lit(None).cast("timestamp")})
-    else:
-        slices = steps.groupBy(key, "_slice").agg(
-            F.min_by("_state", "_pos").alias("_head"),
-            F.max_by("_state", "_pos").alias("_tail"),
-            F.min(at).alias("_head_at"),
-            F.min(F.when(inner, F.col(at))).alias("_inner_at"),
-            F.count_if(inner).alias("_inner_n"),
-        )
-        by_time = Window.partitionBy(key).orderBy("_slice")
-        earlier = by_time.rowsBetween(Window.unboundedPreceding, -1)
-        # Read backwards in time, the next change of a later slice is the last one seen.
-        later = Window.partitionBy(key).orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
-        slices = slices.withColumn(
-            "_opens", F.lag("_slice").over(by_time).isNull() | ~F.lag("_tail").over(by_time).eqNullSafe(F.col("_head"))
-        )
-        slices = slices.withColumn("_entry", F.when(F.col("_opens"), F.col("_head_at")).otherwise(F.col("_inner_at")))
-        slices = slices.select(
-            key,
-            "_slice",
-            "_opens",
-            F.coalesce(F.sum(F.col("_inner_n") + F.col("_opens").cast("int")).over(earlier), F.lit(0)).alias("_before"),
-            F.last("_entry", ignorenulls=True).over(later).alias("_next"),
-        )
-        carried = steps.join(slices, [key, "_slice"])
-
-    changes = carried.where(((F.col("_pos") == 1) & F.col("_opens")) | inner)
-    numbered = changes.withColumns({
+    carried = steps.join(_slice_borders(steps, key, at, inner), [key, "_slice"], "left")
+    opens = (F.col("_pos") == 1) & F.coalesce(F.col("_opens"), F.lit(True))
+    numbered = carried.where(opens | inner).withColumns({
         "valid_from": F.col(at),
         "valid_to": F.coalesce(F.lead(at).over(in_slice), F.col("_next")),
-        "version": (F.col("_before") + F.row_number().over(in_slice)).cast("int"),
+        "version": (F.coalesce(F.col("_before"), F.lit(0)) + F.row_number().over(in_slice)).cast("int"),
     }).withColumn("is_current", F.col("valid_to").isNull())
     return numbered.select(*snapshots.columns, "valid_from", "valid_to", "is_current", "version")
 
@@ -110,31 +105,36 @@ def as_of_versions(
     at: str,
     columns: Sequence[str],
     how: str = "inner",
+    heavy_rows: int = HEAVY_ROWS,
     slice_seconds: int = DAY,
 ) -> DataFrame:
     """Each fact with ``columns`` of the version valid at its time (half-open interval).
 
-    No pair of facts and versions is ever formed: facts and versions of a slice are laid in
-    one time order, the last version seen is the answer, and the version in force when a
-    slice begins arrives as one carried row.
+    No pair of facts and versions is ever formed: the facts and versions of a key (and slice,
+    for heavy keys) are laid in one time order and the last version seen is the answer.  The
+    version in force when a slice begins arrives as one carried row.
     """
-    fact_row = F.struct(*[F.col(c) for c in facts.columns])
-    version_row = F.struct("valid_to", *columns)
-    f = facts.select(
-        F.col(key).alias("_key"), F.col(at).alias("_at"), fact_row.alias("_fact"),
-        time_slice(F.col(at), slice_seconds).alias("_slice"),
-    )
     if how == "inner":
-        f = f.where(F.col("_key").isNotNull() & F.col("_at").isNotNull())
+        facts = facts.where(F.col(key).isNotNull() & F.col(at).isNotNull())
     elif how != "left":
         raise ValueError(f"unknown join type {how!r}")
-    v = dimension.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(
+    dimension = dimension.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull())
+    heavy = heavy_keys([(facts, key), (dimension, key)], heavy_rows)
+
+    facts_only = [c for c in facts.columns if c not in (key, at)]
+    f = facts.select(F.col(key).alias("_key"), F.col(at).alias("_at"), *[F.col(c).alias(f"_f_{c}") for c in facts_only])
+    v = dimension.select(
         F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.col("version").alias("_nth"),
-        version_row.alias("_version"), time_slice(F.col("valid_from"), slice_seconds).alias("_slice"),
+        F.struct("valid_to", *columns).alias("_version"),
     )
-
-    newest = v.groupBy("_key", "_slice").agg(F.max_by("_version", F.struct("_at", "_nth")).alias("_version"))
-    asked = f.where(F.col("_key").isNotNull()).select("_key", "_slice").distinct()
+    f = with_slices(f, "_key", "_at", heavy, slice_seconds)
+    if how == "left":
+        # Facts without a key match nothing; their hash spreads them over many groups.
+        f = f.withColumn("_slice", F.when(F.col("_key").isNull(), F.pmod(F.xxhash64("*"), F.lit(1024))).otherwise(F.col("_slice")))
+    v = with_slices(v, "_key", "_at", heavy, slice_seconds)
+
+    newest = v.where("_heavy").groupBy("_key", "_slice").agg(F.max_by("_version", F.struct("_at", "_nth")).alias("_version"))
+    asked = f.where("_heavy").select("_key", "_slice").distinct()
     marks = (
         newest.withColumn("_asked", F.lit(False))
         .unionByName(asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
@@ -149,12 +149,12 @@ def as_of_versions(
     # At one instant the version comes before the fact: valid_from is inclusive.
     lane = (
         carried.select("_key", "_slice", "_version").withColumn("_kind", F.lit(0))
-        .unionByName(v.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
-        .unionByName(f.withColumn("_kind", F.lit(2)), allowMissingColumns=True)
+        .unionByName(v.drop("_heavy").withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+        .unionByName(f.drop("_heavy").withColumn("_kind", F.lit(2)), allowMissingColumns=True)
     )
     so_far = (
         Window.partitionBy("_key", "_slice")
-        .orderBy((F.col("_kind") > 0).asc(), "_at", "_kind", "_nth")
+        .orderBy(F.col("_kind") > 0, "_at", "_kind", "_nth")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     met = lane.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far)).where("_kind = 2")
@@ -162,7 +162,10 @@ def as_of_versions(
         F.col("_version.valid_to").isNull() | (F.col("_at") < F.col("_version.valid_to"))
     )
     met = met.where(valid) if how == "inner" else met.withColumn("_version", F.when(valid, F.col("_version")))
-    return met.select("_fact.*", *[F.col(f"_version.{c}").alias(c) for c in columns])
+    names = {key: "_key", at: "_at", **{c: f"_f_{c}" for c in facts_only}}
+    return met.select(
+        *[F.col(names[c]).alias(c) for c in facts.columns], *[F.col(f"_version.{c}").alias(c) for c in columns]
+    )
 
 
 def lines_at_sale_price(orders: DataFrame, products: DataFrame, columns: Sequence[str], **options) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import cents, line_units, units_to_decimal
 from ..schemas import ORDER_KEYS
+from .heavy import heaviest
 
 ITEM = ("product_id", "category", "quantity", "unit_price", "line_total")
 
@@ -71,17 +72,17 @@ def fact_orders(
 ) -> DataFrame:
     """Orders with nested lines.
 
-    An order of up to ``lines_per_row`` lines is one row, with items_part 0.  A longer one
-    would build an array no executor can hold; its lines are spread over several rows that
-    repeat the order's totals and differ in items_part, so exploding ``items`` still gives
-    every line once and ``items_part = 0`` still gives every order once.
+    An order of up to ``lines_per_row`` lines is one row, with items_part 0.  The lines of a
+    longer one are spread over several rows that repeat the order's totals and differ in
+    items_part, as a huge order's array would fit no executor.  Exploding ``items`` still
+    gives every line once, and ``items_part = 0`` every order once.
     """
     lines = order_lines(events)
-    long_orders = (
-        lines.groupBy(*ORDER_KEYS)
-        .agg(*_sums(), F.count(F.lit(1)).alias("_n"), F.min("event_id").alias("_anchor"))
-        .where(F.col("_n") > lines_per_row)
-        .select(
+    counted = lines.groupBy(*ORDER_KEYS).agg(
+        *_sums(), F.count(F.lit(1)).alias("_n"), F.min("event_id").alias("_anchor")
+    )
+    long_orders = F.broadcast(
+        heaviest(counted, "_n", lines_per_row).select(
             *[F.col(k).alias(f"_{k}") for k in ORDER_KEYS],
             F.struct("order_ts", "_subtotal", "total_units").alias("_whole"),
             F.ceil(F.col("_n") / lines_per_row).alias("_parts"),

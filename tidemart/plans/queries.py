@@ -94,6 +94,10 @@ def _orders(spark, sf_dir):
     return orders.fact_orders(_stored_silver(spark, sf_dir))
 
 
+def _stored_lines(spark, sf_dir):
+    return _stored(spark, shop.line_events(spark, sf_dir), "lines")
+
+
 def _users(spark, sf_dir):
     return history.versions(shop.user_snapshots(spark, sf_dir), "user_id", USER_TRACKED)
 
@@ -149,7 +153,7 @@ def fact_orders(spark, sf_dir):
 @query
 def fact_orders_bulk(spark, sf_dir):
     """Orders rolled up from every row of lineitem."""
-    return _order_rows(orders.fact_orders(shop.line_events(spark, sf_dir)))
+    return _order_rows(orders.fact_orders(_stored_lines(spark, sf_dir)))
 
 
 @query
@@ -197,7 +201,7 @@ def daily_sales_order_aov(spark, sf_dir):
 
 @query
 def daily_sales_bulk(spark, sf_dir):
-    return marts.daily_sales(orders.fact_orders(shop.line_events(spark, sf_dir)))
+    return marts.daily_sales(orders.fact_orders(_stored_lines(spark, sf_dir)))
 
 
 @query
@@ -286,7 +290,7 @@ def pit_orders_users(spark, sf_dir):
 @query
 def pit_lines_products(spark, sf_dir):
     """Each order line with the catalogue price at the sale."""
-    sold = orders.fact_orders(shop.line_events(spark, sf_dir))
+    sold = orders.fact_orders(_stored_lines(spark, sf_dir))
     found = history.lines_at_sale_price(sold, _products(spark, sf_dir), ["version", "price", "active"])
     return found.withColumnRenamed("price", "price_at_sale")
 
