@@ -79,7 +79,7 @@ def fact_orders(
     """
     lines = order_lines(events)
     counted = lines.groupBy(*ORDER_KEYS).agg(
-        *_sums(), F.count(F.lit(1)).alias("_n"), F.min("event_id").alias("_anchor")
+        *_sums(), F.count(F.lit(1)).alias("_n"), F.min(F.xxhash64("event_id")).alias("_anchor")
     )
     long_orders = F.broadcast(
         heaviest(counted, "_n", lines_per_row).select(
@@ -90,8 +90,9 @@ def fact_orders(
         )
     )
     match = [lines[k].eqNullSafe(long_orders[f"_{k}"]) for k in ORDER_KEYS]
-    # The order's smallest event id is pinned to part 0, so that part always exists.
-    hashed = F.when(F.col("event_id") > F.col("_anchor"), F.pmod(F.xxhash64("event_id"), F.col("_parts")))
+    # The line with the order's smallest hash is pinned to part 0, so that part always exists.
+    line_hash = F.xxhash64("event_id")
+    hashed = F.when(line_hash > F.col("_anchor"), F.pmod(line_hash, F.col("_parts")))
     spread = lines.join(long_orders, match, "left").withColumn(
         "items_part", F.coalesce(hashed, F.lit(0)).cast("int")
     )
