@@ -68,7 +68,7 @@ def _narrowed(hits: pa.Table, ks: dict[str, int]) -> pa.Table:
         last = q
         if n <= ks[q]:
             keep.append(i)
-    return order.take(keep)
+    return order.take(pa.array(keep, pa.int64()))
 
 
 def top_k(
