@@ -9,7 +9,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import joined_text
@@ -285,6 +285,6 @@ def tiered_search(
     for tier, hits in enumerate((first, second, third), start=1):
         hits = hits.withColumn("tier", F.lit(tier)).select(*columns)
         stacked = hits if stacked is None else stacked.unionByName(hits)
-    # At most a few dozen rows per query and tier: the window holds a bounded group.
-    best = stacked.groupBy("query_id").agg(F.min("tier").alias("tier"))
-    return stacked.join(best, ["query_id", "tier"]).join(attrs, "product_id")
+    # A query has a bounded number of rows here (k per tier), so its window group is small.
+    best = F.min("tier").over(Window.partitionBy("query_id"))
+    return stacked.withColumn("_best", best).where("tier = _best").drop("_best").join(attrs, "product_id")

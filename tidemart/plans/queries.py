@@ -279,15 +279,16 @@ def pit_orders_users(spark, sf_dir):
         F.concat(F.lit("u_"), F.col("o_custkey").cast("string")).alias("user_id"),
         F.col("l_shipdate").cast("timestamp").alias("shipped_ts"),
     )
-    dim = _users(spark, sf_dir)
+    facts, dim = _stored(spark, facts, "facts"), _stored(spark, _users(spark, sf_dir), "dim")
     return history.as_of_versions(facts, dim, "user_id", "shipped_ts", ["version", "loyalty_tier", "marketing_opt_in"])
 
 
 @query
 def pit_lines_products(spark, sf_dir):
     """Each order line with the catalogue price at the sale."""
-    sold = orders.fact_orders(shop.line_events(spark, sf_dir))
-    found = history.lines_at_sale_price(sold, _products(spark, sf_dir), ["version", "price", "active"])
+    sold = _stored(spark, orders.fact_orders(shop.line_events(spark, sf_dir)), "orders")
+    dim = _stored(spark, _products(spark, sf_dir), "dim")
+    found = history.lines_at_sale_price(sold, dim, ["version", "price", "active"])
     return found.withColumnRenamed("price", "price_at_sale")
 
 
