@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -30,8 +32,32 @@ def build_session(app: str = "tidemart", master: str | None = None, **extra: str
 
 
 def use_utc(spark: SparkSession) -> None:
-    """Whole-second and calendar-day rules are defined in UTC."""
+    """Whole-second and calendar-day rules are defined in UTC.  Executors get the package on the way."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's sources to the executors once per application, so they need no installed copy.
+
+    The zip is built in the driver's own temporary folder; Spark serves it from there.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="package-"), "tidemart.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
