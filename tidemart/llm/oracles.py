@@ -49,7 +49,7 @@ WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coa
 g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS best FROM p)
 SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN best END AS refers_to
+       CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN CAST(best AS DOUBLE) END AS refers_to
 FROM g"""
 
 
