@@ -175,8 +175,8 @@ def record_id(arc: str, offset: int) -> str:
 
 
 def warc_date(date: str) -> str:
-    """ARC dates have 8 to 14 digits."""
-    d = date.ljust(14, "0")
+    """ARC dates have up to 14 digits; what is missing becomes the earliest moment."""
+    d = date + "00000101000000"[len(date):]
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 

@@ -85,7 +85,8 @@ def template_rows(spark: SparkSession, templates=TEMPLATES) -> list[dict]:
         raise ValueError(f"{total} template words; scan larger sets in parts of {MAX_TEMPLATE_WORDS}")
     rows = [(i, name, text) for i, (name, text) in enumerate(templates)]
     df = spark.createDataFrame(rows, "template int, license string, text string")
-    return [r.asDict() for r in df.select("template", "license", shingles(words(F.col("text"))).alias("shingles")).collect()]
+    split = df.select("template", "license", words(F.col("text")).alias("words"))
+    return [r.asDict() for r in split.select("template", "license", shingles(F.col("words")).alias("shingles")).collect()]
 
 
 def _band_values(rows: list[dict], bands: int, width: int) -> list[dict[int, set[int]]]:
@@ -132,12 +133,15 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, bands: int = BANDS, wi
         ])
 
     in_templates = sorted({h for r in rows for h in r["shingles"]})
+    # Words and hashes are columns of their own: inside a lambda an expression is evaluated for each element.  The outer
+    # explode keeps the optimizer from testing the windows once more below it.
+    hashed = docs.select("doc_id", words(F.col("text")).alias("words")).select("doc_id", shingles(F.col("words")).alias("hashes"))
     found = (
-        docs.select("doc_id", shingles(words(F.col("text"))).alias("hashes"))
-        .select("doc_id", "hashes", F.filter(starts, retrieves).alias("starts")).where(F.size("starts") > 0)
+        hashed.select("doc_id", "hashes", F.filter(starts, retrieves).alias("starts"))
+        .select("doc_id", "hashes", F.explode_outer("starts").alias("start")).where("start IS NOT NULL")
         .select(
             "doc_id", F.array_distinct(F.filter(hashes, lambda h: h.isin(in_templates))).alias("common"),
-            F.explode(F.flatten(F.transform("starts", probes))).alias("probe"),
+            F.explode(probes(F.col("start"))).alias("probe"),
         )
         .select("doc_id", "common", "probe.*")
         .join(F.broadcast(by_value), ["band", "value"])

@@ -11,7 +11,7 @@ chunks form a run; runs of at least ``LEAST_BYTES`` bytes are reported, and can
 Counting combines map-side and the join back has one row per repeated digest, so a passage that a third of all documents hold
 is split by the skew-join rule.  A document is never joined with another one.
 
-Null and empty texts have no chunks.  Rows with one doc_id count as one document.  Chunks of null doc_ids repeat those of known
+Null and empty texts have no chunks.  Repeated rows (one doc_id and text) count as one document.  Chunks of null doc_ids repeat those of known
 ones, never the reverse; among null doc_ids alone nothing repeats.  Offsets are bytes of the UTF-8 text.
 """
 
@@ -28,9 +28,9 @@ from pyspark.sql import types as T
 
 from .common import small_batches, staged
 
-LEAST_CHUNK = 24
-MEAN_GAP = 32  # mean distance of cut places
-LEAST_BYTES = 128
+LEAST_CHUNK = 20
+MEAN_GAP = 20  # mean distance of cut places; chunks then have about 40 bytes
+LEAST_BYTES = 112
 #: A fixed pseudo-random number for each byte, from a rule.
 GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 7) & 0xFFFF for b in range(256)], np.uint16)
 
@@ -68,7 +68,7 @@ def chunks_of(text: str | None, least: int = LEAST_CHUNK, gap: int = MEAN_GAP) -
 
 
 def chunks(docs: DataFrame, least: int = LEAST_CHUNK, gap: int = MEAN_GAP) -> DataFrame:
-    """(doc_id, start, size, again, hi, lo): one row per chunk; again tells that the document has had the chunk before."""
+    """(doc_id, text_hash, start, size, again, hi, lo): one row per chunk; again tells that the document has had the chunk before."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
@@ -84,19 +84,20 @@ def chunks(docs: DataFrame, least: int = LEAST_CHUNK, gap: int = MEAN_GAP) -> Da
                 digests = np.frombuffer(b"".join([c[2] for c in flat]), "<i8").reshape(-1, 2)
                 rows = np.repeat(np.arange(len(found)), [len(cs) for cs in found])
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id").take(pa.array(rows)), pa.array([c[0] for c in flat], pa.int32()),
+                    part.column("doc_id").take(pa.array(rows)), part.column("text_hash").take(pa.array(rows)), pa.array([c[0] for c in flat], pa.int32()),
                     pa.array([c[1] for c in flat], pa.int32()), pa.array(again, pa.bool_()),
                     pa.array(np.ascontiguousarray(digests[:, 0])), pa.array(np.ascontiguousarray(digests[:, 1])),
-                ], ["doc_id", "start", "size", "again", "hi", "lo"])
+                ], ["doc_id", "text_hash", "start", "size", "again", "hi", "lo"])
 
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, start int, size int, again boolean, hi bigint, lo bigint")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        run, f"doc_id {kind}, text_hash bigint, start int, size int, again boolean, hi bigint, lo bigint")
 
 
 def repeated_runs(spark: SparkSession, docs: DataFrame, least_bytes: int = LEAST_BYTES, least: int = LEAST_CHUNK,
                   gap: int = MEAN_GAP) -> DataFrame:
-    """(doc_id, run_start, run_bytes, first_doc_id, shared_bytes): repeated runs of every document.
+    """(doc_id, text_hash, run_start, run_bytes, first_doc_id, shared_bytes): repeated runs of every document.
 
     A run has one row for each document that holds the first copy of some of its chunks, with the bytes found there.
     """
@@ -105,19 +106,21 @@ def repeated_runs(spark: SparkSession, docs: DataFrame, least_bytes: int = LEAST
         cut.groupBy("hi", "lo").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_doc_id"))
         .where("copies > 1").drop("copies")
     )
+    document = ("doc_id", "text_hash")
     repeats = cut.join(known, ["hi", "lo"]).where(
-        "first_doc_id IS NOT NULL AND (NOT (doc_id <=> first_doc_id) OR again)").select("doc_id", "start", "size", "first_doc_id")
-    repeats = repeats.dropDuplicates(["doc_id", "start", "size", "first_doc_id"])  # rows with one doc_id are one document
-    by_place = Window.partitionBy("doc_id").orderBy("start")
-    runs = repeats.withColumn("opens", (F.col("start") > F.lag(F.col("start") + F.col("size"), 1, -1).over(by_place)).cast("int")) \
-        .withColumn("run", F.sum("opens").over(by_place))
-    by_run = Window.partitionBy("doc_id", "run")
+        "first_doc_id IS NOT NULL AND (NOT (doc_id <=> first_doc_id) OR again)").select(*document, "start", "size", "first_doc_id")
+    by_place = Window.partitionBy(*document).orderBy("start")
+    # Repeated rows bring a place twice; it is taken once.
+    placed = repeats.withColumn("before", F.lag("start", 1, -1).over(by_place)) \
+        .withColumn("ended", F.lag(F.col("start") + F.col("size"), 1, -1).over(by_place)).where("start > before")
+    runs = placed.withColumn("run", F.sum((F.col("start") > F.col("ended")).cast("int")).over(by_place))
+    by_run = Window.partitionBy(*document, "run")
     return (
-        runs.groupBy("doc_id", "run", "first_doc_id")
+        runs.groupBy(*document, "run", "first_doc_id")
         .agg(F.min("start").alias("from"), F.sum("size").alias("shared_bytes"))
         .withColumn("run_bytes", F.sum("shared_bytes").over(by_run)).withColumn("run_start", F.min("from").over(by_run))
         .where(F.col("run_bytes") >= least_bytes)
-        .select("doc_id", F.col("run_start").cast("bigint").alias("run_start"), "run_bytes", "first_doc_id", "shared_bytes")
+        .select(*document, F.col("run_start").cast("bigint").alias("run_start"), "run_bytes", "first_doc_id", "shared_bytes")
     )
 
 
@@ -127,7 +130,8 @@ def without_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
     cuts = "cuts_"
     while cuts in names:
         cuts += "_"
-    per_doc = runs.select("doc_id", "run_start", "run_bytes").distinct().groupBy(F.col("doc_id").alias("cut_id_")).agg(
+    per_doc = runs.select("doc_id", "text_hash", "run_start", "run_bytes").distinct().groupBy(
+        F.col("doc_id").alias("cut_id_"), F.col("text_hash").alias("cut_hash_")).agg(
         F.sort_array(F.collect_list(F.struct("run_start", "run_bytes"))).alias(cuts))  # the runs of one document
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,5 +148,6 @@ def without_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names], names)
 
-    joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["cut_id_"]), "left").drop("cut_id_")
+    same = docs["doc_id"].eqNullSafe(per_doc["cut_id_"]) & (F.xxhash64(docs["text"]) == per_doc["cut_hash_"])
+    joined = docs.join(per_doc, same, "left").drop("cut_id_", "cut_hash_")
     return joined.mapInArrow(cut, T.StructType(docs.schema.fields))
