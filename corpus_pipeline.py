@@ -15,10 +15,16 @@ from tidemart.llm.queries import SENTENCEPIECE_MODEL, vocabulary_path
 from tidemart.session import use_utc
 
 
+def filtered(docs: DataFrame, judge, keep: str) -> DataFrame:
+    """Rows of ``docs`` for which ``keep`` holds after ``judge``; columns are renamed meanwhile, as the judge adds its own."""
+    numbered = docs.toDF(*[c if c == "text" else f"c{i}_" for i, c in enumerate(docs.columns)])
+    return judge(numbered).where(keep).select(*numbered.columns).toDF(*docs.columns)
+
+
 def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar does not reject; fitted on labelled rows of ``docs``."""
     model = toxicity.fit(spark, docs, read_table(spark, sf_dir, "labels"))
-    return toxicity.score_texts(docs, model).where("predicted = 0").select(*[f"`{c}`" for c in docs.columns])
+    return filtered(docs, lambda d: toxicity.score_texts(d, model), "predicted = 0")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +36,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontamination.contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    return found.where(~F.col("contaminated")).select(*[f"`{c}`" for c in docs.columns])
+    benchmark = read_table(spark, sf_dir, "benchmark")
+    return filtered(docs, lambda d: decontamination.contamination(d, benchmark), "NOT contaminated")
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
