@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 from .common import small_batches
 
 MARK = "▁"
-CACHE_WORDS = 300_000  # bound of a worker's memory for finished words; clearing it changes no result
-PAIR_MEMORY = 1_000_000
+CACHE_WORDS = 150_000  # bound of a worker's memory for finished words; clearing it changes no result
+PAIR_MEMORY = 200_000
 UNIGRAM, BPE = 1, 2  # model types of the file format
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
@@ -189,7 +189,7 @@ _CODECS: dict[str, Codec] = {}
 
 
 def codec_of(model: bytes) -> Codec:
-    """One codec per worker process and model, so finished words serve the next task too."""
+    """One codec per worker process and model, so pairs that agree serve the next task too."""
     key = hashlib.sha256(model).hexdigest()
     if key not in _CODECS:
         _CODECS.clear()
@@ -233,6 +233,7 @@ def encode(docs: DataFrame, model_path: str, keep: list[str] | None = None, deco
             more = [pa.array([codec.decode(i.tolist()) for i in ids], pa.string())] if decoded else []
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), _lists(ids), *more], [f.name for f in fields])
+        codec.done.clear()
 
     return asked.mapInArrow(run, T.StructType(fields))
 
@@ -274,5 +275,6 @@ def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
                 batch.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()),
                 pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()), pa.array(same),
             ], ["doc_id", "n_tokens", "ids_crc32", "same"])
+        codec.done.clear()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_crc32 bigint, same boolean")

@@ -33,7 +33,7 @@ from .common import small_batches
 from .files import is_local, one_per_task, opened, shared_folder
 
 END_ID = 1
-CACHE_WORDS = 300_000  # bound of a worker's memory for finished words; clearing it changes no result
+CACHE_WORDS = 150_000  # bound of a worker's memory for finished words; clearing it changes no result
 READ_DOCS = 4096
 
 # Nothing in such a tokenizer looks across these characters, so words between them can be encoded one by one.
@@ -108,6 +108,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_
                 column = batch.column("doc_id")
                 known.append(column.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8))
                 names.append(column.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
+        encoder.done.clear()
         offsets = np.cumsum(np.concatenate(sizes)).astype("<i8")
         n = len(offsets) - 1
         with store.open_output_stream(f"{path}.idx", compression=None) as out:

@@ -134,7 +134,7 @@ class Grammar:
             found = self.words.get(word, 0.0)
             if not found:
                 found = next((self.beginnings[word[:n]] for n in self.lengths if word[:n] in self.beginnings and len(word) > n), 0.0)
-            if len(self.known) > 500_000:
+            if len(self.known) > 200_000:
                 self.known.clear()
             self.known[word] = found
         return found
