@@ -28,14 +28,14 @@ def test_moved_null_is_a_change_except_for_the_old_hash(spark):
 def test_sliced_keys_get_the_same_versions(spark, sf_dir):
     for frame, key, tracked in ((shop.user_snapshots(spark, sf_dir), "user_id", USER_TRACKED), (shop.product_snapshots(spark, sf_dir), "product_id", PRODUCT_TRACKED)):
         plain = history.versions(frame, key, tracked)
-        sliced = history.versions(frame, key, tracked, heavy_rows=5, slice_seconds=86_400 * 200)
+        sliced = history.versions(frame, key, tracked, rows_per_task=2)
         assert plain.exceptAll(sliced).isEmpty() and sliced.exceptAll(plain).isEmpty()
 
 
 def test_a_boundary_fact_meets_one_version(spark):
     dim = history.versions(snaps(spark, [("x", 0, "1", "", ""), ("x", 5, "2", "", "")]), "k", ["a"])
     facts = spark.createDataFrame([("f0", "x", D - timedelta(days=1)), ("f1", "x", D), ("f2", "x", D + timedelta(days=5)), ("f3", "y", D)], "id string, k string, ts timestamp")
-    for options in ({}, {"heavy_rows": 0, "slice_seconds": 86_400}):
+    for options in ({}, {"rows_per_task": 1}):
         inner = history.as_of_versions(facts, dim, "k", "ts", ["version"], **options)
         assert {r.id: r.version for r in inner.collect()} == {"f1": 1, "f2": 2}
         left = history.as_of_versions(facts, dim, "k", "ts", ["version"], how="left", **options)
@@ -48,7 +48,7 @@ def test_as_of_equals_a_range_join(spark, sf_dir):
     d = dim.select(F.col("product_id").alias("pid"), "valid_from", "valid_to", "version", "price")
     joined = facts.join(d, (F.col("product_id") == F.col("pid")) & (F.col("event_ts") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("event_ts") < F.col("valid_to"))))
     want = joined.select("event_id", "product_id", "event_ts", "version", "price")
-    for options in ({}, {"heavy_rows": 3, "slice_seconds": 86_400 * 300}):
+    for options in ({}, {"rows_per_task": 3}):
         got = history.as_of_versions(facts, dim, "product_id", "event_ts", ["version", "price"], **options)
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
@@ -79,18 +79,26 @@ def test_order_over_two_countries_is_reported(spark):
     assert [r.order_id for r in orders.repeated_order_ids(sold).collect()] == ["o"]
 
 
-def test_long_orders_are_spread_and_stay_whole(spark):
+def test_a_long_order_is_one_row_and_both_line_sources_agree(spark):
     """One order with a third of all lines."""
     rows = [(f"e{i}", "big" if i % 3 == 0 else f"o{i}", f"p{i}", "x", 1.5, 2, "BR") for i in range(300)]
     events = purchases(spark, rows)
-    whole, parts = orders.fact_orders(events), orders.fact_orders(events, lines_per_row=10)
-    big = parts.where("order_id = 'big'")
-    assert big.count() > 5 and big.where("items_part = 0").count() == 1
-    assert big.select("total", "subtotal", "total_units").distinct().count() == 1
-    line = lambda df: df.select("order_id", F.inline("items"))
-    assert line(whole).exceptAll(line(parts)).isEmpty() and line(parts).exceptAll(line(whole)).isEmpty()
-    for mart in (marts.daily_sales, lambda o: marts.daily_sales(o, "order"), marts.user_order_metrics):
-        assert mart(whole).exceptAll(mart(parts)).isEmpty()
+    nested, lines = orders.fact_orders(events), orders.order_lines(events)
+    totals = orders.totals_of(lines)
+    assert nested.count() == totals.count() == 201
+    same = totals.columns
+    assert nested.select(same).exceptAll(totals).isEmpty() and totals.exceptAll(nested.select(same)).isEmpty()
+    for aov in ("line", "order"):
+        a, b = marts.daily_sales(nested, aov), marts.daily_sales(totals, aov, lines)
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    a, b = orders.priced_lines(lines, totals), nested.select("order_id", "order_ts", "total", F.inline("items"))
+    assert a.select(b.columns).exceptAll(b).isEmpty() and a.count() == 300
+
+
+def test_orders_with_null_keys_keep_their_lines(spark):
+    events = purchases(spark, [("e1", "o", "p1", "x", 2.0, 1, None), ("e2", "o", "p2", "x", 3.0, 1, None)])
+    lines = orders.order_lines(events)
+    assert [r.total for r in orders.priced_lines(lines, orders.totals_of(lines)).collect()] == [15.39, 15.39]
 
 
 def test_two_ways_to_average_orders(spark):

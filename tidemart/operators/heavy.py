@@ -1,42 +1,58 @@
-"""Keys that hold a large share of the rows, and time slices for their rows only.
+"""Keys that hold a large share of the rows, divided by measured counts.
 
-Heavy are the 10,000 keys with most rows, as far as they exceed a fixed number of rows.  The
-list has a constant bound, so it may be broadcast.  Nothing is lost beyond it: any other key
-has at most one 10,000th of all rows (or less than the fixed number), which one task can hold.
+Nothing here has a cap: every key above the wanted rows per task is divided, and the tables of such keys are joined
+without a hint, so Spark chooses by their measured size.  Both have at most one row per ``rows_per_task`` rows of input
+(slices: and per minute of a divided key).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import time_slice
 
-HEAVY_ROWS = 1_000_000
-MOST_HEAVY = 10_000
-DAY = 86_400
-
-
-def heaviest(counts: DataFrame, n: str, more_than: int) -> DataFrame:
-    """At most ``MOST_HEAVY`` rows of per-key counts."""
-    return counts.where(F.col(n) > more_than).orderBy(F.col(n).desc()).limit(MOST_HEAVY)
+ROWS_PER_TASK = 1_000_000
+MINUTE = 60
+
+
+def large_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(_key, _lanes) of the keys above ``rows_per_task`` rows; counts combine before the shuffle."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > rows_per_task).select(
+        "_key", F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_lanes"))
+
+
+def with_slices(df: DataFrame, key: str, at: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Add _heavy and _slice: time slices of about ``rows_per_task`` rows for large keys, 0 for all others.
+
+    Borders lie between minutes and follow the running count of a key's rows.
+    """
+    minute = time_slice(F.col(at), MINUTE)
+    large = large_keys(df, key, rows_per_task)
+    counts = (
+        df.select(F.col(key).alias("_key"), minute.alias("_minute")).join(large.select("_key"), "_key", "left_semi")
+        .groupBy("_key", "_minute").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    earlier = Window.partitionBy("_key").orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    slices = counts.select(
+        F.col("_key").alias("_large_key"), "_minute", F.floor(before / F.lit(rows_per_task)).alias("_cut"))
+    joined = df.withColumn("_at_minute", minute).join(
+        slices, (F.col(key) == F.col("_large_key")) & (F.col("_at_minute") == F.col("_minute")), "left")
+    return joined.withColumns({
+        "_heavy": F.col("_large_key").isNotNull(), "_slice": F.coalesce(F.col("_cut"), F.lit(0)),
+    }).drop("_large_key", "_minute", "_at_minute", "_cut")
 
 
-def heavy_keys(frames: list[tuple[DataFrame, str]], more_than: int = HEAVY_ROWS) -> DataFrame:
-    """(_key) of the heavy keys of several frames together; counts combine before the shuffle."""
-    keys = reduce(DataFrame.union, [df.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")) for df, key in frames])
-    counts = keys.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    return heaviest(counts, "_n", more_than).select("_key")
+def with_lanes(df: DataFrame, key: str, lanes: DataFrame) -> DataFrame:
+    """Add _lane: rows of large keys are spread by their hash over the key's lanes, others are in lane 0."""
+    joined = df.withColumn("_spread", F.xxhash64("*")).join(lanes.withColumnRenamed("_key", "_large_key"), F.col(key) == F.col("_large_key"), "left")
+    own = F.coalesce(F.pmod("_spread", "_lanes"), F.lit(0)).cast("int")
+    return joined.withColumn("_lane", own).drop("_spread", "_large_key", "_lanes")
 
 
-def with_slices(df: DataFrame, key: str, at: str, heavy: DataFrame, seconds: int = DAY) -> DataFrame:
-    """Add _heavy and _slice: the time slice for rows of heavy keys, 0 for all others."""
-    marked = F.broadcast(heavy.select(F.col("_key").alias("_heavy_key")))
-    joined = df.join(marked, F.col(key) == F.col("_heavy_key"), "left")
-    is_marked = F.col("_heavy_key").isNotNull()
-    return joined.withColumns({
-        "_heavy": is_marked,
-        "_slice": F.when(is_marked, time_slice(F.col(at), seconds)).otherwise(F.lit(0).cast("long")),
-    }).drop("_heavy_key")
+def in_every_lane(df: DataFrame, key: str, lanes: DataFrame) -> DataFrame:
+    """Rows once for each lane of their key, with _lane."""
+    joined = df.join(lanes.withColumnRenamed("_key", "_large_key"), F.col(key) == F.col("_large_key"), "left")
+    return joined.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.coalesce("_lanes", F.lit(1)) - 1))).drop("_large_key", "_lanes")

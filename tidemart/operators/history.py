@@ -1,9 +1,9 @@
 """Versioned dimensions (SCD2) and point-in-time lookups.
 
-A plain window per key would put a key with a third of all rows into one task.  Rows of such
-heavy keys are therefore ordered within (key, time slice), and what crosses a slice border is
-carried through per-slice summaries, of which a key has one per slice of calendar time.  All
-other keys have a single slice and need no summary.
+A plain window per key would put a key with a third of all rows into one task.  For versions, the rows of such large
+keys are ordered within (key, time slice), with slice borders from measured counts, and what crosses a border is carried
+through per-slice summaries.  For lookups, a large key's facts are spread over lanes and its versions copied into
+each lane.  All other keys have a single slice or lane.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import fingerprint
 from .events import keyed_rows
-from .heavy import DAY, HEAVY_ROWS, heavy_keys, with_slices
+from .heavy import ROWS_PER_TASK, in_every_lane, large_keys, with_lanes, with_slices
 
 
 def _tracked_state(tracked: Sequence[str], compat_hash: bool) -> Column:
@@ -61,8 +61,7 @@ def versions(
     tracked: Sequence[str],
     at: str = "updated_ts",
     compat_hash: bool = False,
-    heavy_rows: int = HEAVY_ROWS,
-    slice_seconds: int = DAY,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Snapshots to versions: a row where the tracked state differs from the one before.
 
@@ -75,7 +74,7 @@ def versions(
         order.append(F.col("_ingest_ts").asc_nulls_first())
     order.append(F.col("_hash"))
     rows = rows.withColumns({"_hash": fingerprint(rows), "_state": _tracked_state(tracked, compat_hash)})
-    rows = with_slices(rows, key, at, heavy_keys([(snapshots, key)], heavy_rows), slice_seconds)
+    rows = with_slices(rows, key, at, rows_per_task)
 
     in_slice = Window.partitionBy(key, "_slice").orderBy(*order)
     steps = rows.withColumns({
@@ -105,21 +104,19 @@ def as_of_versions(
     at: str,
     columns: Sequence[str],
     how: str = "inner",
-    heavy_rows: int = HEAVY_ROWS,
-    slice_seconds: int = DAY,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Each fact with ``columns`` of the version valid at its time (half-open interval).
 
-    No pair of facts and versions is ever formed: the facts and versions of a key (and slice,
-    for heavy keys) are laid in one time order and the last version seen is the answer.  The
-    version in force when a slice begins arrives as one carried row.
+    No pair of facts and versions is ever formed: the facts and versions of a key (and lane, for large keys) are laid in one
+    time order and the last version seen is the answer.
     """
     if how == "inner":
         facts = facts.where(F.col(key).isNotNull() & F.col(at).isNotNull())
     elif how != "left":
         raise ValueError(f"unknown join type {how!r}")
     dimension = dimension.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull())
-    heavy = heavy_keys([(facts, key), (dimension, key)], heavy_rows)
+    lanes = large_keys(facts, key, rows_per_task)
 
     facts_only = [c for c in facts.columns if c not in (key, at)]
     f = facts.select(F.col(key).alias("_key"), F.col(at).alias("_at"), *[F.col(c).alias(f"_f_{c}") for c in facts_only])
@@ -127,34 +124,16 @@ def as_of_versions(
         F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.col("version").alias("_nth"),
         F.struct("valid_to", *columns).alias("_version"),
     )
-    f = with_slices(f, "_key", "_at", heavy, slice_seconds)
+    f = with_lanes(f, "_key", lanes)
     if how == "left":
         # Facts without a key match nothing; their hash spreads them over many groups.
-        f = f.withColumn("_slice", F.when(F.col("_key").isNull(), F.pmod(F.xxhash64("*"), F.lit(1024))).otherwise(F.col("_slice")))
-    v = with_slices(v, "_key", "_at", heavy, slice_seconds)
-
-    newest = v.where("_heavy").groupBy("_key", "_slice").agg(F.max_by("_version", F.struct("_at", "_nth")).alias("_version"))
-    asked = f.where("_heavy").select("_key", "_slice").distinct()
-    marks = (
-        newest.withColumn("_asked", F.lit(False))
-        .unionByName(asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
-        .groupBy("_key", "_slice")
-        .agg(F.first("_version", ignorenulls=True).alias("_version"), F.bool_or("_asked").alias("_asked"))
-    )
-    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = marks.withColumn("_version", F.last("_version", ignorenulls=True).over(earlier)).where(
-        F.col("_asked") & F.col("_version").isNotNull()
-    )
+        f = f.withColumn("_lane", F.when(F.col("_key").isNull(), F.pmod(F.xxhash64("*"), F.lit(1024)).cast("int")).otherwise(F.col("_lane")))
+    v = in_every_lane(v, "_key", lanes)
 
     # At one instant the version comes before the fact: valid_from is inclusive.
-    lane = (
-        carried.select("_key", "_slice", "_version").withColumn("_kind", F.lit(0))
-        .unionByName(v.drop("_heavy").withColumn("_kind", F.lit(1)), allowMissingColumns=True)
-        .unionByName(f.drop("_heavy").withColumn("_kind", F.lit(2)), allowMissingColumns=True)
-    )
+    lane = v.withColumn("_kind", F.lit(1)).unionByName(f.withColumn("_kind", F.lit(2)), allowMissingColumns=True)
     so_far = (
-        Window.partitionBy("_key", "_slice")
-        .orderBy(F.col("_kind") > 0, "_at", "_kind", "_nth")
+        Window.partitionBy("_key", "_lane").orderBy("_at", "_kind", "_nth")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     met = lane.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far)).where("_kind = 2")
@@ -168,10 +147,7 @@ def as_of_versions(
     )
 
 
-def lines_at_sale_price(orders: DataFrame, products: DataFrame, columns: Sequence[str], **options) -> DataFrame:
-    """Order lines (from the nested items) with the product version valid at the sale."""
-    lines = orders.select("order_id", "order_ts", F.explode("items").alias("_item")).select(
-        "order_id", "order_ts", F.col("_item.product_id").alias("product_id"),
-        F.col("_item.quantity").alias("quantity"), F.col("_item.unit_price").alias("unit_price"),
-    )
-    return as_of_versions(lines, products, "product_id", "order_ts", columns, **options)
+def lines_at_sale_price(lines: DataFrame, products: DataFrame, columns: Sequence[str], **options) -> DataFrame:
+    """Order lines (with the order_ts of their order) and the product version valid at the sale."""
+    sold = lines.select("order_id", "order_ts", "product_id", "quantity", "unit_price")
+    return as_of_versions(sold, products, "product_id", "order_ts", columns, **options)

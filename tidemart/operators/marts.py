@@ -6,31 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import cents, line_units, mean_cents, money_units, ratio, units_to_decimal
+from ..schemas import ORDER_KEYS
 from .history import current
-from .orders import one_row_per_order
+from .orders import priced_lines
 
 # The last day since the last order that still counts for a segment.
 SEGMENT_DAYS = {"active": 30, "lapsing": 180}
 FUNNEL_STEPS = {"viewed": "page_view", "carted": "add_to_cart", "purchased": "purchase", "abandoned": "abandon_cart"}
 
 
-def daily_sales(orders: DataFrame, aov: str = "line") -> DataFrame:
-    """Sales per day, category and country from nested orders.
+def daily_sales(orders: DataFrame, aov: str = "line", lines: DataFrame | None = None) -> DataFrame:
+    """Sales per day, category and country.
 
-    ``aov='line'`` weighs an order's total by its number of lines; ``'order'`` counts each
-    order row once per group.
+    Lines come from the nested orders, or from ``lines`` (then ``orders`` needs no nested ones).  ``aov='line'`` weighs an
+    order's total by its number of lines; ``'order'`` counts each order row once per group.
     """
-    lines = orders.select(
-        F.to_date("order_ts").alias("sale_date"), "country", "order_id", "user_id", "session_id_silver",
-        "payment_method", money_units(F.col("total")).alias("_total"), F.explode("items").alias("_item"),
-    ).withColumns({
-        "category": F.col("_item.category"),
-        "_quantity": F.col("_item.quantity"),
-        "_line": money_units(F.col("_item.line_total")),
-    })
+    if lines is None:
+        sold = orders.select(*ORDER_KEYS, "order_ts", "total", F.inline("items"))
+    else:
+        sold = priced_lines(lines, orders)
+    lines = sold.select(
+        F.to_date("order_ts").alias("sale_date"), *ORDER_KEYS, "category", money_units(F.col("total")).alias("_total"),
+        F.col("quantity").alias("_quantity"), money_units(F.col("line_total")).alias("_line"),
+    )
     group = ["sale_date", "category", "country"]
     if aov == "order":
-        lines = lines.groupBy(*group, "order_id", "user_id", "session_id_silver", "payment_method").agg(
+        lines = lines.groupBy(*group, *[k for k in ORDER_KEYS if k not in group]).agg(
             F.sum("_quantity").alias("_quantity"), F.sum("_line").alias("_line"), F.max("_total").alias("_total")
         )
     elif aov != "line":
@@ -100,7 +101,7 @@ def abandoned_carts(events: DataFrame) -> DataFrame:
 
 def user_order_metrics(orders: DataFrame) -> DataFrame:
     total = money_units(F.col("total"))
-    sums = one_row_per_order(orders).groupBy("user_id").agg(
+    sums = orders.groupBy("user_id").agg(
         F.count("order_id").alias("orders_count"),
         F.sum(total).alias("_ltv"),
         F.count(total).alias("_n"),

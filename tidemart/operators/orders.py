@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import cents, line_units, units_to_decimal
 from ..schemas import ORDER_KEYS
-from .heavy import heaviest
 
 ITEM = ("product_id", "category", "quantity", "unit_price", "line_total")
 
@@ -55,67 +54,45 @@ def _priced(sums: DataFrame, tax_rate: float, free_shipping_threshold: float, fl
     }).drop("_tax", "_shipping", "_subtotal")
 
 
-def order_totals(
-    events: DataFrame, tax_rate: float = 0.08, free_shipping_threshold: float = 75.0, flat_shipping: float = 9.99
+def totals_of(
+    lines: DataFrame, tax_rate: float = 0.08, free_shipping_threshold: float = 75.0, flat_shipping: float = 9.99
 ) -> DataFrame:
-    """One row per order grain without the lines: every measure combines before the shuffle."""
-    sums = order_lines(events).groupBy(*ORDER_KEYS).agg(*_sums())
+    """One row per order grain from its lines: every measure combines before the shuffle."""
+    sums = lines.groupBy(*ORDER_KEYS).agg(*_sums())
     return _priced(sums, tax_rate, free_shipping_threshold, flat_shipping)
 
 
+def order_totals(events: DataFrame, **rates: float) -> DataFrame:
+    """One row per order grain without the lines."""
+    return totals_of(order_lines(events), **rates)
+
+
+def priced_lines(lines: DataFrame, totals: DataFrame) -> DataFrame:
+    """Lines with the time and the total of their order.
+
+    A join with one row per order on one side: the lines of a huge order may be split over tasks.
+    """
+    whole = totals.select(*[F.col(k).alias(f"_{k}") for k in ORDER_KEYS], "order_ts", "total")
+    return lines.join(whole, [lines[k].eqNullSafe(whole[f"_{k}"]) for k in ORDER_KEYS]).drop(*[f"_{k}" for k in ORDER_KEYS])
+
+
 def fact_orders(
-    events: DataFrame,
-    tax_rate: float = 0.08,
-    free_shipping_threshold: float = 75.0,
-    flat_shipping: float = 9.99,
-    lines_per_row: int = 10_000,
+    events: DataFrame, tax_rate: float = 0.08, free_shipping_threshold: float = 75.0, flat_shipping: float = 9.99
 ) -> DataFrame:
-    """Orders with nested lines.
+    """Orders with nested lines, one row per order grain.
 
-    An order of up to ``lines_per_row`` lines is one row, with items_part 0.  The lines of a
-    longer one are spread over several rows that repeat the order's totals and differ in
-    items_part, as a huge order's array would fit no executor.  Exploding ``items`` still
-    gives every line once, and ``items_part = 0`` every order once.
+    A view for consumers that ask for the nested form: all lines of an order meet in one array.
+    What sums or explodes lines should read ``totals_of`` and ``order_lines`` instead.
     """
-    lines = order_lines(events)
-    counted = lines.groupBy(*ORDER_KEYS).agg(
-        *_sums(), F.count(F.lit(1)).alias("_n"), F.min(F.xxhash64("event_id")).alias("_anchor")
+    nested = order_lines(events).groupBy(*ORDER_KEYS).agg(
+        *_sums(), F.array_sort(F.collect_list(F.struct(*ITEM))).alias("items")
     )
-    long_orders = F.broadcast(
-        heaviest(counted, "_n", lines_per_row).select(
-            *[F.col(k).alias(f"_{k}") for k in ORDER_KEYS],
-            F.struct("order_ts", "_subtotal", "total_units").alias("_whole"),
-            F.ceil(F.col("_n") / lines_per_row).alias("_parts"),
-            "_anchor",
-        )
-    )
-    match = [lines[k].eqNullSafe(long_orders[f"_{k}"]) for k in ORDER_KEYS]
-    # The line with the order's smallest hash is pinned to part 0, so that part always exists.
-    line_hash = F.xxhash64("event_id")
-    hashed = F.when(line_hash > F.col("_anchor"), F.pmod(line_hash, F.col("_parts")))
-    spread = lines.join(long_orders, match, "left").withColumn(
-        "items_part", F.coalesce(hashed, F.lit(0)).cast("int")
-    )
-    parts = spread.groupBy(*ORDER_KEYS, "items_part", "_whole").agg(
-        *[s.alias(f"_{i}") for i, s in enumerate(_sums())],
-        F.array_sort(F.collect_list(F.struct(*ITEM))).alias("items"),
-    )
-    whole = F.struct(F.col("_0").alias("order_ts"), F.col("_1").alias("_subtotal"), F.col("_2").alias("total_units"))
-    sums = parts.withColumn("_whole", F.coalesce(F.col("_whole"), whole)).select(
-        *ORDER_KEYS, "_whole.*", "items", "items_part"
-    )
-    priced = _priced(sums, tax_rate, free_shipping_threshold, flat_shipping)
-    return priced.select(
-        *ORDER_KEYS, "order_ts", "items", "subtotal", "total_units", "status", "currency",
-        "tax", "shipping", "total", "order_date", "items_part",
+    return _priced(nested, tax_rate, free_shipping_threshold, flat_shipping).select(
+        *ORDER_KEYS, "order_ts", "items", "subtotal", "total_units", "status", "currency", "tax", "shipping", "total",
+        "order_date",
     )
 
 
-def one_row_per_order(orders: DataFrame) -> DataFrame:
-    return orders.where("items_part = 0") if "items_part" in orders.columns else orders
-
-
 def repeated_order_ids(orders: DataFrame) -> DataFrame:
     """Order ids that take more than one row because session, country or payment differ."""
-    return one_row_per_order(orders).groupBy("order_id").count().where("count > 1")
-
+    return orders.groupBy("order_id").count().where("count > 1")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import log_share, unit_interval
+from .orders import priced_lines
 
 # Fixed values of the ranking rule.
 WEIGHTS = {"semantic": 0.60, "price": 0.15, "popularity": 0.25}
@@ -27,16 +28,20 @@ def event_signals(events: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     )
 
 
-def order_signals(orders: DataFrame, as_of: str, days: int = 7) -> DataFrame:
-    sold = _recent(orders, "order_ts", as_of, days).select(F.inline("items"))
+def order_signals(orders: DataFrame, as_of: str, days: int = 7, lines: DataFrame | None = None) -> DataFrame:
+    """Units sold in the window, from the nested lines or from ``lines``."""
+    recent = _recent(orders, "order_ts", as_of, days)
+    sold = recent.select(F.inline("items")) if lines is None else priced_lines(lines, recent)
     return sold.where("product_id IS NOT NULL").groupBy("product_id").agg(
         F.sum("quantity").cast("bigint").alias("purchases_7d")
     )
 
 
-def product_signals(events: DataFrame, orders: DataFrame, as_of: str, days: int = 7) -> DataFrame:
+def product_signals(
+    events: DataFrame, orders: DataFrame, as_of: str, days: int = 7, lines: DataFrame | None = None
+) -> DataFrame:
     """One row per product seen or sold in the window that ends at ``as_of``."""
-    both = event_signals(events, as_of, days).join(order_signals(orders, as_of, days), "product_id", "full_outer")
+    both = event_signals(events, as_of, days).join(order_signals(orders, as_of, days, lines), "product_id", "full_outer")
     return both.select(
         "product_id", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in INTENT]
     )

@@ -94,17 +94,23 @@ def _orders(spark, sf_dir):
     return orders.fact_orders(_stored_silver(spark, sf_dir))
 
 
+def _lines_and_totals(spark, events):
+    """Order lines, written once, and the orders summed from them."""
+    lines = _stored(spark, orders.order_lines(events), "lines")
+    return lines, orders.totals_of(lines)
+
+
 def _users(spark, sf_dir):
-    return history.versions(shop.user_snapshots(spark, sf_dir), "user_id", USER_TRACKED)
+    return history.versions(_stored(spark, shop.user_snapshots(spark, sf_dir), "snapshots"), "user_id", USER_TRACKED)
 
 
 def _products(spark, sf_dir):
-    return history.versions(shop.product_snapshots(spark, sf_dir), "product_id", PRODUCT_TRACKED)
+    return history.versions(_stored(spark, shop.product_snapshots(spark, sf_dir), "snapshots"), "product_id", PRODUCT_TRACKED)
 
 
 def _user_360(spark, sf_dir, as_of=AS_OF):
     events = _stored_silver(spark, sf_dir)
-    return marts.user_360(_users(spark, sf_dir), orders.fact_orders(events), events, as_of)
+    return marts.user_360(_users(spark, sf_dir), orders.order_totals(events), events, as_of)
 
 
 def _order_rows(df):
@@ -159,7 +165,7 @@ def order_totals_bulk(spark, sf_dir):
 
 @query
 def order_lines(spark, sf_dir):
-    lines = _orders(spark, sf_dir).select("order_id", F.inline("items"))
+    lines = orders.order_lines(_silver(spark, sf_dir)).select("order_id", *orders.ITEM)
     return lines.withColumn("line_total", F.round("line_total", 4))
 
 
@@ -192,12 +198,14 @@ def daily_sales(spark, sf_dir):
 
 @query
 def daily_sales_order_aov(spark, sf_dir):
-    return marts.daily_sales(_orders(spark, sf_dir), aov="order")
+    lines, totals = _lines_and_totals(spark, _silver(spark, sf_dir))
+    return marts.daily_sales(totals, aov="order", lines=lines)
 
 
 @query
 def daily_sales_bulk(spark, sf_dir):
-    return marts.daily_sales(orders.fact_orders(shop.line_events(spark, sf_dir)))
+    lines, totals = _lines_and_totals(spark, shop.line_events(spark, sf_dir))
+    return marts.daily_sales(totals, lines=lines)
 
 
 @query
@@ -232,7 +240,7 @@ def abandoned_carts(spark, sf_dir):
 
 @query
 def user_order_metrics(spark, sf_dir):
-    return marts.user_order_metrics(_orders(spark, sf_dir))
+    return marts.user_order_metrics(orders.order_totals(_silver(spark, sf_dir)))
 
 
 @query
@@ -286,7 +294,8 @@ def pit_orders_users(spark, sf_dir):
 @query
 def pit_lines_products(spark, sf_dir):
     """Each order line with the catalogue price at the sale."""
-    sold = _stored(spark, orders.fact_orders(shop.line_events(spark, sf_dir)), "orders")
+    lines, totals = _lines_and_totals(spark, shop.line_events(spark, sf_dir))
+    sold = _stored(spark, orders.priced_lines(lines, totals), "sold")
     dim = _stored(spark, _products(spark, sf_dir), "dim")
     found = history.lines_at_sale_price(sold, dim, ["version", "price", "active"])
     return found.withColumnRenamed("price", "price_at_sale")
@@ -295,7 +304,7 @@ def pit_lines_products(spark, sf_dir):
 @query
 def remarketing_list(spark, sf_dir):
     events = _stored_silver(spark, sf_dir)
-    people = marts.user_360(_users(spark, sf_dir), orders.fact_orders(events), events, AS_OF)
+    people = marts.user_360(_users(spark, sf_dir), orders.order_totals(events), events, AS_OF)
     return marts.remarketing_list(marts.abandoned_carts(events), people, AS_OF)
 
 
@@ -471,7 +480,8 @@ def tiered_search(spark, sf_dir):
 
 def _signals(spark, sf_dir):
     events = _stored_silver(spark, sf_dir)
-    return ranking.product_signals(events, orders.fact_orders(events), AS_OF)
+    lines, totals = _lines_and_totals(spark, events)
+    return ranking.product_signals(events, totals, AS_OF, lines=lines)
 
 
 @query
@@ -552,9 +562,9 @@ def repeated_order_ids(spark, sf_dir):
 @query
 def quality_gold(spark, sf_dir):
     events = _stored_silver(spark, sf_dir)
-    sold = orders.fact_orders(events)
+    lines, sold = _lines_and_totals(spark, events)
     return _measured(
-        ("daily_sales", marts.daily_sales(sold), quality.DAILY_SALES),
+        ("daily_sales", marts.daily_sales(sold, lines=lines), quality.DAILY_SALES),
         ("funnel", marts.funnel(events), quality.FUNNEL),
         ("abandoned_carts", marts.abandoned_carts(events), quality.CARTS),
         ("user_360", marts.user_360(_users(spark, sf_dir), sold, events, AS_OF), quality.USER_360),
