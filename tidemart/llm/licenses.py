@@ -17,6 +17,8 @@ doc_id are reported once per template.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,6 +114,7 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, bands: int = BANDS, wi
     width = window_words - SHINGLE + 1
     rows = template_rows(spark, templates)
     by_band = _band_values(rows, bands, width)
+    in_templates = sorted({h for r in rows for h in r["shingles"]})
     # Both tables are bounded by MAX_TEMPLATE_WORDS.
     by_value = spark.createDataFrame(
         [(b, value, sorted(ts)) for b in range(bands) for value, ts in by_band[b].items()],
@@ -121,18 +124,19 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, bands: int = BANDS, wi
     hashes, last = F.col("hashes"), F.size("hashes") - 1
     starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))).otherwise(F.array().cast("array<int>"))
 
+    def any_of(tests: list[Column]) -> Column:
+        return reduce(lambda a, b: a | b, tests)
+
     def retrieves(start: Column) -> Column:
-        hit = minhash(hashes, start, 0, width).isin(list(by_band[0]))
-        for band in range(1, bands):
-            hit = hit | minhash(hashes, start, band, width).isin(list(by_band[band]))
-        return hit
+        # A window's MinHash can only equal a template's if it is a template's shingle: windows without one are dismissed first.
+        shares = any_of([F.coalesce(F.get(hashes, start + k).isin(in_templates), F.lit(False)) for k in range(width)])
+        return shares & any_of([minhash(hashes, start, b, width).isin(list(by_band[b])) for b in range(bands)])
 
     def probes(start: Column) -> Column:
         return F.array(*[
             F.struct(start.alias("start"), F.lit(b).alias("band"), minhash(hashes, start, b, width).alias("value")) for b in range(bands)
         ])
 
-    in_templates = sorted({h for r in rows for h in r["shingles"]})
     # Words and hashes are columns of their own: inside a lambda an expression is evaluated for each element.  The outer
     # explode keeps the optimizer from testing the windows once more below it.
     hashed = docs.select("doc_id", words(F.col("text")).alias("words")).select("doc_id", shingles(F.col("words")).alias("hashes"))
