@@ -36,6 +36,8 @@ _ARROW_HITS = pa.schema([("query_id", pa.string()), ("product_id", pa.string()),
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best matches, ties by id."""
+    if k < 1:
+        return np.zeros(0, dtype=np.intp)
     found = np.flatnonzero(~np.isnan(scores))
     if found.size > k:
         floor = np.partition(scores[found], found.size - k)[found.size - k]

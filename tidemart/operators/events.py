@@ -40,13 +40,11 @@ def clean_events(bronze: DataFrame) -> DataFrame:
 def fill_from_product(events: DataFrame, products: DataFrame, source: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Split events into those of a known product, filled from it, and the rest.
 
-    ``products`` has one row per product_id.  The events may be a stream.
+    ``products`` has one row per product_id, active or not.  The events may be a stream.
     """
     attrs = products.select(
-        "product_id",
-        F.col("category").alias("_category"),
-        F.col("price").alias("_price"),
-        F.col("name").alias("_name"),
+        "product_id", F.col("category").alias("_category"), F.col("price").alias("_price"), F.col("name").alias("_name"),
+        F.lit(True).alias("_known"),
     )
     extra = {"name": F.col("_name")}
     if source:
@@ -55,7 +53,8 @@ def fill_from_product(events: DataFrame, products: DataFrame, source: str | None
     named = F.map_filter(tags, lambda _, v: v.isNotNull())
     old = F.coalesce(F.col("properties"), F.create_map().cast("map<string,string>"))
     kept = F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(named), k))
-    filled = events.join(attrs, "product_id").select(
+    met = events.join(attrs, "product_id", "left")
+    filled = met.where("_known").select(
         *[
             F.col("_category").alias(c)
             if c == "category"
@@ -67,8 +66,7 @@ def fill_from_product(events: DataFrame, products: DataFrame, source: str | None
             for c in events.columns
         ]
     )
-    unknown = events.join(products.select("product_id"), "product_id", "left_anti").select(*events.columns)
-    return filled, unknown
+    return filled, met.where("_known IS NULL").select(*events.columns)
 
 
 def fill_transport(events: DataFrame, batches: DataFrame, on: str = "batch_id") -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import log_share, unit_interval
+from ..schemas import PRODUCT_CATEGORIES
 from .orders import priced_lines
+from .retrieval import RERANK_POOL, tiered_search
 
 # Fixed values of the ranking rule.
 WEIGHTS = {"semantic": 0.60, "price": 0.15, "popularity": 0.25}
@@ -96,3 +100,25 @@ def hybrid_rank(
     order = Window.partitionBy("query_id").orderBy(F.col("final_score").desc(), "retrieval_rank")
     ranked = scored.withColumn("rank", F.row_number().over(order))
     return ranked if limit is None else ranked.where(F.col("rank") <= max(1, int(limit)))
+
+
+def semantic_search(
+    queries: DataFrame,
+    embeddings: DataFrame,
+    products: DataFrame,
+    popularity_scores: DataFrame | None,
+    dim: int,
+    limit: int = 5,
+    pool: int = RERANK_POOL,
+    categories: Sequence[str] = PRODUCT_CATEGORIES,
+    **blocks,
+) -> DataFrame:
+    """Tiered search with the re-rank on top, at most ``limit`` rows per query.
+
+    Tiers 1 and 2 hand ``pool`` times the wanted rows to the ranker; tier 3 is not ranked, its scores are null and its order
+    is that of the search.
+    """
+    found = tiered_search(queries, embeddings, products, dim, limit, categories, pool=limit * pool, **blocks)
+    ranked = hybrid_rank(found.where("tier < 3"), popularity_scores, limit=limit)
+    literal = found.where("tier = 3").withColumn("rank", F.col("retrieval_rank"))
+    return ranked.unionByName(literal, allowMissingColumns=True)

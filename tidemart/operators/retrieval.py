@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import joined_text
 from ..schemas import PRODUCT_CATEGORIES
+from ..session import scratch_path
 from .blockwise import top_k
 from .history import current
 
@@ -22,8 +23,8 @@ Encoder = Callable[[list[str]], np.ndarray]
 # Fixed values of the search contract.
 OVERSAMPLE = 5          # post-filtered search retrieves this many times the wanted hits
 RERANK_POOL = 4         # candidates handed to the ranker per wanted result
-PREFILTERED_MAX = 20    # most hits of a pre-filtered search
-LITERAL_MAX = 25        # most rows of a literal search
+PREFILTERED_MAX = 20    # most hits of a pre-filtered search, unless the caller sets another bound
+LITERAL_MAX = 25        # most rows of a literal search, unless the caller sets another bound
 SCORE_PLACES = 6
 
 
@@ -53,8 +54,12 @@ def search_products(
     limit: int = 5,
     categories: Sequence[str] = PRODUCT_CATEGORIES,
     escape: bool = False,
+    most: int | None = LITERAL_MAX,
 ) -> DataFrame:
-    """Cheapest current, active products; unknown categories and prices <= 0 do not filter."""
+    """Cheapest current, active products; unknown categories and prices <= 0 do not filter.
+
+    ``limit`` is read as 1 to ``most`` (no upper bound if None).
+    """
     found = current(dimension, active_only=True)
     if category in categories:
         found = found.where(F.col("category") == category)
@@ -63,7 +68,11 @@ def search_products(
     if max_price is not None and max_price > 0:
         found = found.where(F.col("price") <= float(max_price))
     columns = ["product_id", "name", "category", "price", "currency"]
-    return found.select(*columns).orderBy("price", "product_id").limit(min(max(int(limit), 1), LITERAL_MAX))
+    return found.select(*columns).orderBy("price", "product_id").limit(_bounded(int(limit), most))
+
+
+def _bounded(k: int, most: int | None) -> int:
+    return max(k, 1) if most is None else min(max(k, 1), most)
 
 
 def get_products(dimension: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -173,7 +182,7 @@ def literal_scorer(queries: pa.Table, candidates: pa.Table) -> np.ndarray:
     names = candidates["name_lower"]
     price = candidates["price"].to_numpy()
     missing = candidates["price"].is_null().to_numpy()
-    scores = np.where(missing, np.inf, -price)
+    scores = np.where(missing, np.inf, np.where(np.isnan(price), -np.inf, -price))  # a NaN price is a match, and last
     out = np.full((queries.num_rows, candidates.num_rows), np.nan)
     admitted = _admitted(queries, candidates)
     for row, pattern in enumerate(queries["pattern"].to_pylist()):
@@ -205,13 +214,15 @@ def nearest(queries: DataFrame, candidates: DataFrame, dim: int, k: int | Column
     return top_k(asked, candidates.select("product_id", "embedding"), dot_scorer(dim), **blocks)
 
 
-def nearest_prefiltered(queries: DataFrame, candidates: DataFrame, dim: int, k: int, **blocks) -> DataFrame:
-    """Filter by each query's category and max_price, then the top-k (1 to 20) of what is left.
+def nearest_prefiltered(
+    queries: DataFrame, candidates: DataFrame, dim: int, k: int, most: int | None = PREFILTERED_MAX, **blocks
+) -> DataFrame:
+    """Filter by each query's category and max_price, then the top-k (1 to ``most``, None: any) of what is left.
 
     Here any non-null category filters, known or not.
     """
     asked = with_filters(queries, categories=None).select(
-        "query_id", "embedding", "category", "max_price", F.lit(min(max(k, 1), PREFILTERED_MAX)).alias("k")
+        "query_id", "embedding", "category", "max_price", F.lit(_bounded(k, most)).alias("k")
     )
     return top_k(asked, candidates.select("product_id", "embedding", "category", "price"), dot_scorer(dim), **blocks)
 
@@ -242,12 +253,12 @@ def nearest_postfiltered(
 
 
 def literal_search(queries: DataFrame, products: DataFrame, k: int, categories: Sequence[str] = PRODUCT_CATEGORIES,
-                   **blocks) -> DataFrame:
+                   most: int | None = LITERAL_MAX, **blocks) -> DataFrame:
     """Name search for many queries; a null or empty text filters on category and price only."""
     text = F.when(F.col("query") != "", F.col("query"))
     asked = with_filters(queries, categories).select(
         "query_id", like_pattern(text).alias("pattern"), "category", "max_price",
-        F.lit(min(max(k, 1), LITERAL_MAX)).alias("k"),
+        F.lit(_bounded(k, most)).alias("k"),
     )
     names = current(products, active_only=True).select(
         "product_id", F.lower("name").alias("name_lower"), "category", "price"
@@ -255,6 +266,13 @@ def literal_search(queries: DataFrame, products: DataFrame, k: int, categories:
     return top_k(asked, names, literal_scorer, **blocks)
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """The hits of a tier, at most k rows per query, so that later tiers see who is still without any."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def tiered_search(
     queries: DataFrame,
     embeddings: DataFrame,
@@ -267,24 +285,29 @@ def tiered_search(
 ) -> DataFrame:
     """First tier with any row wins per query: pre-filtered, post-filtered, literal.
 
-    Blank queries go to the filter search.  Literal rows carry no score.  ``queries`` has
-    query_id, query, embedding, category and max_price; ``pool`` is the number of candidates
-    asked of the vector tiers (a ranker's headroom), ``limit`` by default.
+    A tier is asked only for the queries that the tiers before it left without a row; blank queries go to the filter search.
+    Literal rows carry no score and are at most ``limit``.  The vector tiers give at most ``pool`` rows (a ranker's
+    headroom; ``limit`` by default).  ``queries`` has query_id, query, embedding, category and max_price.
     """
     pool = pool or limit
     blank = F.trim(F.coalesce(F.col("query"), F.lit(""))) == ""
     spoken = queries.where(~blank)
     attrs = current(products, active_only=True).select("product_id", "name", "category", "price", "currency")
     vectors = embeddings.select("product_id", "embedding").join(attrs.select("product_id", "category", "price"), "product_id")
-    columns = ["query_id", "product_id", "score", "retrieval_rank", "tier"]
-    first = nearest_prefiltered(spoken, vectors, dim, pool, **blocks)
-    second = nearest_postfiltered(spoken, embeddings, products, dim, pool, categories=categories, **blocks)
-    silent = queries.withColumn("query", F.when(~blank, F.col("query")))
-    third = literal_search(silent, products, limit, categories, **blocks).withColumn("score", F.lit(None).cast("double"))
-    stacked = None
-    for tier, hits in enumerate((first, second, third), start=1):
-        hits = hits.withColumn("tier", F.lit(tier)).select(*columns)
-        stacked = hits if stacked is None else stacked.unionByName(hits)
-    # A query has a bounded number of rows here (k per tier), so its window group is small.
-    best = F.min("tier").over(Window.partitionBy("query_id"))
-    return stacked.withColumn("_best", best).where("tier = _best").drop("_best").join(attrs, "product_id")
+    columns = ["query_id", "product_id", "score", "retrieval_rank"]
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("retrieval_rank"))
+
+    def trimmed(hits: DataFrame, tier: int) -> DataFrame:
+        kept = hits.select(*columns).withColumn("_place", place).where(F.col("_place") <= pool).drop("_place")
+        return _written(kept, f"tier-{tier}")
+
+    def without_rows(asked: DataFrame, hits: DataFrame) -> DataFrame:
+        return asked.join(hits.select("query_id").distinct(), "query_id", "left_anti")
+
+    first = trimmed(nearest_prefiltered(spoken, vectors, dim, pool, most=None, **blocks), 1)
+    second = trimmed(nearest_postfiltered(
+        without_rows(spoken, first), embeddings, products, dim, pool, categories=categories, **blocks), 2)
+    rest = without_rows(without_rows(queries, first), second).withColumn("query", F.when(~blank, F.col("query")))
+    third = literal_search(rest, products, limit, categories, **blocks).withColumn("score", F.lit(None).cast("double"))
+    tiers = [hits.select(*columns, F.lit(n).alias("tier")) for n, hits in enumerate((first, second, third), start=1)]
+    return tiers[0].unionByName(tiers[1]).unionByName(tiers[2]).join(attrs, "product_id")

