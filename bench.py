@@ -12,16 +12,18 @@ from tidemart.plans.queries import QUERIES
 from tidemart.session import build_session
 
 HEADLINE = [
-    "dedup_latest", "sessionize_30", "scd2_products", "fact_orders_bulk", "daily_funnel", "abandoned_carts",
-    "user_order_metrics_bulk", "user_360", "pit_orders_users", "pit_lines_products", "enrich_cart_events",
-    "embed_documents", "knn_topk", "hybrid_rank", "contract_check", "late_split",
+    "dedup_latest", "sessionize_30", "sessionize_720", "scd2_users", "scd2_products", "fact_orders_bulk", "daily_sales_bulk",
+    "daily_funnel", "abandoned_carts", "user_order_metrics_bulk", "user_360", "pit_orders_users", "pit_lines_products",
+    "enrich_cart_events", "doc_text", "embed_documents", "knn_topk", "knn_postfiltered", "popularity_score", "hybrid_rank",
+    "quality_events", "upsert_all", "contract_check", "rescued_fields", "late_split", "medallion_refresh", "stream_upsert",
+    "backfill_window",
 ]
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": "12g",

@@ -124,3 +124,22 @@ def test_transport_fields_are_only_filled(spark):
     batches = spark.createDataFrame([("b1", "2.2.2.2", "ua")], "batch_id string, ip string, user_agent string")
     got = {r.event_id: (r.ip, r.user_agent) for r in ev.fill_transport(events, batches).collect()}
     assert got == {"a": ("1.1.1.1", "ua"), "b": ("2.2.2.2", "ua")}
+
+
+def test_renumbering_keeps_anonymous_visitors_apart(spark, sf_dir):
+    bronze = shop.bronze_events(spark, sf_dir).drop("properties").withColumn(
+        "user_id", F.when(F.hash("session_id") % 3 != 0, F.col("user_id")))
+    early = bronze.where("_ingest_ts < TIMESTAMP '2024-01-15'")
+    late = bronze.where("_ingest_ts >= TIMESTAMP '2024-01-15'")
+    silver = silver_events(early, 720, anonymous_key="session_id")
+    change = renumbered(silver, late, 720, "session_id")
+    after = silver.join(change.select("event_id"), "event_id", "left_anti").unionByName(change)
+    full = silver_events(bronze, 720, anonymous_key="session_id").select(*after.columns)
+    assert after.exceptAll(full).isEmpty() and full.exceptAll(after).isEmpty()
+
+
+def test_endless_prices_have_no_amount(spark):
+    from tidemart.functions.columns import money_units
+
+    rows = [(float("inf"),), (float("-inf"),), (float("nan"),), (None,), (1.25,)]
+    assert [r[0] for r in spark.createDataFrame(rows, "p double").select(money_units(F.col("p"))).collect()] == [None] * 4 + [12500]

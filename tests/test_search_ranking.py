@@ -127,3 +127,29 @@ def test_top_k_with_hot_ties(spark):
     for options in ({}, {"broadcast_rows": 0, "block_candidates": 300}):
         got = top_k(q, c.repartition(4), retrieval.dot_scorer(1), **options).orderBy("retrieval_rank")
         assert [r.product_id for r in got.collect()] == ["c0000", "c0001", "c0002"]
+
+
+def test_literal_search_keeps_products_without_a_number(spark):
+    rows = [("p1", "red a", "furniture", float("nan"), "USD", True, True), ("p2", "red b", "furniture", 3.0, "USD", True, True)]
+    asked = spark.createDataFrame([("q", "red", None, None)], "query_id string, query string, category string, max_price double")
+    hits = retrieval.literal_search(asked, spark.createDataFrame(rows, CATALOG), 5)
+    assert [(r.product_id, r.retrieval_rank) for r in hits.orderBy("retrieval_rank").collect()] == [("p2", 1), ("p1", 2)]
+
+
+def test_tiers_are_trimmed_and_bounds_can_be_lifted(spark):
+    c, _ = vectors(spark, 60, 8, 2, "product_id", "c")
+    q, _ = vectors(spark, 2, 8, 1, "query_id", "q")
+    products = c.select("product_id", F.lit("red x").alias("name"), F.lit("furniture").alias("category"), F.lit(5.0).alias("price"),
+                        F.lit("USD").alias("currency"), F.lit(True).alias("is_current"), F.lit(True).alias("active"))
+    asked = q.withColumns({"query": F.lit("red"), "max_price": F.lit(None).cast("double"),
+                           "category": F.when(F.col("query_id") == "q0000", "toys").otherwise("furniture")})
+    got = retrieval.tiered_search(asked, c, products, 8, 5).groupBy("query_id", "tier").count().collect()
+    assert {tuple(r) for r in got} == {("q0000", 2, 5), ("q0001", 1, 5)}
+    candidates = c.join(products.drop("name"), "product_id")
+    for most, n in ((retrieval.PREFILTERED_MAX, 20), (None, 40)):
+        hits = retrieval.nearest_prefiltered(asked.where("query_id = 'q0001'"), candidates, 8, 40, most=most)
+        assert hits.count() == n
+    assert retrieval.nearest(q, c, 8, 0).count() == 0
+    popular = spark.createDataFrame([], "product_id string, popularity_score double")
+    found = ranking.semantic_search(asked, c, products, popular, 8, 5).groupBy("query_id").count().collect()
+    assert {tuple(r) for r in found} == {("q0000", 5), ("q0001", 5)}

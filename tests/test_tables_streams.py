@@ -103,9 +103,10 @@ def test_rescue(spark):
 def test_contract(spark):
     lines = [line(), line(zz=1), line(event_type="signup"), line(session_id=None), line(quantity="many"), "nope", line(event_id=None)]
     valid, refused = landing.check_contract(spark.createDataFrame([(x,) for x in lines], "value string"))
-    assert sorted(r.reason for r in refused.collect()) == ["bad_value", "malformed_json", "missing_field", "unknown_event_type", "unknown_field"]
+    assert sorted(r.reason for r in refused.collect()) == [
+        "bad_value", "malformed_json", "missing_field", "null_field", "unknown_event_type", "unknown_field"]
     rows = valid.collect()
-    assert len(rows) == 2 and all(r.schema_version == "1.0.0" and r.event_id.startswith("e") for r in rows)
+    assert len(rows) == 1 and all(r.schema_version == "1.0.0" and r.event_id.startswith("e") for r in rows)
     big = spark.range(1001).select(F.lit(line()).alias("value"), F.lit("b").alias("batch"))
     assert landing.check_contract(big, "batch")[0].count() == 0
 
@@ -157,3 +158,62 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", ["medallion_refresh", "stream_upsert"])
 def test_whole_paths_run(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_upsert_finds_folders_of_any_name(spark):
+    table = tables.VersionedTable(spark, scratch_path(spark, "t"), ["place"])
+    names = ["United States", "a:b", "50%", "x+y", "Köln", "a=b/c", "p%20q", None]
+    frame = lambda n: spark.createDataFrame([(str(i), p, n) for i, p in enumerate(names)], "id string, place string, n int")
+    table.upsert(frame(1), ["id"])
+    table.upsert(frame(2), ["id"])
+    assert sorted((r.id, r.place or "", r.n) for r in table.read().collect()) == [(str(i), p or "", 2) for i, p in enumerate(names)]
+
+
+def test_details_of_an_upserted_table_must_match(spark):
+    table = tables.VersionedTable(spark, scratch_path(spark, "t"))
+    table.upsert(priced(spark, [("a", 1.0)]), ["event_id"], anonymous_key=None)
+    table.upsert(priced(spark, [("b", 1.0)]), ["event_id"], anonymous_key=None)
+    with pytest.raises(ValueError):
+        table.upsert(priced(spark, [("c", 1.0)]), ["event_id"], anonymous_key="session_id")
+
+
+def test_text_is_clustered_beyond_a_common_prefix(spark):
+    df = spark.range(4000).select(F.concat(F.lit("https://example.com/"), F.lpad(F.hash("id").cast("string"), 12, "0")).alias("url"), "id")
+    laid = tables.clustered(df, ["url"], 8, bits=4).withColumn("part", F.spark_partition_id())
+    ranges = laid.groupBy("part").agg(F.min("url").alias("low"), F.max("url").alias("high")).orderBy("low").collect()
+    assert len(ranges) > 4 and all(a.high <= b.low for a, b in zip(ranges, ranges[1:]))
+
+
+def test_contract_refuses_endless_prices_and_null_ids(spark):
+    base = '"event_type": "page_view", "event_ts": "2024-01-01T00:00:00Z", "session_id": "s"'
+    lines = [
+        ("{%s, \"price\": Infinity}" % base, "bad_value"), ("{%s, \"price\": 1e999}" % base, "bad_value"),
+        ("{%s, \"event_id\": null}" % base, "null_field"), ("{%s, \"price\": 1.5}" % base, None),
+    ]
+    posted = spark.createDataFrame([(v,) for v, _ in lines], "value string")
+    valid, rejects = landing.check_contract(posted)
+    assert {r.value: r.reason for r in rejects.collect()} == {v: r for v, r in lines if r}
+    assert [r.price for r in valid.collect()] == [1.5]
+
+
+def test_first_refresh_may_find_no_files(spark):
+    from tidemart.plans.refresh import refresh
+
+    made = refresh(spark, _empty_landing(spark), scratch_path(spark, "warehouse"), "2024-01-31")
+    assert len(made) == 8 and all(t.read().count() == 0 for t in made.values())
+
+
+def _empty_landing(spark):
+    path = scratch_path(spark, "landing")
+    for name in ("events", "users", "products"):
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)
+    return path
+
+
+def test_appends_may_add_columns(spark):
+    path = scratch_path(spark, "wide")
+    tables.append(priced(spark, [("a", 1.0)]), path)
+    tables.append(priced(spark, [("b", 2.0)]).withColumn("note", F.lit("new")), path)
+    wide = spark.read.option("mergeSchema", "true").parquet(path)
+    assert {(r.event_id, r.note) for r in wide.collect()} == {("a", None), ("b", "new")}

@@ -12,9 +12,9 @@ MONEY_SCALE = 10_000  # money is summed as whole ten-thousandths
 def money_units(amount: Column) -> Column:
     """A double amount as whole ten-thousandths: long sums are exact in any order.
 
-    NaN has no amount and reads as null; a sum beyond the long range raises (ANSI).
+    What is not finite has no amount and reads as null; a sum beyond the long range raises (ANSI).
     """
-    return F.when(~F.isnan(amount), F.round(amount * MONEY_SCALE).cast("long"))
+    return F.when(F.abs(amount) < float("inf"), F.round(amount * MONEY_SCALE).cast("long"))
 
 
 def line_units(price: Column, quantity: Column) -> Column:

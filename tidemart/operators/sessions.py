@@ -94,19 +94,22 @@ def silver_events(bronze: DataFrame, inactivity_minutes: float = 30, **options)
     return sessionize(latest_per_key(known_events(bronze), "event_id"), inactivity_minutes, **options)
 
 
-def renumbered(silver: DataFrame, arrived: DataFrame, inactivity_minutes: float = 30) -> DataFrame:
+def renumbered(
+    silver: DataFrame, arrived: DataFrame, inactivity_minutes: float = 30, anonymous_key: str | None = None
+) -> DataFrame:
     """Silver rows to upsert after more Bronze rows arrived, late or repeated ones included.
 
     Session numbers depend on a visitor's history, so numbering the arrivals on their own
     would clash with stored ids.  For each visitor they touch (by a new row, or by the stored
     row it replaces) everything from the first touched instant on is numbered again, starting
-    from the visitor's last earlier event; what lies before keeps its number.
+    from the visitor's last earlier event; what lies before keeps its number.  ``anonymous_key`` must be the one that
+    ``silver`` was numbered with.
     """
     fresh = known_events(arrived)
-    stored = silver.withColumn("_visitor", _visitor(None))
+    stored = silver.withColumnRenamed("session_id_raw", "session_id").withColumn("_visitor", _visitor(anonymous_key))
     replaced = stored.join(fresh.select("event_id").distinct(), "event_id", "left_semi")
     touched = (
-        fresh.select(_visitor(None).alias("_visitor"), "event_ts")
+        fresh.select(_visitor(anonymous_key).alias("_visitor"), "event_ts")
         .union(replaced.select("_visitor", "event_ts"))
         .groupBy("_visitor")
         .agg(F.min("event_ts").alias("_from"))
@@ -117,14 +120,14 @@ def renumbered(silver: DataFrame, arrived: DataFrame, inactivity_minutes: float
         F.max(whole_seconds(F.col("event_ts"))).alias("_seed_second"), F.max(number).alias("_seed_number")
     )
     later = theirs.where("event_ts >= _from").drop("session_id_silver", "event_date", "_visitor", "_from")
-    later = later.withColumnRenamed("session_id_raw", "session_id")
     merged = latest_per_key(later.unionByName(fresh.select(*later.columns)), "event_id")
-    return sessionize(merged, inactivity_minutes, seed=seed)
+    return sessionize(merged, inactivity_minutes, anonymous_key, seed=seed)
 
 
 def backfill(
-    silver: DataFrame, bronze: DataFrame, first_day: str, last_day: str, inactivity_minutes: float = 30
+    silver: DataFrame, bronze: DataFrame, first_day: str, last_day: str, inactivity_minutes: float = 30,
+    anonymous_key: str | None = None,
 ) -> DataFrame:
     """Rows to upsert after replaying the Bronze rows ingested in a span of days (inclusive)."""
     span = bronze.where(F.col("_ingest_date").between(F.to_date(F.lit(first_day)), F.to_date(F.lit(last_day))))
-    return renumbered(silver, span, inactivity_minutes)
+    return renumbered(silver, span, inactivity_minutes, anonymous_key)

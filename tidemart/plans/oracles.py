@@ -621,8 +621,7 @@ def build() -> dict[str, str]:
     sql["overwrite_readback"] = f"WITH {DELIVERIES} SELECT event_id, price, {_day('_ingest_ts', '_ingest_date')} FROM second_delivery"
     sql["upsert_all"] = f"WITH {DELIVERIES} SELECT event_id, {_day('event_ts', 'event_date')}, event_type, price, _source_file FROM second_delivery"
     sql["upsert_some_columns"] = f"""WITH {DELIVERIES} SELECT s.event_id, {_day('s.event_ts', 'event_date')}, s.event_type, s.price,
-      CASE WHEN f._ingest_ts < TIMESTAMP '2024-01-16' THEN 'first' ELSE 'second' END AS _source_file
-      FROM second_delivery s JOIN first_delivery f USING (event_id)"""
+      'first' AS _source_file FROM second_delivery s JOIN first_delivery f USING (event_id)"""
     sql["typed_table"] = f"""WITH {DELIVERIES} SELECT {EVENT_OUT}, '1.0.0' AS schema_version, {_ts('_ingest_ts')},
       {_day('_ingest_ts', '_ingest_date')} FROM first_delivery"""
     sql["clustered_readback"] = f"SELECT l_orderkey, l_partkey, {_ts('l_shipdate')}, l_returnflag, l_quantity FROM lineitem"
@@ -679,7 +678,7 @@ clean AS (SELECT * FROM first_delivery WHERE event_type <> 'signup')""" + "," +
     sql["sales_preview"] = f"""WITH {sold}, {_sales('purchases')},
       top AS (SELECT * FROM sales ORDER BY sale_date DESC, gmv DESC, category, country LIMIT 50) {SALES_OUT.replace('FROM sales', 'FROM top')}"""
     sql["funnel_trend"] = f"WITH {silver}, {FUNNEL} SELECT {_day('event_date')}, purchase_rate FROM funnel WHERE event_date >= DATE '2023-11-02'"
-    names = ["events", "orders", "lineitem", "customer", "part", "documents", "conversations"]
+    names = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
     sql["table_counts"] = " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows FROM {n}" for n in names)
     sql["conversation_tail"] = """SELECT conv_id, turn, role, text FROM (
       SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations) WHERE back <= 4"""

@@ -621,9 +621,10 @@ def _upserted(spark, sf_dir, update_columns):
     first, second = _first_and_second(spark, sf_dir)
     day = F.to_date("event_ts").alias("event_date")
     table = tables.VersionedTable(spark, scratch_path(spark, "upsert"), ["event_date"])
-    # What was delivered by the middle of the month, then every corrected copy.
+    # What came by the middle of the month, then the whole first delivery (updates and inserts), then every corrected copy.
     early = first.where("_ingest_ts < TIMESTAMP '2024-01-16'")
-    table.upsert(early.select(*EVENT_OUT, "_source_file", day), ["event_id"])
+    for delivered in (early, first):
+        table.upsert(delivered.select(*EVENT_OUT, "_source_file", day), ["event_id"])
     table.upsert(second.select(*EVENT_OUT, "_source_file", day), ["event_id"], update_columns)
     return table.read().select("event_id", "event_date", "event_type", "price", "_source_file")
 
@@ -866,7 +867,10 @@ def funnel_trend(spark, sf_dir):
 
 @query
 def table_counts(spark, sf_dir):
-    names = ["events", "orders", "lineitem", "customer", "part", "documents", "conversations"]
+    names = [
+        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+        "benchmark", "labels", "conversations",
+    ]
     return reports.table_counts({n: shop.table(spark, sf_dir, n) for n in names})
 
 

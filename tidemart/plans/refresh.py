@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import quality as q
 from ..operators.history import versions
 from ..operators.marts import abandoned_carts, daily_sales, funnel, user_360
-from ..operators.orders import fact_orders
+from ..operators.orders import fact_orders, order_lines
 from ..operators.sessions import silver_events
-from ..schemas import EVENT, PRODUCT, PRODUCT_TRACKED, USER, USER_TRACKED
+from ..schemas import EVENT, PRODUCT, PRODUCT_TRACKED, USER, USER_TRACKED, loosened, with_ingest_columns
 from ..sources.tables import VersionedTable
 from ..streaming.ingest import stream_events, stream_snapshot
 
@@ -30,7 +30,15 @@ def ingest(spark: SparkSession, landing: str, warehouse: str) -> dict[str, DataF
     for name, schema in (("users", USER), ("products", PRODUCT)):
         src, ckpt, target = where(name)
         stream_snapshot(spark, src, ckpt, schema, target)
-    return {name: spark.read.parquet(where(name)[2]) for name in ("events", "users", "products")}
+    def bronze(name: str, schema) -> DataFrame:
+        path = where(name)[2]
+        kept = loosened(with_ingest_columns(schema, dated=name == "events")).add("_rescued_data", "string")
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):  # nothing has arrived yet
+            return spark.createDataFrame([], kept)
+        return spark.read.schema(kept).parquet(path)
+
+    return {name: bronze(name, schema) for name, schema in (("events", EVENT), ("users", USER), ("products", PRODUCT))}
 
 
 def refresh(
@@ -51,7 +59,7 @@ def refresh(
     users = publish("dim_users_scd2", versions(bronze["users"], "user_id", USER_TRACKED), q.DIM_USERS)
     publish("dim_products_scd2", versions(bronze["products"], "product_id", PRODUCT_TRACKED), q.DIM_PRODUCTS)
     orders = publish("fact_orders", fact_orders(events), q.ORDERS)
-    publish("fact_daily_sales", daily_sales(orders), q.DAILY_SALES)
+    publish("fact_daily_sales", daily_sales(orders, lines=order_lines(events)), q.DAILY_SALES)
     publish("fact_funnel", funnel(events), q.FUNNEL)
     publish("fact_abandoned_carts", abandoned_carts(events), q.CARTS)
     publish("dim_user_360", user_360(users, orders, events, as_of), q.USER_360)

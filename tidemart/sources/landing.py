@@ -91,18 +91,20 @@ def write_snapshot(df: DataFrame, path: str, files: int | None = None) -> None:
     (df.coalesce(files) if files else df).write.mode("append").options(**WRITE_OPTIONS).json(path)
 
 
-def check_contract(posted: DataFrame, batch: str | None = None, line: str = "value") -> tuple[DataFrame, DataFrame]:
+def check_contract(posted: DataFrame, batch: str | None = None, line: str = "value", max_batch: int = MAX_BATCH) -> tuple[DataFrame, DataFrame]:
     """Split posted event lines into contract-clean events and rejects with a reason.
 
-    Refused are: malformed JSON, unknown fields, missing or null required fields, unknown
-    event types, values that do not fit, and batches of more than a thousand events.  Times
-    become UTC, property values text; a missing id or version is filled in.
+    Refused are: malformed JSON, unknown fields, missing or null required fields, a null id or version, unknown event
+    types, values that do not fit or are not finite, and batches of more than ``max_batch`` events.  Times become UTC,
+    property values text; a missing id or version is filled in.
     """
     optional = {"event_id", "schema_version"}
     required = [f.name for f in EVENT if not f.nullable and f.name not in optional]
     known = F.array(*[F.lit(f.name) for f in EVENT])
     parsed = _parsed_twice(posted, EVENT, line)
     given = F.map_keys(F.map_filter("_raw", lambda _, v: v.isNotNull()))
+    nulls = F.map_keys(F.map_filter("_raw", lambda _, v: v.isNull()))
+    endless = [F.abs(F.col(f"_typed.{f.name}")) == float("inf") for f in EVENT if f.dataType.typeName() == "double"]
     size = F.lit(1)
     if batch:
         sizes = posted.groupBy(batch).agg(F.count(F.lit(1)).alias("_size"))
@@ -111,10 +113,11 @@ def check_contract(posted: DataFrame, batch: str | None = None, line: str = "val
     keys = F.map_keys("_raw")
     reasons = {
         "malformed_json": keys.isNull() | (F.size(keys) == 0),
-        "batch_too_large": size > MAX_BATCH,
+        "batch_too_large": size > max_batch,
         "unknown_field": F.size(F.array_except(keys, known)) > 0,
         "missing_field": F.size(F.array_except(F.array(*map(F.lit, required)), given)) > 0,
-        "bad_value": F.size(F.array_intersect(given, F.col("_null"))) > 0,
+        "null_field": F.size(F.array_intersect(nulls, F.array(*map(F.lit, sorted(optional))))) > 0,
+        "bad_value": (F.size(F.array_intersect(given, F.col("_null"))) > 0) | F.coalesce(F.greatest(F.lit(False), *endless), F.lit(False)),
         "unknown_event_type": ~F.col("_typed.event_type").isin(*EVENT_TYPES),
     }
     reason = F.coalesce(*[F.when(broken, F.lit(name)) for name, broken in reasons.items()])

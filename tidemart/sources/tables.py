@@ -80,12 +80,15 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 # ---- clustering ------------------------------------------------------------------------
 
-def _as_number(df: DataFrame, column: str) -> Column:
-    """An order-keeping number per value; text by its first seven bytes."""
+SAMPLE_ROWS = 10_000  # bound of the sample that text cut points come from
+
+
+def _ordered(df: DataFrame, column: str) -> Column:
+    """An order-keeping number per value; text as it is."""
     kind = df.schema[column].dataType
     c = F.col(column)
     if isinstance(kind, T.StringType):
-        return F.conv(F.rpad(F.hex(F.substring(c, 1, 7)), 14, "0"), 16, 10).cast("double")
+        return c
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     if isinstance(kind, T.DateType):
@@ -93,7 +96,24 @@ def _as_number(df: DataFrame, column: str) -> Column:
     return c.cast("double")
 
 
-def _bucket(value: Column, cuts: list[float], low: int = 0) -> Column:
+def _cut_points(df: DataFrame, columns: Sequence[str], parts: int) -> list[list]:
+    """``parts`` - 1 approximate quantiles per column: of all rows for numbers, of a bounded hash sample for text."""
+    shares = [i / parts for i in range(1, parts)]
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    numbers = [c for c in columns if c not in texts]
+    found: dict[str, list] = {}
+    if numbers:
+        row = df.agg(*[F.percentile_approx(_ordered(df, c), shares, 10_000).alias(f"q{i}") for i, c in enumerate(numbers)]).first()
+        found |= {c: row[i] or [] for i, c in enumerate(numbers)}
+    if texts:
+        sample = df.select(*texts).orderBy(F.xxhash64(*df.columns)).limit(SAMPLE_ROWS).collect()
+        for i, c in enumerate(texts):
+            values = sorted((r[i] for r in sample if r[i] is not None), key=lambda v: v.encode())
+            found[c] = [values[int(s * len(values))] for s in shares] if values else []
+    return [sorted(set(found[c]), key=lambda v: v.encode() if isinstance(v, str) else v) for c in columns]
+
+
+def _bucket(value: Column, cuts: list, low: int = 0) -> Column:
     """Position among sorted cut points, by a balanced tree of comparisons."""
     if not cuts:
         return F.lit(low)
@@ -114,12 +134,9 @@ def clustered(
     clash = set(columns) & set(partition_by)
     if clash:
         raise ValueError(f"partition columns cannot be clustered: {sorted(clash)}")
-    shares = [i / 2**bits for i in range(1, 2**bits)]
-    found = df.agg(*[F.percentile_approx(_as_number(df, c), shares, 10_000).alias(f"q{i}") for i, c in enumerate(columns)]).first()
     curve = F.lit(0).cast("long")
-    for i, c in enumerate(columns):
-        cuts = sorted(set(found[i] or []))
-        bucket = F.coalesce(_bucket(_as_number(df, c), cuts), F.lit(0)).cast("long")
+    for i, (c, cuts) in enumerate(zip(columns, _cut_points(df, columns, 2**bits), strict=True)):
+        bucket = F.coalesce(_bucket(_ordered(df, c), cuts), F.lit(0)).cast("long")
         for bit in range(bits):
             one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("long"))
             curve = curve.bitwiseOR(F.shiftleft(one, bit * len(columns) + i))
@@ -274,25 +291,30 @@ class VersionedTable:
 
     def upsert(
         self, source: DataFrame, keys: Sequence[str], update_columns: Sequence[str] | None = None,
-        rules: Iterable[Rule] = (), keep: int = 0,
+        rules: Iterable[Rule] = (), keep: int = 0, **details,
     ) -> int:
         """Idempotent merge; creates the table if absent.  ``rules`` guard the rows written.
 
+        ``details`` are recorded when the table is created and must match them later.
+
         The source is written down first: it is computed once, and every step sees the same rows.
         """
         staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
         source.write.parquet(staging)
         try:
-            return self._merge(self.spark.read.schema(source.schema).parquet(staging), keys, update_columns, rules, keep)
+            return self._merge(self.spark.read.schema(source.schema).parquet(staging), keys, update_columns, rules, keep, details)
         finally:
             fs, p = self._fs(staging)
             fs.delete(p, True)
 
-    def _merge(self, source: DataFrame, keys: Sequence[str], update_columns, rules: Iterable[Rule], keep: int) -> int:
+    def _merge(
+        self, source: DataFrame, keys: Sequence[str], update_columns, rules: Iterable[Rule], keep: int, details: dict
+    ) -> int:
         require_unique(source, keys)
         if not self.exists():
-            return self.publish(source, rules, keep)
+            return self.publish(source, rules, keep, **details)
         pointer = self.pointer()
+        self._require(pointer["details"], details)
         current = self._read_folders(pointer, sorted(pointer["folders"]))
         hit = self._matched_folders(current, source, keys) if pointer["folders"] else []
         result = merged(self._read_folders(pointer, hit), source, keys, update_columns)
@@ -309,7 +331,9 @@ class VersionedTable:
 
     def _matched_folders(self, current: DataFrame, source: DataFrame, keys: Sequence[str]) -> list[str]:
         """Partition folders with a row to update; as many names as folders at the most."""
-        place = F.regexp_extract(F.col("_metadata.file_path"), r"/v=\d+/(.*?)/?[^/]*$", 1)
+        # The path is a URI: decoded once it gives the folder's name on disk.  A plus sign stands for itself there.
+        encoded = F.regexp_extract(F.col("_metadata.file_path"), r"/v=\d+/(.*?)/?[^/]*$", 1)
+        place = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
         placed = current.select(*keys, place.alias("_folder"))
         rows = placed.join(source.select(*keys), list(keys), "left_semi").select("_folder").distinct().collect()
         return sorted(r["_folder"] for r in rows)

@@ -25,6 +25,7 @@ def upsert_stream(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     when: str = "availableNow",
     keep: int = 10,
+    **details,
 ) -> StreamingQuery:
     """Merge every micro-batch into a versioned table.
 
@@ -33,21 +34,25 @@ def upsert_stream(
     """
     def merge(batch: DataFrame, _: int) -> None:
         rows = prepare(batch) if prepare else latest_per_key(batch, keys)
-        table.upsert(rows, keys, keep=keep)
+        table.upsert(rows, keys, keep=keep, **details)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**trigger(when)).start()
 
 
 def silver_stream(
-    bronze: DataFrame, table: VersionedTable, checkpoint: str, inactivity_minutes: float = 30, when: str = "availableNow"
+    bronze: DataFrame, table: VersionedTable, checkpoint: str, inactivity_minutes: float = 30, when: str = "availableNow",
+    anonymous_key: str | None = None,
 ) -> StreamingQuery:
-    """Keep Silver events up to date: only what each batch touches is numbered again."""
+    """Keep Silver events up to date: only what each batch touches is numbered again.
+
+    The table records its ``anonymous_key``; one that was built under another rule is refused.
+    """
     def prepare(batch: DataFrame) -> DataFrame:
         if table.exists():
-            return renumbered(table.read(), batch, inactivity_minutes)
-        return sessionize(latest_per_key(known_events(batch), "event_id"), inactivity_minutes)
+            return renumbered(table.read(anonymous_key=anonymous_key), batch, inactivity_minutes, anonymous_key)
+        return sessionize(latest_per_key(known_events(batch), "event_id"), inactivity_minutes, anonymous_key)
 
-    return upsert_stream(bronze, table, ["event_id"], checkpoint, prepare, when)
+    return upsert_stream(bronze, table, ["event_id"], checkpoint, prepare, when, anonymous_key=anonymous_key)
 
 
 def deduplicated(stream: DataFrame, minutes: int = WATERMARK_MINUTES) -> DataFrame:
