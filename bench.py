@@ -9,7 +9,7 @@ import sys
 import time
 
 from tidemart.plans.queries import QUERIES
-from tidemart.session import build_session
+from tidemart.session import build_session, release_scratch
 
 HEADLINE = [
     "dedup_latest", "sessionize_30", "sessionize_720", "scd2_users", "scd2_products", "fact_orders_bulk", "daily_sales_bulk",
@@ -35,7 +35,9 @@ def main() -> None:
     def timed(name: str) -> float:
         started = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - started
+        took = time.perf_counter() - started
+        release_scratch(spark)
+        return took
 
     names = sys.argv[1:] or HEADLINE
     seconds = {}

@@ -72,4 +72,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def release_scratch(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
+    """Deletes the scratch folders this application has made, but for ``keep``; their number.
+
+    Call it when results that read them have been used: frames are lazy.
+    """
+    made = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    gone = [p for p in made if p not in keep]
+    for path in gone:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    made[:] = [p for p in made if p in keep]
+    return len(gone)
