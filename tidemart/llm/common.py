@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 
 BATCH_ROWS = 1000
 
@@ -17,7 +17,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Texts are long: fewer rows per Arrow batch keep a Python worker's memory small."""
+    """Texts are long: fewer rows per Arrow batch keep a Python worker's memory small.  Tasks get the package on the way."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
