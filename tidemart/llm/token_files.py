@@ -17,7 +17,7 @@ An empty table gives no files' worth of rows.
 from __future__ import annotations
 
 import hashlib
-import re
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -33,38 +33,90 @@ from .common import small_batches
 from .files import is_local, one_per_task, opened, shared_folder
 
 END_ID = 1
-CACHE_WORDS = 150_000  # bound of a worker's memory for finished words; clearing it changes no result
+CACHE_WORDS = 400_000  # bound of a worker's memory for finished words; clearing it changes no result
 READ_DOCS = 4096
+ROW_WORDS = 200
 
-# Nothing in such a tokenizer looks across these characters, so words between them can be encoded one by one.
-WORDS = re.compile("[^ \t\n\r]+")
+#: A run of these behind letters is a pre-token of its own (an apostrophe may begin one with letters).
+TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordEncoder:
-    """A tokenizers-library file whose rules drop white space: equal words are encoded once."""
+    """A tokenizers-library file whose rules drop white space: equal words are encoded once.
+
+    Nothing in such a tokenizer looks across white space, nor from letters to the signs behind them.  New words of letters are
+    encoded in rows, parted by spaces, and the row's ids are cut at the tokens that end a word; a row with another number
+    of these than words is encoded word by word.  Words of letters with signs behind them are put together from both
+    parts; all others are encoded on their own.  What this relies on is tried out when a file is loaded.
+    """
 
     def __init__(self, model: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.done: dict[str, bytes] = {}
-        for sample in ("a b", "a\nb", "a \t b"):
-            apart = [i for w in WORDS.findall(sample) for i in self.tokenizer.encode(w, add_special_tokens=False).ids]
-            if apart != self.tokenizer.encode(sample, add_special_tokens=False).ids:
-                raise ValueError("this tokenizer keeps white space; words cannot be encoded apart")
+        self.done: dict[str, bytes] = {"": b""}
+        self.ends = np.zeros(self.size, bool)
+        bpe = json.loads(model)["model"]
+        if suffix := bpe.get("end_of_word_suffix"):
+            self.ends[[i for piece, i in bpe["vocab"].items() if piece.endswith(suffix)]] = True
+        for parts in (("a", " ", "b"), ("a", "\n", "b"), ("a", " \t ", "b"), *(("ab", sign * 2) for sign in TAIL)):
+            if self._ids("".join(parts)) != [i for p in parts for i in self._ids(p)]:
+                raise ValueError("this tokenizer keeps white space or joins words with signs; words cannot be encoded apart")
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _alone(self, words: list[str]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+            self.done[w] = np.array(e.ids, "<u4").tobytes()
+
+    def _in_rows(self, words: list[str]) -> None:
+        rows = [words[i:i + ROW_WORDS] for i in range(0, len(words), ROW_WORDS)]
+        found = self.tokenizer.encode_batch_fast([" ".join(r) for r in rows], add_special_tokens=False)
+        for row, encoding in zip(rows, found, strict=True):
+            ids = np.array(encoding.ids, "<u4")
+            closing = np.flatnonzero(self.ends[ids]) + 1  # each word has one at least
+            if len(closing) != len(row) or closing[-1] != len(ids):
+                self._alone(row)
+                continue
+            raw, places = ids.tobytes(), [0, *(closing * 4).tolist()]
+            self.done.update((w, raw[a:b]) for w, a, b in zip(row, places, places[1:]))
+
+    def _learn(self, new: set[str]) -> None:
+        done = self.done
+        letters, signed, others = set(), [], []
+        for w in new:
+            if w.isalpha():
+                letters.add(w)
+            elif (stem := w.rstrip(TAIL)).isalpha():
+                signed.append((w, stem, w[len(stem):]))
+            else:
+                others.append(w)
+        letters.update(stem for _, stem, _ in signed)
+        letters.difference_update(done)
+        others.extend({tail for _, _, tail in signed}.difference(done))
+        letters = list(letters)
+        for at in range(0, len(letters), 100 * ROW_WORDS):
+            self._in_rows(letters[at:at + 100 * ROW_WORDS])
+        for at in range(0, len(others), 10_000):
+            self._alone(others[at:at + 10_000])
+        for w, stem, tail in signed:
+            done[w] = done[stem] + done[tail]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        words = [WORDS.findall(t) if t else [] for t in texts]
-        done = self.done
-        if len(done) > CACHE_WORDS:
-            done.clear()
-        new = list({w for ws in words for w in ws if w not in done})
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                done[w] = np.array(e.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join(map(done.__getitem__, ws)), "<u4") for ws in words]
+        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else [] for t in texts]
+        if len(self.done) > CACHE_WORDS:
+            self.forget()
+        new = set().union(*words)
+        new.difference_update(self.done)
+        self._learn(new)
+        get = self.done.__getitem__
+        return [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in words]
+
+    def forget(self) -> None:
+        self.done.clear()
+        self.done[""] = b""
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -108,7 +160,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_
                 column = batch.column("doc_id")
                 known.append(column.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8))
                 names.append(column.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
-        encoder.done.clear()
+        encoder.forget()
         offsets = np.cumsum(np.concatenate(sizes)).astype("<i8")
         n = len(offsets) - 1
         with store.open_output_stream(f"{path}.idx", compression=None) as out:
