@@ -97,11 +97,10 @@ def hashed_token_counts(texts: list[str], dim: int = 64) -> np.ndarray:
     slots: dict[str, int] = {}
     out = np.zeros((len(texts), dim), dtype="float64")
     for row, text in enumerate(texts):
-        for token in text.split(" "):
-            if token:
-                if token not in slots:
-                    slots[token] = int(hashlib.md5(token.encode()).hexdigest()[:4], 16) % dim
-                out[row, slots[token]] += 1.0
+        tokens = text.split(" ")
+        for token in set(tokens).difference(slots):
+            slots[token] = int(hashlib.md5(token.encode()).hexdigest()[:4], 16) % dim
+        out[row] = np.bincount([slots[t] for t in tokens if t], minlength=dim)
     return out
 
 
