@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import time_slice
+from ..functions.columns import fingerprint, time_slice
 
 ROWS_PER_TASK = 1_000_000
 MINUTE = 60
@@ -47,12 +47,15 @@ def with_slices(df: DataFrame, key: str, at: str, rows_per_task: int = ROWS_PER_
 
 def with_lanes(df: DataFrame, key: str, lanes: DataFrame) -> DataFrame:
     """Add _lane: rows of large keys are spread by their hash over the key's lanes, others are in lane 0."""
-    joined = df.withColumn("_spread", F.xxhash64("*")).join(lanes.withColumnRenamed("_key", "_large_key"), F.col(key) == F.col("_large_key"), "left")
+    named = lanes.withColumnRenamed("_key", "_large_key")
+    joined = df.withColumn("_spread", fingerprint(df)).join(named, F.col(key) == F.col("_large_key"), "left")
     own = F.coalesce(F.pmod("_spread", "_lanes"), F.lit(0)).cast("int")
     return joined.withColumn("_lane", own).drop("_spread", "_large_key", "_lanes")
 
 
 def in_every_lane(df: DataFrame, key: str, lanes: DataFrame) -> DataFrame:
     """Rows once for each lane of their key, with _lane."""
-    joined = df.join(lanes.withColumnRenamed("_key", "_large_key"), F.col(key) == F.col("_large_key"), "left")
-    return joined.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.coalesce("_lanes", F.lit(1)) - 1))).drop("_large_key", "_lanes")
+    named = lanes.withColumnRenamed("_key", "_large_key")
+    joined = df.join(named, F.col(key) == F.col("_large_key"), "left")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_lanes", F.lit(1)) - 1))
+    return joined.withColumn("_lane", every).drop("_large_key", "_lanes")

@@ -127,7 +127,8 @@ def as_of_versions(
     f = with_lanes(f, "_key", lanes)
     if how == "left":
         # Facts without a key match nothing; their hash spreads them over many groups.
-        f = f.withColumn("_lane", F.when(F.col("_key").isNull(), F.pmod(F.xxhash64("*"), F.lit(1024)).cast("int")).otherwise(F.col("_lane")))
+        spread = F.pmod(fingerprint(f), F.lit(1024)).cast("int")
+        f = f.withColumn("_lane", F.when(F.col("_key").isNull(), spread).otherwise(F.col("_lane")))
     v = in_every_lane(v, "_key", lanes)
 
     # At one instant the version comes before the fact: valid_from is inclusive.
