@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,7 +34,9 @@ from .common import small_batches
 
 MARK = "▁"
 CACHE_WORDS = 150_000  # bound of a worker's memory for finished words; clearing it changes no result
-PAIR_MEMORY = 200_000
+PAIR_MEMORY = 500_000  # bound of remembered pairs of pieces
+NO_PIECE = 1 << 23  # stands before a word's first piece
+UNKNOWN_NUMBERS = 1 << 20  # ids are below; characters without a piece are numbered from here on
 UNIGRAM, BPE = 1, 2  # model types of the file format
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
@@ -61,8 +64,10 @@ class Codec:
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == UNKNOWN)
         self.bytes = [i for i, p in enumerate(proto.pieces) if p.type == BYTE]
         self.longest = max(map(len, self.ids))
+        self.suffixes = {p[i:] for p in self.ids for i in range(len(p))}  # a longer piece can end so
         self.penalty = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
         crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
+        self.plain = not crossing
         self.words = re.compile("(?s).+" if crossing else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         self.pieces = [
             bytes([self.bytes.index(i)]) if p.type == BYTE
@@ -71,7 +76,7 @@ class Codec:
             else p.piece.replace(MARK, " ").encode()
             for i, p in enumerate(proto.pieces)
         ]
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.done: dict[str, bytes] = {}
 
     # -- merge model ---------------------------------------------------------------------
@@ -89,33 +94,32 @@ class Codec:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def agree(self, left: str, right: str) -> bool:
-        """Whether ``left`` and ``right`` stay two pieces when they stand side by side."""
-        key = (left, right)
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) > PAIR_MEMORY:
-                self.pairs.clear()
-            parts = self.merged(left + right)
-            found = self.pairs[key] = parts == ([left, right] if left else [right])
+    def agree(self, left: str, right: str, key: int) -> bool:
+        """Whether ``left`` and ``right`` stay two pieces when they stand side by side; remembered under ``key``."""
+        if len(self.pairs) > PAIR_MEMORY:
+            self.pairs.clear()
+        parts = self.merged(left + right)
+        found = self.pairs[key] = parts == ([left, right] if left else [right])
         return found
 
+    def number(self, char: str) -> int:
+        """A number above all ids for a character that is no piece."""
+        return UNKNOWN_NUMBERS + ord(char)
+
     # -- the pass over sorted words ------------------------------------------------------
 
     def segmented(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """(word, its pieces) for distinct words in sorted order, forward values kept along the common prefix."""
         start: list[int] = [0]  # start[i]: where the last piece of the prefix of i characters begins
-        best: list[float] = [0.0]
+        value: list = [NO_PIECE if self.merges else 0.0]  # value[i]: that piece's number, or the prefix's best sum
+        extend = self._extend_merges if self.merges else self._extend_sums
         before = ""
         for word in words:
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del start[shared + 1:], best[shared + 1:]
-            if self.merges:
-                self._extend_merges(word, start)
-            else:
-                self._extend_sums(word, start, best)
+            del start[shared + 1:], value[shared + 1:]
+            extend(word, start, value)
             before = word
             pieces, end = [], len(word)
             while end:
@@ -123,19 +127,25 @@ class Codec:
                 end = start[end]
             yield word, pieces[::-1]
 
-    def _extend_merges(self, word: str, start: list[int]) -> None:
-        ids, longest, pairs, agree = self.ids, self.longest, self.pairs, self.agree
+    def _extend_merges(self, word: str, start: list[int], last: list[int]) -> None:
+        number, suffixes, pairs, agree = self.ids.get, self.suffixes, self.pairs, self.agree
         for end in range(len(start), len(word) + 1):
-            for at in range(max(0, end - longest), end):
+            at = end - 1
+            while True:
                 piece = word[at:end]
-                if piece in ids or at == end - 1:
-                    left = word[start[at]:at]
-                    known = pairs.get((left, piece))
-                    if known or known is None and agree(left, piece):
+                right = number(piece)
+                if right is None and at == end - 1:
+                    right = self.number(piece)
+                if right is not None:
+                    key = last[at] << 22 | right
+                    known = pairs.get(key)
+                    if known or known is None and agree(word[start[at]:at], piece, key):
                         start.append(at)
+                        last.append(right)
                         break
-            else:  # a model whose pieces do not follow from its merges
-                raise ValueError(f"no encoding of {word[:end]!r}")
+                at -= 1
+                if at < 0 or word[at:end] not in suffixes:  # a model whose pieces do not follow from its merges
+                    raise ValueError(f"no encoding of {word[:end]!r}")
 
     def _extend_sums(self, word: str, start: list[int], best: list[float]) -> None:
         scores, longest, penalty = self.scores, self.longest, self.penalty
@@ -153,6 +163,10 @@ class Codec:
             start.append(place)
 
     def piece_ids(self, pieces: list[str]) -> list[int]:
+        try:
+            return [self.ids[p] for p in pieces]
+        except KeyError:
+            pass
         out: list[int] = []
         for piece in pieces:
             known = self.ids.get(piece)
@@ -168,17 +182,29 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text."""
-        marked = [self.words.findall(self.prefix + t.replace(" ", MARK)) if t else [] for t in texts]
+        marked = [self._words(t) if t else [] for t in texts]
         done = self.done
         if len(done) > CACHE_WORDS:
             done.clear()
-        new = set()
-        for words in marked:
-            new.update(w for w in words if w not in done)
-        for word, pieces in self.segmented(sorted(new)):
-            done[word] = np.array(self.piece_ids(pieces), "<i4").tobytes()
+        new = set().union(*marked)
+        new.difference_update(done)
+        # A word without a mark of its own stands behind one space.
+        for word, pieces in self.segmented(sorted({w if w.startswith(MARK) or not self.prefix else MARK + w for w in new})):
+            ids = array("i", self.piece_ids(pieces)).tobytes()
+            if word in new:
+                done[word] = ids
+            if word[1:2] != MARK and word[1:] in new:
+                done[word[1:]] = ids
         return [np.frombuffer(b"".join(map(done.__getitem__, words)), "<i4") for words in marked]
 
+    def _words(self, text: str) -> list[str]:
+        """Marked words; in texts of single spaces the words between them, whose mark is implied."""
+        if self.prefix and MARK not in text and self.plain:
+            words = text.split(" ")
+            if "" not in words:
+                return words
+        return self.words.findall(self.prefix + text.replace(" ", MARK))
+
     def decode(self, ids: Iterable[int]) -> str:
         pieces = self.pieces
         text = b"".join([pieces[i] for i in ids]).decode("utf-8", "replace")
