@@ -269,7 +269,8 @@ def convert(spark: SparkSession, arcs: list[str], least_revisit: int = LEAST_REV
                         parse_arc(content, version, offset), arc, to and record_id(to["arc"], to["place"]), to and to["page_id"])))
         yield pa.RecordBatch.from_pydict({"uri": [f"{folder}/{name}"]})
 
-    dealt = decided.repartitionByRange("arc", "place").sortWithinPartitions("arc", "place")
+    # As many tasks as files: the rows are small, what they name is not.
+    dealt = decided.repartitionByRange(max(1, len(arcs)), "arc", "place").sortWithinPartitions("arc", "place")
     return [r.uri for r in dealt.mapInArrow(write, "uri string").collect()]  # one row a file
 
 
