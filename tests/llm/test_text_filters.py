@@ -215,6 +215,39 @@ def test_license_query(spark, sf_dir):
     assert got == pytest.approx(plain_licenses(rows))
 
 
+def plain_short(texts, templates):
+    out = set()
+    for doc_id, text in texts:
+        have = [w for w in re.sub("[^a-z0-9]+", " ", (text or "").lower()).split(" ") if w]
+        for name, wording in templates:
+            want = [w for w in re.sub("[^a-z0-9]+", " ", wording.lower()).split(" ") if w]
+            if any(have[i:i + len(want)] == want for i in range(len(have))):
+                out.add((doc_id, name))
+    return out
+
+
+def test_short_templates_are_found(spark, sf_dir):
+    templates = (("one", "Proprietary."), ("two", "Public domain"), ("three", "All rights reserved."), ("four", "no license, no warranty"))
+    texts = [
+        *TEXTS, (40, "ALL RIGHTS -- reserved"), (41, "all rights are reserved"), (42, "proprietary"), (43, "in the public domain, not public"),
+        (44, "No license no warranty. All rights reserved. all rights reserved"), (45, "no license, no"),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = licenses.license_matches(docs, templates).collect()
+    assert sorted((r.doc_id, r.license) for r in rows) == sorted(plain_short(texts, templates)) and {r.containment for r in rows} == {1.0}
+    assert {(r.doc_id, r.license): r.first_word for r in rows}[44, "three"] == 4
+    both = {(r.doc_id, r.license): r.containment for r in licenses.license_matches(docs, licenses.TEMPLATES + templates).collect()}
+    assert both == pytest.approx(plain_licenses(texts) | dict.fromkeys(plain_short(texts, templates), 1.0))
+    for empty in ("", " .!", None):
+        with pytest.raises(ValueError, match="without a word"):
+            licenses.license_matches(docs, (*templates, ("none", empty)))
+
+    rows = [(r.doc_id, r.text) for r in read_table(spark, sf_dir, "documents").collect()]
+    got = {(r.doc_id, r.license): r.containment for r in QUERIES["op2_license_scan"](spark, sf_dir).collect()}
+    notices = plain_short(rows, licenses.NOTICES)
+    assert notices and got == pytest.approx(plain_licenses(rows) | dict.fromkeys(notices, 1.0))
+
+
 def test_item_digest(spark, sf_dir):
     rows = QUERIES["op3_decontamination"](spark, sf_dir).collect()
     assert {r.items_sha256 for r in rows if not r.n_items} == {hashlib.sha256(b"").hexdigest()}

@@ -10,8 +10,11 @@ inside a copy collides for certain; a template of a single shingle in a full win
 and above: more than 0.999999999.  Found templates are verified: at least ``LEAST`` of the template's distinct shingles stand in
 the document.  Shingles are compared by 64-bit hashes.
 
+A template of fewer words than a shingle is one shingle of its own length: in the same pass that length is hashed at every word,
+and places with a template's hash are verified word by word.
+
 Templates are a given table of license wordings, counted before their bands become literals of the plan; more than
-``MAX_TEMPLATE_WORDS`` words are refused.  Null and empty texts, and those of fewer than five words, match nothing.  Rows with one
+``MAX_TEMPLATE_WORDS`` words, and templates without a word, are refused.  Null and empty texts match nothing.  Rows with one
 doc_id are reported once per template.
 """
 
@@ -54,6 +57,8 @@ TEMPLATES = (
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
 )
+# Wordings of fewer words than a shingle.
+NOTICES = (("all-rights-reserved", "All rights reserved."),)
 
 
 def words(text: Column) -> Column:
@@ -81,46 +86,62 @@ def minhash(hashes: Column, start: Column, band: int, width: int) -> Column:
 
 
 def template_rows(spark: SparkSession, templates=TEMPLATES) -> list[dict]:
-    """(template, license, shingles) as hashed by Spark itself; bounded by ``MAX_TEMPLATE_WORDS``."""
-    total = sum(len(text.split()) for _, text in templates)
+    """(template, license, words, shingles) as hashed by Spark itself; bounded by ``MAX_TEMPLATE_WORDS``.
+
+    A template shorter than a shingle has one hash, of all its words.
+    """
+    total = sum(len((text or "").split()) for _, text in templates)
     if total > MAX_TEMPLATE_WORDS:
         raise ValueError(f"{total} template words; scan larger sets in parts of {MAX_TEMPLATE_WORDS}")
     rows = [(i, name, text) for i, (name, text) in enumerate(templates)]
     df = spark.createDataFrame(rows, "template int, license string, text string")
     split = df.select("template", "license", words(F.col("text")).alias("words"))
-    return [r.asDict() for r in split.select("template", "license", shingles(F.col("words")).alias("shingles")).collect()]
+    hashes = shingles(F.col("words"))
+    for size in range(1, SHINGLE):
+        hashes = F.when(F.size("words") == size, shingles(F.col("words"), size)).otherwise(hashes)
+    found = [r.asDict() for r in split.select("template", "license", "words", hashes.alias("shingles")).collect()]
+    empty = sorted(r["license"] for r in found if r["words"] == [""])
+    if empty:
+        raise ValueError(f"templates without a word: {empty}")
+    return found
 
 
 def _band_values(rows: list[dict], bands: int, width: int) -> list[dict[int, set[int]]]:
-    """By band: MinHash value -> templates with a window that has it."""
+    """By band: MinHash value -> templates with a window that has it; templates shorter than a shingle have none."""
     by_band: list[dict[int, set[int]]] = [{} for _ in range(bands)]
     for row in rows:
         hashes = row["shingles"]
-        for at in range(max(1, len(hashes) - width + 1)) if hashes else ():
+        for at in range(max(1, len(hashes) - width + 1)) if len(row["words"]) >= SHINGLE else ():
             for band in range(bands):
                 least = min(h ^ _salt(band) for h in hashes[at:at + width])
                 by_band[band].setdefault(least, set()).add(row["template"])
     return by_band
 
 
-def license_matches(docs: DataFrame, templates=TEMPLATES, bands: int = BANDS, window_words: int = WINDOW_WORDS,
+def license_matches(docs: DataFrame, templates=TEMPLATES + NOTICES, bands: int = BANDS, window_words: int = WINDOW_WORDS,
                     stride: int = STRIDE, least: float = LEAST) -> DataFrame:
     """(doc_id, license, containment, first_word): one row per document and license found.
 
     ``containment`` is that of the license's best wording; ``first_word`` is where the first window that retrieved one of
-    its wordings begins.
+    its wordings begins, or where a wording shorter than a shingle stands.
     """
     spark = docs.sparkSession
     width = window_words - SHINGLE + 1
     rows = template_rows(spark, templates)
     by_band = _band_values(rows, bands, width)
-    in_templates = sorted({h for r in rows for h in r["shingles"]})
+    short: dict[int, dict[int, set[int]]] = {}  # by words: hash -> templates of so many words
+    for r in rows:
+        if len(r["words"]) < SHINGLE:
+            short.setdefault(len(r["words"]), {}).setdefault(r["shingles"][0], set()).add(r["template"])
+    in_templates = sorted({h for r in rows if len(r["words"]) >= SHINGLE for h in r["shingles"]})
     # Both tables are bounded by MAX_TEMPLATE_WORDS.
     by_value = spark.createDataFrame(
-        [(b, value, sorted(ts)) for b in range(bands) for value, ts in by_band[b].items()],
+        [(b, value, sorted(ts)) for b in range(bands) for value, ts in by_band[b].items()]
+        + [(-size, value, sorted(ts)) for size in short for value, ts in short[size].items()],
         "band int, value bigint, templates array<int>")
-    wanted = spark.createDataFrame([(r["template"], r["license"], sorted(set(r["shingles"]))) for r in rows],
-                                   "template int, license string, wanted array<bigint>")
+    wanted = spark.createDataFrame(
+        [(r["template"], r["license"], r["words"], sorted(set(r["shingles"]))) for r in rows],
+        "template int, license string, own array<string>, wanted array<bigint>")
     hashes, last = F.col("hashes"), F.size("hashes") - 1
     starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))).otherwise(F.array().cast("array<int>"))
 
@@ -137,22 +158,38 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, bands: int = BANDS, wi
             F.struct(start.alias("start"), F.lit(b).alias("band"), minhash(hashes, start, b, width).alias("value")) for b in range(bands)
         ])
 
+    def probe(start: Column, size: int | None, value: Column) -> Column:
+        band = F.lit(None if size is None else -size).cast("int")  # a length takes the place of a band
+        return F.struct(start.alias("start"), band.alias("band"), value.cast("bigint").alias("value"))
+
+    def short_places(size: int) -> Column:
+        hits = F.filter(F.transform(f"hashes{size}", lambda h, i: probe(i, size, h)), lambda p: p["value"].isin(list(short[size])))
+        # Texts without such a hash are dismissed before their places are laid out.
+        none = F.array().cast("array<struct<start:int,band:int,value:bigint>>")
+        return F.when(F.exists(f"hashes{size}", lambda h: h.isin(list(short[size]))), hits).otherwise(none)
+
     # Words and hashes are columns of their own: inside a lambda an expression is evaluated for each element.  The outer
     # explode keeps the optimizer from testing the windows once more below it.
-    hashed = docs.select("doc_id", words(F.col("text")).alias("words")).select("doc_id", shingles(F.col("words")).alias("hashes"))
+    hashed = docs.select("doc_id", words(F.col("text")).alias("words")).select(
+        "doc_id", "words", shingles(F.col("words")).alias("hashes"),
+        *[shingles(F.col("words"), size).alias(f"hashes{size}") for size in sorted(short)])
+    windows = F.transform(F.filter(starts, retrieves), lambda start: probe(start, None, F.lit(None)))
+    met = F.col("met")
     found = (
-        hashed.select("doc_id", "hashes", F.filter(starts, retrieves).alias("starts"))
-        .select("doc_id", "hashes", F.explode_outer("starts").alias("start")).where("start IS NOT NULL")
+        hashed.select("doc_id", "words", "hashes", F.concat(windows, *[short_places(size) for size in sorted(short)]).alias("places"))
+        .select("doc_id", "words", "hashes", F.explode_outer("places").alias("met")).where("met IS NOT NULL")
         .select(
             "doc_id", F.array_distinct(F.filter(hashes, lambda h: h.isin(in_templates))).alias("common"),
-            F.explode(probes(F.col("start"))).alias("probe"),
+            F.when(met["band"] < 0, F.slice("words", met["start"] + 1, -met["band"])).alias("here"),
+            F.explode(F.when(met["band"].isNull(), probes(met["start"])).otherwise(F.array(met))).alias("probe"),
         )
-        .select("doc_id", "common", "probe.*")
+        .select("doc_id", "common", "here", "probe.*")
         .join(F.broadcast(by_value), ["band", "value"])
-        .select("doc_id", "common", "start", F.explode("templates").alias("template"))
+        .select("doc_id", "common", "here", "start", F.explode("templates").alias("template"))
         .join(F.broadcast(wanted), "template")
     )
-    containment = F.size(F.array_intersect("wanted", "common")) / F.size("wanted")
+    containment = F.when(F.col("here").isNotNull(), (F.col("here") == F.col("own")).cast("double")).otherwise(
+        F.size(F.array_intersect("wanted", "common")) / F.size("wanted"))
     return (
         found.withColumn("containment", containment).where(F.col("containment") >= least)
         .groupBy("doc_id", "license")
