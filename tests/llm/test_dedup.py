@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from edge_rows import BASE, TEXTS, edge_docs, no_docs
 from tidemart.llm import components, exact_dedup, simhash
@@ -232,6 +233,37 @@ def test_planted_passages_are_found_and_cut(spark):
     assert all(len(cut[i]) == len(texts[i]) - gone[i] for i in texts)
 
 
+def test_runs_reach_the_passage_ends(spark):
+    rng = random.Random(9)
+    passages = [prose(rng, 45) for _ in range(60)] + [f"{w} {w[::-1]}x " * 20 for w in ("lorem", "tooth", "sand", "orchid", "dials")]
+    rows = []
+    for i, p in enumerate(passages):
+        rows += [(2 * i, f"{prose(rng, 90)} {p} {prose(rng, 40)}"), (2 * i + 1, f"{prose(rng, 60)} {p} {prose(rng, 70)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    best = defaultdict(int)
+    for r in sub.repeated_runs(spark, docs).collect():
+        best[r.doc_id] = max(best[r.doc_id], r.run_bytes)
+    for i, p in enumerate(passages):
+        assert best[2 * i + 1] >= (len(p) if i < 60 else len(p) - 12), (i, p)  # a repetition may align a period later
+
+
+def test_extension_goes_past_its_first_look(spark):
+    rng = random.Random(12)
+    shared = prose(rng, 400)
+    texts = [(1, prose(rng, 50) + " =1= " + shared + " =1= " + prose(rng, 50)), (2, prose(rng, 40) + " =2= " + shared + " =2= " + prose(rng, 60))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    at = {i: t.encode().index(shared.encode()) for i, t in texts}
+    # A single chunk in the passage's middle, as if no other had been cut alike.
+    mid = len(shared) // 2
+    one = spark.createDataFrame([(2, at[2] + mid, 20, 1, at[1] + mid, at[2] + mid, 40)],
+        "doc_id long, start int, size int, first_doc_id long, first_start int, gap int, room int")
+    hashes = docs.select("doc_id", F.xxhash64("text").alias("h"))
+    one = one.join(hashes.toDF("doc_id", "text_hash"), "doc_id").join(hashes.toDF("first_doc_id", "first_hash"), "first_doc_id")
+    [r] = sub.extended(spark, docs, one).collect()
+    assert (r.before, r.after) == (mid + 2, 40)  # with the "= " before it
+    assert sub.common_ends("aé".encode() + b"X", "aè".encode() + b"X", 0, 1) == (0, 0)
+
+
 def test_substring_edges(spark):
     runs = sub.repeated_runs(spark, edge_docs(spark))
     ids = {r.doc_id for r in runs.collect()}

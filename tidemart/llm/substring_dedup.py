@@ -1,12 +1,19 @@
 """Substring deduplication by content-defined chunks.
 
 A gear rolling hash runs over the bytes of a text: ``h = 2 h + GEAR[byte]`` in 16 bits, so it depends on the last 16 bytes
-only.  A chunk ends where the hash falls below a threshold and the chunk has its least size.  Boundaries follow content: after
+only.  A chunk ends where the hash falls below a threshold, or is the least within ``REACH`` places on both sides, and the chunk has
+its least size.  The second rule cuts stretches in which the hash never falls below the threshold; in a repetition it holds once a
+period, at the same place of each, so copies of a repetition are cut alike too.  Boundaries follow content: after
 an insertion they fall into step again, and passages that two texts share are cut alike.  Chunks are told apart by a
 128-bit digest.
 
 A chunk repeats when an earlier place in the same document, or a document with a smaller doc_id, has it.  Consecutive repeated
-chunks form a run; runs of at least ``LEAST_BYTES`` bytes are reported, and can be cut out.
+chunks form a run, which is extended byte by byte into the chunks beside it, as far as the first copy's document has the same
+bytes around its chunk; runs of at least ``LEAST_BYTES`` bytes are then reported, and can be cut out.
+
+Behind a chunk, the document and the first copy's cannot agree for more than the next chunk and the ``REACH`` bytes that decide its
+end, or that chunk would repeat itself.  Before it there is no such bound: ``LOOK`` bytes are compared, and where all of them agree
+sixteen times as many, and so on.  Only such surroundings leave the texts, each once.
 
 Counting combines map-side and the join back has one row per repeated digest, so a passage that a third of all documents hold
 is split by the skew-join rule.  A document is never joined with another one.
@@ -18,6 +25,7 @@ ones, never the reverse; among null doc_ids alone nothing repeats.  Offsets are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +37,8 @@ from pyspark.sql import types as T
 from .common import small_batches, staged
 
 LEAST_CHUNK = 20
+REACH = 24
+LOOK = 256
 MEAN_GAP = 20  # mean distance of cut places; chunks then have about 40 bytes
 LEAST_BYTES = 112
 #: A fixed pseudo-random number for each byte, from a rule.
@@ -45,10 +55,25 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def low_places(h: np.ndarray, reach: int = REACH) -> np.ndarray:
+    """Where no hash within ``reach`` places on both sides is less; never nearer to an end of the text."""
+    span = 2 * reach + 1
+    if len(h) < span:
+        return np.zeros(0, np.int64)
+    least, width = h, 1
+    while 2 * width <= span:
+        least, width = np.minimum(least[:-width], least[width:]), 2 * width
+    rest = span - width
+    if rest:
+        least = np.minimum(least[:-rest], least[rest:])
+    return np.flatnonzero(h[reach:len(h) - reach] == least) + reach
+
+
 def cut_places(data: np.ndarray, least: int = LEAST_CHUNK, gap: int = MEAN_GAP) -> list[int]:
     """Ends of the chunks of one text; the last is the text's end."""
     cuts, last = [], 0
-    for at in (np.flatnonzero(gear_hashes(data) < (1 << 16) // gap) + 1).tolist() if len(data) else ():
+    h = gear_hashes(data) if len(data) else np.zeros(0, np.uint16)
+    for at in (np.union1d(np.flatnonzero(h < (1 << 16) // gap), low_places(h)) + 1).tolist():
         if at - last >= least:
             cuts.append(at)
             last = at
@@ -68,7 +93,7 @@ def chunks_of(text: str | None, least: int = LEAST_CHUNK, gap: int = MEAN_GAP) -
 
 
 def chunks(docs: DataFrame, least: int = LEAST_CHUNK, gap: int = MEAN_GAP) -> DataFrame:
-    """(doc_id, text_hash, start, size, again, hi, lo): one row per chunk; again tells that the document has had the chunk before."""
+    """(doc_id, text_hash, start, size, next_size, again, hi, lo): one row per chunk; again tells that the document has had the chunk before."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
@@ -85,14 +110,87 @@ def chunks(docs: DataFrame, least: int = LEAST_CHUNK, gap: int = MEAN_GAP) -> Da
                 rows = np.repeat(np.arange(len(found)), [len(cs) for cs in found])
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id").take(pa.array(rows)), part.column("text_hash").take(pa.array(rows)), pa.array([c[0] for c in flat], pa.int32()),
-                    pa.array([c[1] for c in flat], pa.int32()), pa.array(again, pa.bool_()),
+                    pa.array([c[1] for c in flat], pa.int32()),
+                    pa.array([n for cs in found for n in [*[c[1] for c in cs[1:]], *[0] * bool(cs)]], pa.int32()), pa.array(again, pa.bool_()),
                     pa.array(np.ascontiguousarray(digests[:, 0])), pa.array(np.ascontiguousarray(digests[:, 1])),
-                ], ["doc_id", "text_hash", "start", "size", "again", "hi", "lo"])
+                ], ["doc_id", "text_hash", "start", "size", "next_size", "again", "hi", "lo"])
 
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        run, f"doc_id {kind}, text_hash bigint, start int, size int, again boolean, hi bigint, lo bigint")
+        run, f"doc_id {kind}, text_hash bigint, start int, size int, next_size int, again boolean, hi bigint, lo bigint")
+
+
+def common_ends(mine: bytes, theirs: bytes, left: int, size: int) -> tuple[int, int]:
+    """By how many bytes two equal chunks can be extended, to the left and to the right, in whole characters of ``mine``."""
+    def same(n: int, equal) -> int:
+        low = 0
+        while low < n:
+            mid = (low + n + 1) // 2
+            low, n = (mid, n) if equal(mid) else (low, mid - 1)
+        return low
+
+    end = left + size
+    before = same(left, lambda k: mine[left - k:left] == theirs[left - k:left])
+    after = same(min(len(mine), len(theirs)) - end, lambda k: mine[end:end + k] == theirs[end:end + k])
+    while 0 < before < left and mine[left - before] >> 6 == 2:
+        before -= 1
+    while after and end + after < len(mine) and mine[end + after] >> 6 == 2:
+        after -= 1
+    return before, after
+
+
+def _same(a: DataFrame, b: DataFrame, names: dict[str, str]):
+    """Join condition: the columns of ``a`` equal those of ``b``, null as a value of its own."""
+    tests = [a[x].eqNullSafe(b[y]) for x, y in names.items()]
+    return reduce(lambda x, y: x & y, tests)
+
+
+def _extents(spark: SparkSession, docs: DataFrame, repeats: DataFrame, look: int) -> DataFrame:
+    """``repeats`` with before and after: the bytes by which each can be extended, at most ``look`` to the left."""
+    left = F.least("gap", "first_start", F.lit(look))
+    edges = repeats.withColumn("left", left).withColumns({
+        "from": F.col("start") - left, "bytes": left + F.col("size") + F.col("room"), "first_from": F.col("first_start") - left})
+    ranges = edges.select("doc_id", "text_hash", "from", "bytes").union(
+        edges.select("first_doc_id", "first_hash", "first_from", "bytes")).distinct()
+    asked = ranges.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).agg(
+        F.collect_list(F.struct("from", "bytes")).alias("asked"))  # of one document
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    pieces = (
+        texts.join(asked, _same(texts, asked, {"doc_id": "d", "text_hash": "h"}))
+        .select("d", "h", F.col("text").cast("binary").alias("raw"), "asked")
+        .select("d", "h", "raw", F.explode("asked").alias("a"))
+        .select("d", "h", F.col("a.from").alias("f"), F.col("a.bytes").alias("b"), F.substring("raw", F.col("a.from") + 1, F.col("a.bytes")).alias("piece"))
+    )
+    pieces = staged(spark, pieces, "pieces")
+    mine = pieces.toDF("d1", "h1", "f1", "b1", "mine")
+    theirs = pieces.toDF("d2", "h2", "f2", "b2", "theirs")
+    joined = edges.join(mine, _same(edges, mine, {"doc_id": "d1", "text_hash": "h1", "from": "f1", "bytes": "b1"}))
+    joined = joined.join(theirs, _same(joined, theirs, {"first_doc_id": "d2", "first_hash": "h2", "first_from": "f2", "bytes": "b2"}))
+    names = repeats.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = [common_ends(*x) for x in zip(*[batch.column(n).to_pylist() for n in ("mine", "theirs", "left", "size")], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in names], pa.array([e[0] for e in ends], pa.int32()), pa.array([e[1] for e in ends], pa.int32())],
+                [*names, "before", "after"])
+
+    kinds = T.StructType([*repeats.schema.fields, T.StructField("before", T.IntegerType()), T.StructField("after", T.IntegerType())])
+    return joined.select(*names, "left", "mine", "theirs").mapInArrow(run, kinds)
+
+
+def extended(spark: SparkSession, docs: DataFrame, repeats: DataFrame) -> DataFrame:
+    """``repeats`` with before and after, however far their documents agree."""
+    look, parts = LOOK, []
+    while True:
+        found = staged(spark, _extents(spark, docs, repeats, look), "extents")
+        further = (F.col("before") == look) & (F.least("gap", "first_start") > look)
+        parts.append(found.where(~further))
+        rest = found.where(further)
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, parts)
+        repeats, look = rest.drop("before", "after"), 16 * look
 
 
 def repeated_runs(spark: SparkSession, docs: DataFrame, least_bytes: int = LEAST_BYTES, least: int = LEAST_CHUNK,
@@ -102,22 +200,35 @@ def repeated_runs(spark: SparkSession, docs: DataFrame, least_bytes: int = LEAST
     A run has one row for each document that holds the first copy of some of its chunks, with the bytes found there.
     """
     cut = staged(spark, chunks(docs, least, gap), "chunks")
+    holder = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "start"))
     known = (
-        cut.groupBy("hi", "lo").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_doc_id"))
-        .where("copies > 1").drop("copies")
+        cut.groupBy("hi", "lo").agg(F.count("*").alias("copies"), holder.alias("first")).where("copies > 1")
+        .select("hi", "lo", F.col("first.doc_id").alias("first_doc_id"), F.col("first.text_hash").alias("first_hash"),
+                F.col("first.start").alias("first_start"))
     )
     document = ("doc_id", "text_hash")
     repeats = cut.join(known, ["hi", "lo"]).where(
-        "first_doc_id IS NOT NULL AND (NOT (doc_id <=> first_doc_id) OR again)").select(*document, "start", "size", "first_doc_id")
+        "first_doc_id IS NOT NULL AND (NOT (doc_id <=> first_doc_id) OR again)").drop("hi", "lo", "again")
     by_place = Window.partitionBy(*document).orderBy("start")
     # Repeated rows bring a place twice; it is taken once.
-    placed = repeats.withColumn("before", F.lag("start", 1, -1).over(by_place)) \
-        .withColumn("ended", F.lag(F.col("start") + F.col("size"), 1, -1).over(by_place)).where("start > before")
-    runs = placed.withColumn("run", F.sum((F.col("start") > F.col("ended")).cast("int")).over(by_place))
+    placed = repeats.withColumn("earlier", F.lag("start", 1, -1).over(by_place)).where("start > earlier").drop("earlier")
+    end = F.col("start") + F.col("size")
+    behind = F.lead("start").over(by_place) - end
+    # gap: bytes since the repeat before it; room: bytes that can agree behind it.
+    placed = placed.withColumn("gap", F.col("start") - F.lag(end, 1, 0).over(by_place)).withColumn(
+        "room", F.least(behind, F.when(F.col("next_size") > 0, F.col("next_size") + REACH + 1).otherwise(0))).drop("next_size")
+    placed = staged(spark, placed, "repeats")
+    inner = placed.where("gap = 0 AND room = 0").withColumns({"before": F.lit(0), "after": F.lit(0)})
+    whole = inner.unionByName(extended(spark, docs, placed.where("gap > 0 OR room > 0")))
+    # Where two repeats meet between them, the bytes count once.
+    sized = whole.withColumn("earlier", F.lag("start", 1, -1).over(by_place)).where("start > earlier") \
+        .withColumn("ended", F.lag(end + F.col("after"), 1, -1).over(by_place))
+    sized = sized.withColumn("from", F.greatest(F.col("start") - F.col("before"), "ended")).withColumn("bytes", end + F.col("after") - F.col("from"))
+    runs = sized.withColumn("run", F.sum((F.col("from") > F.col("ended")).cast("int")).over(by_place))
     by_run = Window.partitionBy(*document, "run")
     return (
         runs.groupBy(*document, "run", "first_doc_id")
-        .agg(F.min("start").alias("from"), F.sum("size").alias("shared_bytes"))
+        .agg(F.min("from").alias("from"), F.sum("bytes").alias("shared_bytes"))
         .withColumn("run_bytes", F.sum("shared_bytes").over(by_run)).withColumn("run_start", F.min("from").over(by_run))
         .where(F.col("run_bytes") >= least_bytes)
         .select(*document, F.col("run_start").cast("bigint").alias("run_start"), "run_bytes", "first_doc_id", "shared_bytes")
