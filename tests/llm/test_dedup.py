@@ -247,6 +247,23 @@ def test_runs_reach_the_passage_ends(spark):
         assert best[2 * i + 1] >= (len(p) if i < 60 else len(p) - 12), (i, p)  # a repetition may align a period later
 
 
+def test_texts_under_one_or_no_id_repeat(spark):
+    rng = random.Random(21)
+    one, none, twice = (prose(rng, 60) for _ in range(3))
+    texts = [
+        (5, f"{prose(rng, 40)} {one} {prose(rng, 20)}"), (5, f"{prose(rng, 30)} {one} {prose(rng, 30)}"),
+        (None, f"{prose(rng, 40)} {none} {prose(rng, 20)}"), (None, f"{prose(rng, 30)} {none} {prose(rng, 30)}"),
+        (None, f"{twice} {prose(rng, 30)} {twice}"), (6, prose(rng, 80)), (6, prose(rng, 80)),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    runs = sub.repeated_runs(spark, docs)
+    rows = runs.collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.first_doc_id) for r in rows) == [(-1, None), (-1, None), (5, 5)]
+    assert len({r.text_hash for r in rows}) == 3 and all(r.run_bytes >= min(map(len, (one, none, twice))) for r in rows)
+    left = [r.text for r in sub.without_runs(docs, runs).collect()]
+    assert [sum(t.count(p) for t in left) for p in (one, none, twice)] == [1, 1, 1]
+
+
 def test_extension_goes_past_its_first_look(spark):
     rng = random.Random(12)
     shared = prose(rng, 400)

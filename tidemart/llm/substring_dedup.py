@@ -7,7 +7,8 @@ period, at the same place of each, so copies of a repetition are cut alike too.
 an insertion they fall into step again, and passages that two texts share are cut alike.  Chunks are told apart by a
 128-bit digest.
 
-A chunk repeats when an earlier place in the same document, or a document with a smaller doc_id, has it.  Consecutive repeated
+A chunk repeats when an earlier place in the same document, or an earlier document, has it: one with a smaller doc_id or, under the
+same doc_id, with a smaller hash of its text; documents without a doc_id come last.  Consecutive repeated
 chunks form a run, which is extended byte by byte into the chunks beside it, as far as the first copy's document has the same
 bytes around its chunk; runs of at least ``LEAST_BYTES`` bytes are then reported, and can be cut out.
 
@@ -18,8 +19,8 @@ sixteen times as many, and so on.  Only such surroundings leave the texts, each
 Counting combines map-side and the join back has one row per repeated digest, so a passage that a third of all documents hold
 is split by the skew-join rule.  A document is never joined with another one.
 
-Null and empty texts have no chunks.  Repeated rows (one doc_id and text) count as one document.  Chunks of null doc_ids repeat those of known
-ones, never the reverse; among null doc_ids alone nothing repeats.  Offsets are bytes of the UTF-8 text.
+Null and empty texts have no chunks.  Repeated rows (one doc_id and text) count as one document, also those without a doc_id.
+Chunks of null doc_ids repeat those of known ones, never the reverse.  Offsets are bytes of the UTF-8 text.
 """
 
 from __future__ import annotations
@@ -208,7 +209,7 @@ def repeated_runs(spark: SparkSession, docs: DataFrame, least_bytes: int = LEAST
     )
     document = ("doc_id", "text_hash")
     repeats = cut.join(known, ["hi", "lo"]).where(
-        "first_doc_id IS NOT NULL AND (NOT (doc_id <=> first_doc_id) OR again)").drop("hi", "lo", "again")
+        "again OR NOT (doc_id <=> first_doc_id AND text_hash = first_hash)").drop("hi", "lo", "again")
     by_place = Window.partitionBy(*document).orderBy("start")
     # Repeated rows bring a place twice; it is taken once.
     placed = repeats.withColumn("earlier", F.lag("start", 1, -1).over(by_place)).where("start > earlier").drop("earlier")
