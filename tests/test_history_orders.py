@@ -32,6 +32,17 @@ def test_sliced_keys_get_the_same_versions(spark, sf_dir):
         assert plain.exceptAll(sliced).isEmpty() and sliced.exceptAll(plain).isEmpty()
 
 
+def test_sliced_keys_keep_versions_without_a_time(spark):
+    start = datetime(2024, 1, 1)
+    rows = [("k", f"s{i}", None) for i in range(3)] + [("k", f"t{i}", start + timedelta(hours=i)) for i in range(4)]
+    frame = spark.createDataFrame([*rows, ("n", "x", None), ("n", "y", None)], "key string, state string, at timestamp")
+    want = history.versions(frame, "key", ["state"], "at").collect()
+    for rows_per_task in (1, 2, 5):
+        got = history.versions(frame, "key", ["state"], "at", rows_per_task=rows_per_task).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want))
+    assert sorted(r.version for r in want if r.key == "k") == list(range(1, 8))
+
+
 def test_a_boundary_fact_meets_one_version(spark):
     dim = history.versions(snaps(spark, [("x", 0, "1", "", ""), ("x", 5, "2", "", "")]), "k", ["a"])
     facts = spark.createDataFrame([("f0", "x", D - timedelta(days=1)), ("f1", "x", D), ("f2", "x", D + timedelta(days=5)), ("f3", "y", D)], "id string, k string, ts timestamp")

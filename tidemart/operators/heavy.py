@@ -26,7 +26,7 @@ def large_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> D
 def with_slices(df: DataFrame, key: str, at: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Add _heavy and _slice: time slices of about ``rows_per_task`` rows for large keys, 0 for all others.
 
-    Borders lie between minutes and follow the running count of a key's rows.
+    Borders lie between minutes and follow the running count of a key's rows; rows without a time come first, as one minute.
     """
     minute = time_slice(F.col(at), MINUTE)
     large = large_keys(df, key, rows_per_task)
@@ -39,7 +39,7 @@ def with_slices(df: DataFrame, key: str, at: str, rows_per_task: int = ROWS_PER_
     slices = counts.select(
         F.col("_key").alias("_large_key"), "_minute", F.floor(before / F.lit(rows_per_task)).alias("_cut"))
     joined = df.withColumn("_at_minute", minute).join(
-        slices, (F.col(key) == F.col("_large_key")) & (F.col("_at_minute") == F.col("_minute")), "left")
+        slices, (F.col(key) == F.col("_large_key")) & F.col("_at_minute").eqNullSafe(F.col("_minute")), "left")
     return joined.withColumns({
         "_heavy": F.col("_large_key").isNotNull(), "_slice": F.coalesce(F.col("_cut"), F.lit(0)),
     }).drop("_large_key", "_minute", "_at_minute", "_cut")

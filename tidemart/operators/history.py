@@ -86,7 +86,7 @@ def versions(
     opens = (F.col("_pos") == 1) & F.coalesce(F.col("_opens"), F.lit(True))
     numbered = carried.where(opens | inner).withColumns({
         "valid_from": F.col(at),
-        "valid_to": F.coalesce(F.lead(at).over(in_slice), F.col("_next")),
+        "valid_to": F.when(F.lead(F.lit(True)).over(in_slice), F.lead(at).over(in_slice)).otherwise(F.col("_next")),
         "version": (F.coalesce(F.col("_before"), F.lit(0)) + F.row_number().over(in_slice)).cast("int"),
     }).withColumn("is_current", F.col("valid_to").isNull())
     return numbered.select(*snapshots.columns, "valid_from", "valid_to", "is_current", "version")
