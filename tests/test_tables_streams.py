@@ -184,6 +184,17 @@ def test_text_is_clustered_beyond_a_common_prefix(spark):
     assert len(ranges) > 4 and all(a.high <= b.low for a, b in zip(ranges, ranges[1:]))
 
 
+def test_text_cut_points_count_all_rows(spark):
+    hashed = spark.range(300).select(F.format_string("v%03d", "id").alias("v")).orderBy(F.xxhash64("v"))
+    least = hashed.first().v  # the row with the smallest hash, repeated more often than any sample is long
+    rows = spark.range(30_000).select(F.format_string("v%03d", F.col("id") % 300).alias("v"))
+    rows = rows.unionByName(spark.range(12_000).select(F.lit(least).alias("v"))).unionByName(spark.createDataFrame([(None,)], "v string"))
+    values = sorted(r.v for r in rows.collect() if r.v is not None)
+    want = sorted({values[int(i / 8 * len(values))] for i in range(1, 8)})
+    assert tables._cut_points(rows, ["v"], 8) == [want] and len(want) > 4
+    assert tables._cut_points(rows.where("v IS NULL"), ["v"], 8) == [[]]
+
+
 def test_contract_refuses_endless_prices_and_null_ids(spark):
     base = '"event_type": "page_view", "event_ts": "2024-01-01T00:00:00Z", "session_id": "s"'
     lines = [

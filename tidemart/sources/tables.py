@@ -7,7 +7,7 @@ import re
 import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,7 +80,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 # ---- clustering ------------------------------------------------------------------------
 
-SAMPLE_ROWS = 10_000  # bound of the sample that text cut points come from
+SAMPLE_ROWS = 10_000  # bound of the sample of distinct texts that divides their counting among tasks
+TEXT_RANGES = 256
 
 
 def _ordered(df: DataFrame, column: str) -> Column:
@@ -96,8 +97,32 @@ def _ordered(df: DataFrame, column: str) -> Column:
     return c.cast("double")
 
 
+def _text_cuts(df: DataFrame, column: str, shares: list[float]) -> list[str]:
+    """Exact quantiles of all rows, by a running sum over the distinct texts within value ranges.
+
+    A sample of the distinct texts only sets the ranges, not the result.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    sample = sorted((r.v for r in counts.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE_ROWS).collect()), key=str.encode)
+    borders = [sample[i * len(sample) // TEXT_RANGES] for i in range(1, TEXT_RANGES)] if sample else []
+    ranged = counts.withColumn("part", _bucket(F.col("v"), sorted(set(borders), key=str.encode)))
+    sums = sorted(ranged.groupBy("part").agg(F.sum("n").alias("n")).collect())  # TEXT_RANGES rows at most
+    before, total = [], 0
+    for part, n in sums:
+        before.append((part, total))
+        total += n
+    if not total:
+        return []
+    offsets = df.sparkSession.createDataFrame(before, "part int, before bigint")
+    so_far = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = ranged.join(F.broadcast(offsets), "part").withColumn("till", F.col("before") + F.sum("n").over(so_far))
+    wanted = F.array(*[F.lit(int(s * total)).cast("bigint") for s in shares])
+    met = F.exists(wanted, lambda w: (w < F.col("till")) & (w >= F.col("till") - F.col("n")))
+    return [r.v for r in placed.where(met).select("v").collect()]
+
+
 def _cut_points(df: DataFrame, columns: Sequence[str], parts: int) -> list[list]:
-    """``parts`` - 1 approximate quantiles per column: of all rows for numbers, of a bounded hash sample for text."""
+    """``parts`` - 1 quantiles of all rows per column: approximate for numbers, exact for text."""
     shares = [i / parts for i in range(1, parts)]
     texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
     numbers = [c for c in columns if c not in texts]
@@ -105,11 +130,7 @@ def _cut_points(df: DataFrame, columns: Sequence[str], parts: int) -> list[list]
     if numbers:
         row = df.agg(*[F.percentile_approx(_ordered(df, c), shares, 10_000).alias(f"q{i}") for i, c in enumerate(numbers)]).first()
         found |= {c: row[i] or [] for i, c in enumerate(numbers)}
-    if texts:
-        sample = df.select(*texts).orderBy(F.xxhash64(*df.columns)).limit(SAMPLE_ROWS).collect()
-        for i, c in enumerate(texts):
-            values = sorted((r[i] for r in sample if r[i] is not None), key=lambda v: v.encode())
-            found[c] = [values[int(s * len(values))] for s in shares] if values else []
+    found |= {c: _text_cuts(df, c, shares) for c in texts}
     return [sorted(set(found[c]), key=lambda v: v.encode() if isinstance(v, str) else v) for c in columns]
 
 
