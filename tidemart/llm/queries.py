@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import use_utc
-from . import archives, decontamination, exact_dedup, licenses, sentencepiece_codec, simhash, substring_dedup, token_files, toxicity
-from . import url_filter
+from . import archives, decontamination, exact_dedup, licenses, sentencepiece_codec, simhash, spelling, substring_dedup, token_files
+from . import toxicity, url_filter
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,8 @@ def op10_toxicity(spark, sf_dir):
     scored = toxicity.score_texts(docs, model, keep=["doc_id"])
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", F.size("clauses").alias("clauses"))
+
+
+@query
+def op11_spelling_groups(spark, sf_dir):
+    return spelling.spelling_groups(spark, read_table(spark, sf_dir, "documents"))
