@@ -73,9 +73,30 @@ SELECT page_id, host, path, CASE {rule} END AS rule,
 FROM p"""
 
 
+def _ranked() -> str:
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({lower('text')}, '{term}') AS w FROM documents),
+b AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all({lower('text')}, '{term}') AS w FROM benchmark),
+asked AS (SELECT DISTINCT item, item_id, term FROM (SELECT item, item_id, unnest(w) AS term FROM b)),
+stats AS (SELECT count(*) AS total, CAST(sum(len(w)) AS BIGINT) AS length FROM d WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) SEMI JOIN (SELECT DISTINCT term FROM asked) USING (term) GROUP BY r, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * total + 2) / (2 * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), stats),
+impacts AS (
+  SELECT r, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * CAST(len(w) AS BIGINT) * total) // length))) AS gain
+  FROM tf JOIN d USING (r) JOIN weights USING (term), stats),
+scores AS (SELECT item, item_id, r, doc_id, CAST(sum(gain) AS BIGINT) AS score FROM asked JOIN impacts USING (term) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10"""
+
+
 ORACLES = {
     "op3_decontamination": _decontamination(),
     "op4_arc_to_warc": _archives(),
     "op6_url_filter": _urls(),
     "op9_exact_dedup": _exact(),
+    "op13_ranked_search": _ranked(),
 }

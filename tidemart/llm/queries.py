@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import use_utc
-from . import archives, decontamination, exact_dedup, licenses, sentencepiece_codec, simhash, spelling, substring_dedup, token_files
-from . import toxicity, url_filter
+from . import archives, decontamination, exact_dedup, licenses, pii, ranked_search, sentencepiece_codec, simhash, spelling
+from . import substring_dedup, token_files, toxicity, url_filter
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,14 @@ def op10_toxicity(spark, sf_dir):
 @query
 def op11_spelling_groups(spark, sf_dir):
     return spelling.spelling_groups(spark, read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_pii(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.digests(pii.find_spans(docs, pii.fit(spark, docs), keep=["doc_id"]), ["doc_id"])
+
+
+@query
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search.top_documents(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
