@@ -123,11 +123,22 @@ def plain_contamination(text, items):
 
 ITEMS = [
     (1, " ".join(f"q{i}" for i in range(30))), (2, "alpha3 beta3 alpha4"), (10, "short"), (None, "äö one"), (4, None), (5, "!?"),
-    (10, "short"), (11, "Q5 q6, q7-q8"),
+    (10, "short"), (11, "Q5 q6, q7-q8"), (12, " ".join(f"q{i}" for i in range(10, 60))),
 ]
 
 
-@pytest.mark.parametrize("block_words", [dc.BLOCK_WORDS, 20])
+def plain_runs(text, hit):
+    """Words of each run of consecutive hit places."""
+    words, out, last = plain_words(text), [], None
+    for at in hit:
+        if last is None or at > last + 1:
+            out.append([])
+        out[-1].append(words[at])
+        last = at
+    return out
+
+
+@pytest.mark.parametrize("block_words", [dc.BLOCK_WORDS, 60, 20])
 def test_contamination_equals_plain(spark, block_words):
     texts = [*TEXTS, (20, " ".join(f"Q{i}" for i in range(5, 25))), (21, "a short, short tale"), (22, "q1 q2 q3")]
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
@@ -140,8 +151,7 @@ def test_contamination_equals_plain(spark, block_words):
         want.setdefault((doc_id, text), (n, len(hit), met, bool(hit) and 20 * len(hit) >= n))
     for r in out:
         assert (r.n_words, r.n_hit, r["items"], r.contaminated) == want[r.doc_id, r.text]
-        if block_words == dc.BLOCK_WORDS:
-            assert sum(len(plain_words(r.text[s.start:s.end])) for s in r.spans) == r.n_hit
+        assert [plain_words(r.text[s.start:s.end]) for s in r.spans] == plain_runs(r.text, plain_contamination(r.text, ITEMS)[1])
 
 
 def test_contamination_edges(spark):
@@ -184,6 +194,17 @@ def plain_shingles(text):
     return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
 
 
+def plain_short(texts, templates):
+    out = set()
+    for doc_id, text in texts:
+        have = [w for w in re.sub("[^a-z0-9]+", " ", (text or "").lower()).split(" ") if w]
+        for name, wording in templates:
+            want = [w for w in re.sub("[^a-z0-9]+", " ", wording.lower()).split(" ") if w]
+            if any(have[i:i + len(want)] == want for i in range(len(have))):
+                out.add((doc_id, name))
+    return out
+
+
 def plain_licenses(texts):
     out = {}
     for doc_id, text in texts:
@@ -193,7 +214,7 @@ def plain_licenses(texts):
             share = len(want & have) / len(want)
             if share >= licenses.LEAST:
                 out[doc_id, name] = max(share, out.get((doc_id, name), 0))
-    return out
+    return out | dict.fromkeys(plain_short(texts, licenses.NOTICES), 1.0)
 
 
 def test_licenses_equal_plain(spark):
@@ -212,18 +233,7 @@ def test_licenses_equal_plain(spark):
 def test_license_query(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in read_table(spark, sf_dir, "documents").collect()]
     got = {(r.doc_id, r.license): r.containment for r in QUERIES["op2_license_scan"](spark, sf_dir).collect()}
-    assert got == pytest.approx(plain_licenses(rows))
-
-
-def plain_short(texts, templates):
-    out = set()
-    for doc_id, text in texts:
-        have = [w for w in re.sub("[^a-z0-9]+", " ", (text or "").lower()).split(" ") if w]
-        for name, wording in templates:
-            want = [w for w in re.sub("[^a-z0-9]+", " ", wording.lower()).split(" ") if w]
-            if any(have[i:i + len(want)] == want for i in range(len(have))):
-                out.add((doc_id, name))
-    return out
+    assert got == pytest.approx(plain_licenses(rows)) and any(name == "all-rights-reserved" for _, name in got)
 
 
 def test_short_templates_are_found(spark, sf_dir):
@@ -236,16 +246,13 @@ def test_short_templates_are_found(spark, sf_dir):
     rows = licenses.license_matches(docs, templates).collect()
     assert sorted((r.doc_id, r.license) for r in rows) == sorted(plain_short(texts, templates)) and {r.containment for r in rows} == {1.0}
     assert {(r.doc_id, r.license): r.first_word for r in rows}[44, "three"] == 4
-    both = {(r.doc_id, r.license): r.containment for r in licenses.license_matches(docs, licenses.TEMPLATES + templates).collect()}
+    known = licenses.TEMPLATES + licenses.NOTICES + templates
+    both = {(r.doc_id, r.license): r.containment for r in licenses.license_matches(docs, known).collect()}
     assert both == pytest.approx(plain_licenses(texts) | dict.fromkeys(plain_short(texts, templates), 1.0))
     for empty in ("", " .!", None):
         with pytest.raises(ValueError, match="without a word"):
             licenses.license_matches(docs, (*templates, ("none", empty)))
 
-    rows = [(r.doc_id, r.text) for r in read_table(spark, sf_dir, "documents").collect()]
-    got = {(r.doc_id, r.license): r.containment for r in QUERIES["op2_license_scan"](spark, sf_dir).collect()}
-    notices = plain_short(rows, licenses.NOTICES)
-    assert notices and got == pytest.approx(plain_licenses(rows) | dict.fromkeys(notices, 1.0))
 
 
 def test_item_digest(spark, sf_dir):

@@ -19,7 +19,8 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, staged
+from .common import free_name, small_batches, staged
 
 WINDOW = 13
 BLOCK_WORDS = 100_000
@@ -103,16 +104,27 @@ SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.Str
 _BUILT: dict[str, list] = {}
 
 
-def blocks_of(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> list[list[tuple]]:
-    """Items in blocks of bounded size; counted by Spark before any text is fetched."""
+def blocks_of(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple]]:
+    """Items in blocks of bounded size, one at a time; counted by Spark before any text is fetched."""
     sized = benchmark.where("text IS NOT NULL").select(
         "item_id", "text", F.ceil((F.length("text") + 1) / 2).alias("size"))  # a word has a character and a separator
     total = sized.agg(F.sum("size")).first()[0] or 0
     count = -(-int(total) // block_words) or 1
     if count == 1:
-        return [[(r.item_id, r.text) for r in sized.collect()]]
+        yield [(r.item_id, r.text) for r in sized.collect()]
+        return
     dealt = sized.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * count)))
-    return [[(r.item_id, r.text) for r in dealt.where(F.col("block") == b).collect()] for b in range(2 * count)]
+    for b in range(2 * count):
+        block = [(r.item_id, r.text) for r in dealt.where(F.col("block") == b).collect()]
+        if block:
+            yield block
+
+
+def _scan_schema(docs: DataFrame, names: list[str]) -> T.StructType:
+    return T.StructType([docs.schema[c] for c in names] + [
+        T.StructField("n_words", T.LongType()), T.StructField("hit", T.ArrayType(T.LongType())),
+        T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", SPANS),
+    ])
 
 
 def _scanned(docs: DataFrame, items: list[tuple], names: list[str], size: int) -> DataFrame:
@@ -143,12 +155,35 @@ def _scanned(docs: DataFrame, items: list[tuple], names: list[str], size: int) -
                 pa.array(met, pa.list_(pa.string())), pa.array(ranges, kind),
             ], [*names, "n_words", "hit", "items", "spans"])
 
-    schema = T.StructType([docs.schema[c] for c in names] + [
-        T.StructField("n_words", T.LongType()), T.StructField("hit", T.ArrayType(T.LongType())),
-        T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", SPANS),
-    ])
     asked = names if "text" in names else [*names, "text"]
-    return docs.select(*[f"`{c}`" for c in asked]).mapInArrow(run, schema)
+    return docs.select(*[f"`{c}`" for c in asked]).mapInArrow(run, _scan_schema(docs, names))
+
+
+def _united(docs: DataFrame, blocks: Iterable[list[tuple]], names: list[str], size: int) -> DataFrame:
+    """As :func:`_scanned` for several blocks: a scan for each, whose word places are united per document before spans are read off."""
+    spark = docs.sparkSession
+    rid, own, places, ids = (free_name(docs, n) for n in ("row", "text", "hit", "items"))
+    rows = staged(spark, docs.withColumn(rid, F.monotonically_increasing_id()), "numbered")
+    met = None
+    for block in blocks:
+        one = staged(spark, _scanned(rows, block, [rid], size).where("size(hit) > 0").select(rid, "hit", "items"), "scanned")
+        met = one if met is None else met.unionByName(one)
+    both = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))  # noqa: E731  of one document
+    met = met.groupBy(rid).agg(both("hit").alias(places), both("items").alias(ids))
+    joined = rows.join(met, rid, "left").select(*[f"`{c}`" for c in names], F.col("text").alias(own), places, ids)
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(own).to_pylist()]
+            hits, items = ([x or [] for x in batch.column(c).to_pylist()] for c in (places, ids))
+            ranges = [[{"start": s, "end": e} for s, e in spans(t, np.array(h, np.int64))] for t, h in zip(texts, hits, strict=True)]
+            yield pa.RecordBatch.from_arrays([
+                *(batch.column(c) for c in names), pa.array([sum(1 for _ in WORD.finditer(t)) for t in texts], pa.int64()),
+                pa.array(hits, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string())), pa.array(ranges, kind),
+            ], [*names, "n_words", "hit", "items", "spans"])
+
+    return joined.mapInArrow(run, _scan_schema(docs, names))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, size: int = WINDOW,
@@ -161,23 +196,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     made = ("n_words", "hit", "n_hit", "items", "spans", "contaminated")
     names = [c for c in (keep if keep is not None else docs.columns) if c not in made]
     blocks = blocks_of(benchmark, block_words)
-    if len(blocks) == 1:
-        found = _scanned(docs, blocks[0], names, size)
+    block, another = next(blocks, []), next(blocks, None)
+    if another is None:
+        found = _scanned(docs, block, names, size)
     else:
-        # Word places of several scans are united per document, in a stable numbering of the rows.
-        spark = docs.sparkSession
-        rid = "_row"
-        while rid in docs.columns:
-            rid += "_"
-        rows = staged(spark, docs.withColumn(rid, F.monotonically_increasing_id()), "numbered")
-        parts = [_scanned(rows, b, [*names, rid], size) for b in blocks]
-        merged = parts[0]
-        for part in parts[1:]:
-            more = part.select(rid, F.col("hit").alias("_hit"), F.col("items").alias("_items"), F.col("spans").alias("_spans"))
-            merged = merged.join(more, rid).select(
-                *names, rid, "n_words", F.array_sort(F.array_union("hit", "_hit")).alias("hit"),
-                F.array_sort(F.array_union("items", "_items")).alias("items"), F.array_union("spans", "_spans").alias("spans"))
-        found = merged.drop(rid)
+        found = _united(docs, chain([block, another], blocks), names, size)
     n_hit = F.size("hit").cast("long")
     return found.select(*[f"`{c}`" for c in names], "n_words", n_hit.alias("n_hit"), "items", "spans",
                         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"))
