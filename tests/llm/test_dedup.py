@@ -288,3 +288,46 @@ def test_substring_edges(spark):
     out = sub.without_runs(edge_docs(spark), runs)
     assert out.columns == edge_docs(spark).columns and out.count() == len(TEXTS)
     assert sub.repeated_runs(spark, no_docs(spark)).count() == 0
+
+
+def plain_repeats(texts, gram):
+    """Per text: True for every byte within ``gram`` bytes that stand earlier in this text or in an earlier one.  ``texts`` in order."""
+    seen, out = set(), []
+    for text in texts:
+        raw = (text or "").encode()
+        met = np.zeros(len(raw), bool)
+        for at in range(len(raw) - gram + 1):
+            piece = raw[at:at + gram]
+            if piece in seen:
+                met[at:at + gram] = True
+            else:
+                seen.add(piece)
+        out.append(met)
+    return out
+
+
+def stretches(met):
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], met, [False]]).astype(int)))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
+def test_substring_query_against_all_repeats(spark, sf_dir):
+    """Nothing is reported that does not repeat, byte by byte, and nearly all long repeats are, up to their ends."""
+    docs = sorted(((r.doc_id, r.text) for r in read_table(spark, sf_dir, "documents").collect()), key=lambda r: r[0])
+    rows = QUERIES["op8_substring_dedup"](spark, sf_dir).collect()
+    runs = defaultdict(set)
+    for r in rows:
+        runs[r.doc_id].add((r.run_start, r.run_start + r.run_bytes))
+    assert all(e - s >= sub.LEAST_BYTES for spans in runs.values() for s, e in spans)
+    short = plain_repeats([t for _, t in docs], sub.LEAST_CHUNK)
+    long = plain_repeats([t for _, t in docs], 300)
+    found = missed = 0
+    for (doc_id, _), repeated, longer in zip(docs, short, long):
+        reported = np.zeros(len(repeated), bool)
+        for s, e in runs[doc_id]:
+            reported[s:e] = True
+        assert not (reported & ~repeated).any(), doc_id
+        for s, e in stretches(longer):
+            found += int(reported[s:e].sum())
+            missed += int((~reported[s:e]).sum())
+    assert found > 50_000 and missed < 0.02 * found

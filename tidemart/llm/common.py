@@ -29,6 +29,14 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def dropped(spark: SparkSession, df: DataFrame) -> None:
+    """Deletes what :func:`staged` wrote for ``df``, when every reader of it is staged itself."""
+    path = next(iter(df.inputFiles()), "").rpartition("/")[0]
+    if path:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, all other characters as they are; null as the empty text."""
     return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)

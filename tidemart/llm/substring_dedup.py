@@ -16,8 +16,11 @@ Behind a chunk, the document and the first copy's cannot agree for more than the
 end, or that chunk would repeat itself.  Before it there is no such bound: ``LOOK`` bytes are compared, and where all of them agree
 sixteen times as many, and so on.  Only such surroundings leave the texts, each once.
 
-Counting combines map-side and the join back has one row per repeated digest, so a passage that a third of all documents hold
-is split by the skew-join rule.  A document is never joined with another one.
+Most chunks occur once.  They are told from the others by half of their digest alone, counted map-side; only chunks whose half
+repeats travel with their places.  The tables of repeated halves, of first copies and of texts around chunks are written down before they
+are joined, so both sides of each join have an exchange of their own and the skew-join rule splits a passage that a third of
+all documents hold.  Of the first copy's text one stretch per chunk is fetched, which covers all its copies ask for.  A document is never
+joined with another one.  What is read no more is deleted on the way.
 
 Null and empty texts have no chunks.  Repeated rows (one doc_id and text) count as one document, also those without a doc_id.
 Chunks of null doc_ids repeat those of known ones, never the reverse.  Offsets are bytes of the UTF-8 text.
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, staged
+from .common import dropped, small_batches, staged
 
 LEAST_CHUNK = 20
 REACH = 24
@@ -94,7 +97,10 @@ def chunks_of(text: str | None, least: int = LEAST_CHUNK, gap: int = MEAN_GAP) -
 
 
 def chunks(docs: DataFrame, least: int = LEAST_CHUNK, gap: int = MEAN_GAP) -> DataFrame:
-    """(doc_id, text_hash, start, size, next_size, again, hi, lo): one row per chunk; again tells that the document has had the chunk before."""
+    """(doc_id, text_hash, row, start, size, next_size, again, hi, lo): one row per chunk.
+
+    ``row`` numbers the rows of ``docs``; ``again`` tells that the document has had the chunk before.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
@@ -110,16 +116,17 @@ def chunks(docs: DataFrame, least: int = LEAST_CHUNK, gap: int = MEAN_GAP) -> Da
                 digests = np.frombuffer(b"".join([c[2] for c in flat]), "<i8").reshape(-1, 2)
                 rows = np.repeat(np.arange(len(found)), [len(cs) for cs in found])
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id").take(pa.array(rows)), part.column("text_hash").take(pa.array(rows)), pa.array([c[0] for c in flat], pa.int32()),
+                    part.column("doc_id").take(pa.array(rows)), part.column("text_hash").take(pa.array(rows)), part.column("row").take(pa.array(rows)),
+                    pa.array([c[0] for c in flat], pa.int32()),
                     pa.array([c[1] for c in flat], pa.int32()),
                     pa.array([n for cs in found for n in [*[c[1] for c in cs[1:]], *[0] * bool(cs)]], pa.int32()), pa.array(again, pa.bool_()),
                     pa.array(np.ascontiguousarray(digests[:, 0])), pa.array(np.ascontiguousarray(digests[:, 1])),
-                ], ["doc_id", "text_hash", "start", "size", "next_size", "again", "hi", "lo"])
+                ], ["doc_id", "text_hash", "row", "start", "size", "next_size", "again", "hi", "lo"])
 
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        run, f"doc_id {kind}, text_hash bigint, start int, size int, next_size int, again boolean, hi bigint, lo bigint")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"), "text").mapInArrow(
+        run, f"doc_id {kind}, text_hash bigint, row bigint, start int, size int, next_size int, again boolean, hi bigint, lo bigint")
 
 
 def common_ends(mine: bytes, theirs: bytes, left: int, size: int) -> tuple[int, int]:
@@ -149,43 +156,48 @@ def _same(a: DataFrame, b: DataFrame, names: dict[str, str]):
 
 def _extents(spark: SparkSession, docs: DataFrame, repeats: DataFrame, look: int) -> DataFrame:
     """``repeats`` with before and after: the bytes by which each can be extended, at most ``look`` to the left."""
-    left = F.least("gap", "first_start", F.lit(look))
-    edges = repeats.withColumn("left", left).withColumns({
-        "from": F.col("start") - left, "bytes": left + F.col("size") + F.col("room"), "first_from": F.col("first_start") - left})
-    ranges = edges.select("doc_id", "text_hash", "from", "bytes").union(
-        edges.select("first_doc_id", "first_hash", "first_from", "bytes")).distinct()
-    asked = ranges.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).agg(
-        F.collect_list(F.struct("from", "bytes")).alias("asked"))  # of one document
+    edges = repeats.withColumn("left", F.least("gap", "first_start", F.lit(look))).withColumn("right", F.col("size") + F.col("room"))
+    # One stretch per chunk, that covers what all its copies ask for.
+    asked = edges.select("doc_id", "text_hash", "start", "left", "right").union(
+        edges.select("first_doc_id", "first_hash", "first_start", "left", "right")
+    ).groupBy("doc_id", "text_hash", "start").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    per_text = asked.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).agg(
+        F.collect_list(F.struct("start", "left", "right")).alias("asked"))  # of one document, one for each of its chunks at the most
+    per_text = staged(spark, per_text, "asked")
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    pieces = (
-        texts.join(asked, _same(texts, asked, {"doc_id": "d", "text_hash": "h"}))
-        .select("d", "h", F.col("text").cast("binary").alias("raw"), "asked")
-        .select("d", "h", "raw", F.explode("asked").alias("a"))
-        .select("d", "h", F.col("a.from").alias("f"), F.col("a.bytes").alias("b"), F.substring("raw", F.col("a.from") + 1, F.col("a.bytes")).alias("piece"))
-    )
-    pieces = staged(spark, pieces, "pieces")
-    mine = pieces.toDF("d1", "h1", "f1", "b1", "mine")
-    theirs = pieces.toDF("d2", "h2", "f2", "b2", "theirs")
-    joined = edges.join(mine, _same(edges, mine, {"doc_id": "d1", "text_hash": "h1", "from": "f1", "bytes": "b1"}))
-    joined = joined.join(theirs, _same(joined, theirs, {"first_doc_id": "d2", "first_hash": "h2", "first_from": "f2", "bytes": "b2"}))
+    pieces = staged(spark, (
+        texts.join(per_text, _same(texts, per_text, {"doc_id": "d", "text_hash": "h"}))
+        .select("d", "h", F.col("text").cast("binary").alias("raw"), F.explode("asked").alias("a"))
+        .select("d", "h", F.col("a.start").alias("s"), F.col("a.left").alias("l"),
+                F.substring("raw", F.col("a.start") - F.col("a.left") + 1, F.col("a.left") + F.col("a.right")).alias("piece"))
+    ), "pieces")
+    mine = pieces.toDF("d1", "h1", "s1", "my_left", "mine")
+    theirs = pieces.toDF("d2", "h2", "s2", "their_left", "theirs")
+    joined = edges.join(mine, _same(edges, mine, {"doc_id": "d1", "text_hash": "h1", "start": "s1"}))
+    joined = joined.join(theirs, _same(joined, theirs, {"first_doc_id": "d2", "first_hash": "h2", "first_start": "s2"}))
     names = repeats.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends = [common_ends(*x) for x in zip(*[batch.column(n).to_pylist() for n in ("mine", "theirs", "left", "size")], strict=True)]
+            asked = [batch.column(n).to_pylist() for n in ("mine", "my_left", "theirs", "their_left", "left", "right", "size")]
+            ends = [common_ends(mine[a - left:a + right], theirs[b - left:b + right], left, size)
+                    for mine, a, theirs, b, left, right, size in zip(*asked, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n in names], pa.array([e[0] for e in ends], pa.int32()), pa.array([e[1] for e in ends], pa.int32())],
                 [*names, "before", "after"])
 
     kinds = T.StructType([*repeats.schema.fields, T.StructField("before", T.IntegerType()), T.StructField("after", T.IntegerType())])
-    return joined.select(*names, "left", "mine", "theirs").mapInArrow(run, kinds)
+    found = joined.select(*names, "left", "right", "mine", "my_left", "theirs", "their_left").mapInArrow(run, kinds)
+    found = staged(spark, found, "extents")
+    dropped(spark, pieces)
+    return found
 
 
 def extended(spark: SparkSession, docs: DataFrame, repeats: DataFrame) -> DataFrame:
     """``repeats`` with before and after, however far their documents agree."""
     look, parts = LOOK, []
     while True:
-        found = staged(spark, _extents(spark, docs, repeats, look), "extents")
+        found = _extents(spark, docs, repeats, look)
         further = (F.col("before") == look) & (F.least("gap", "first_start") > look)
         parts.append(found.where(~further))
         rest = found.where(further)
@@ -201,15 +213,17 @@ def repeated_runs(spark: SparkSession, docs: DataFrame, least_bytes: int = LEAST
     A run has one row for each document that holds the first copy of some of its chunks, with the bytes found there.
     """
     cut = staged(spark, chunks(docs, least, gap), "chunks")
+    twice = staged(spark, cut.groupBy("lo").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("lo"), "repeated-halves")
+    known_rows = staged(spark, cut.where("start = 0").select("row", "doc_id", "text_hash"), "chunk-rows")
+    some = staged(spark, cut.drop("doc_id", "text_hash").join(twice, "lo", "left_semi").join(known_rows, "row"), "some-chunks")
+    dropped(spark, cut)
     holder = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "start"))
-    known = (
-        cut.groupBy("hi", "lo").agg(F.count("*").alias("copies"), holder.alias("first")).where("copies > 1")
-        .select("hi", "lo", F.col("first.doc_id").alias("first_doc_id"), F.col("first.text_hash").alias("first_hash"),
-                F.col("first.start").alias("first_start"))
-    )
+    known = staged(spark, some.groupBy("hi", "lo").agg(F.count("*").alias("copies"), holder.alias("first")).where("copies > 1")
+                   .select("hi", "lo", F.col("first.doc_id").alias("first_doc_id"), F.col("first.text_hash").alias("first_hash"),
+                           F.col("first.start").alias("first_start")), "first-copies")
     document = ("doc_id", "text_hash")
-    repeats = cut.join(known, ["hi", "lo"]).where(
-        "again OR NOT (doc_id <=> first_doc_id AND text_hash = first_hash)").drop("hi", "lo", "again")
+    repeats = some.join(known, ["hi", "lo"]).where(
+        "again OR NOT (doc_id <=> first_doc_id AND text_hash = first_hash)").drop("hi", "lo", "again", "row")
     by_place = Window.partitionBy(*document).orderBy("start")
     # Repeated rows bring a place twice; it is taken once.
     placed = repeats.withColumn("earlier", F.lag("start", 1, -1).over(by_place)).where("start > earlier").drop("earlier")
