@@ -59,7 +59,7 @@ def test_upsert_rewrites_only_matched_folders(spark):
     table.upsert(frame([("a", "d1", 1, 1), ("b", "d2", 1, 1), ("c", "d3", 1, 1)]), ["id"])
     table.upsert(frame([("a", "d2", 2, 2), ("n", "d3", 2, 2)]), ["id"])  # a moves to another folder
     assert sorted(tuple(r) for r in table.read().select("id", "day", "x").collect()) == [("a", "d2", 2), ("b", "d2", 1), ("c", "d3", 1), ("n", "d3", 2)]
-    assert table.pointer()["folders"] == {"day=d2": [1, 2], "day=d3": [1, 2]}
+    assert table.folders() == {"day=d2": [1, 2], "day=d3": [1, 2]}
     table.upsert(frame([("b", "d2", 9, 9), ("z", "d4", 9, 9)]), ["id"], update_columns=["y"])
     assert {r.id: (r.x, r.y) for r in table.read().collect()} == {"a": (2, 2), "b": (1, 9), "c": (1, 1), "n": (2, 2), "z": (9, 9)}
     with pytest.raises(ValueError):
@@ -228,3 +228,74 @@ def test_appends_may_add_columns(spark):
     tables.append(priced(spark, [("b", 2.0)]).withColumn("note", F.lit("new")), path)
     wide = spark.read.option("mergeSchema", "true").parquet(path)
     assert {(r.event_id, r.note) for r in wide.collect()} == {("a", None), ("b", "new")}
+
+
+# ---- entries of files ------------------------------------------------------------------
+
+def test_bloom_filter_lets_no_key_down():
+    import numpy as np
+
+    from tidemart.sources import manifest
+
+    rng = np.random.default_rng(1)
+    held = rng.integers(-2**63, 2**63 - 1, 5_000)
+    made = manifest.bloom(held)
+    assert all(manifest.may_hold(made, held[i:i + 1]) for i in range(0, 5_000, 7))
+    others = rng.integers(-2**63, 2**63 - 1, 4_000)
+    assert sum(manifest.may_hold(made, others[i:i + 1]) for i in range(4_000)) < 80
+    assert not manifest.may_hold(manifest.bloom(held[:0]), others) and not manifest.may_hold(made, others[:0])
+
+
+def test_a_merge_opens_only_files_that_may_match(spark, monkeypatch):
+    table = tables.VersionedTable(spark, scratch_path(spark, "t"), ["day"], keys=["id"])
+    frame = lambda ids, n: spark.createDataFrame([(f"k{i}", f"d{i % 20:02d}", n) for i in ids], "id string, day string, n int")
+    table.publish(frame(range(2_000), 1))
+    opened = []
+    read = table._read_files
+    monkeypatch.setattr(table, "_read_files", lambda pointer, files: opened.append(sorted(files)) or read(pointer, files))
+    table.upsert(frame([40, 60, 2_040], 2), ["id"])  # one day, two rows known
+    assert [f for fs in opened for f in fs if "day=d00" not in f] == [] and len(opened) == 1
+    got = {r.id: (r.day, r.n) for r in table.read().collect()}
+    assert len(got) == 2_001 and {k for k, v in got.items() if v[1] == 2} == {"k40", "k60", "k2040"}
+    assert {r.day for r in table.changed_partitions(1, 2).collect()} == {"d00"}
+    assert {r.day for r in table.changed_partitions(2).collect()} == set()
+    assert table.changed_partitions(None).count() == 20
+    assert table.read_partitions(spark.createDataFrame([("d03",), ("zz",)], "day string")).count() == 100
+    assert {r.id for r in table.read_matching(frame([41, 9_999], 0), ["id"]).collect()} == {"k41"}
+
+
+@pytest.mark.parametrize("asked", [0, 10**6])
+def test_many_merges_equal_a_plain_map(spark, monkeypatch, asked):
+    """With and without filters, beyond the point where entries are written together, null keys included."""
+    import random
+
+    monkeypatch.setattr(tables, "MOST_ASKED", asked)
+    monkeypatch.setattr(tables, "KEPT_DELTAS", 4)
+    rng = random.Random(asked)
+    table = tables.VersionedTable(spark, scratch_path(spark, "t"), ["day"])
+    want, nulls = {}, 0
+    for step in range(6):
+        rows = {rng.randrange(60): rng.choice("abc") for _ in range(12)}
+        want |= {i: (d, step) for i, d in rows.items()}
+        nulls += 1
+        table.upsert(spark.createDataFrame([*((i, d, step) for i, d in rows.items()), (None, "a", step)], "id long, day string, n int"), ["id"], keep=2)
+        got = table.read().collect()
+        assert {r.id: (r.day, r.n) for r in got if r.id is not None} == want and len(got) == len(want) + nulls
+    assert len(table._published()) == 2 and table.read(table._published()[0]).count() <= len(got)
+    assert len(table.pointer()["parts"]) <= 4
+
+
+def test_optimize_lays_only_what_is_new(spark):
+    table = tables.VersionedTable(spark, scratch_path(spark, "t"), stats=["a"])
+    frame = lambda lo, hi: spark.range(lo, hi).select((F.col("id") * 7919 % 1000).alias("a"), F.concat(F.lit("u"), "id").alias("s"), "id")
+    table.publish(frame(0, 8_000))
+    first = table.optimize(["a"], 8)
+    assert table.optimize(["a"], 8) == first and len(table._written()) == 2
+    narrow = table.files().where("min_a <= 10 AND max_a >= 10").count()
+    assert narrow <= 2 < table.files().count()
+    laid = {r.file for r in table.files().collect()}
+    table.upsert(frame(7_990, 9_000), ["id"])
+    kept = {r.file for r in table.files().collect()} & laid
+    assert table.optimize(["a"], 8) > first
+    assert kept <= {r.file for r in table.files().collect()} and table.files().where("layout IS NULL").count() == 0
+    assert table.read().exceptAll(frame(0, 9_000)).isEmpty() and table.read().count() == 9_000

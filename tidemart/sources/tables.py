@@ -7,12 +7,14 @@ import re
 import uuid
 from collections.abc import Iterable, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import fingerprint
 from ..operators.quality import Rule, checked_write
+from .manifest import MOST_ASKED, entries, entry_schema, filtered, holding, in_ranges, key_hash, ranged
 
 
 # ---- plain writes ----------------------------------------------------------------------
@@ -184,7 +186,7 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     """Target after an upsert: matched rows updated, others inserted.  Null keys never match."""
     keys = list(keys)
     if update_columns is None:
-        kept = target.join(source.select(*keys), keys, "left_anti")
+        kept = target.join(source.select(*keys), keys, "left_anti").select(*[f"`{c}`" for c in target.columns])
         return kept.unionByName(source, allowMissingColumns=True)
     news = source.select(*keys, F.struct(*update_columns).alias("_new"))
     joined = target.join(news, keys, "left")
@@ -198,19 +200,27 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
 
 # ---- versioned tables ------------------------------------------------------------------
 
+KEPT_DELTAS = 16  # after so many merges the entries of all current files are written together again
+
+
 class VersionedTable:
     """Data first, pointer last.
 
-    ``<path>/v=<n>/`` holds the files one publish wrote and ``<path>/_published/<n>.json``
-    makes them visible: it names, per partition folder, the versions whose files are current.
-    Nothing is ever overwritten, so readers see a whole version or the one before, and an
-    upsert rewrites only the partition folders that hold matched rows.
+    ``<path>/v=<n>/`` holds the files one publish or merge wrote, ``<path>/_files/v=<n>/`` an entry for each of them (see
+    :mod:`manifest`), ``<path>/_gone/v=<n>/`` the names of the files it replaced, and ``<path>/_published/<n>.json`` makes all
+    that visible: it names the versions whose entries, less what is gone, make up the table.  Nothing is ever overwritten, so readers
+    see a whole version or the one before.  The driver learns the names of files that are opened, as for any Parquet read; of
+    files that a merge leaves alone it learns nothing.
+
+    ``keys`` are the columns whose values the entries hold a Bloom filter of; they default to those of the first merge.
+    ``stats`` are further columns whose least and greatest values are recorded.
     """
 
-    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = ()):
+    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = (), keys: Sequence[str] = (), stats: Sequence[str] = ()):
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_by = list(partition_by)
+        self.keys, self.stats = list(keys), list(stats)
 
     # file system (any Hadoop-supported one)
     def _fs(self, path: str):
@@ -221,46 +231,99 @@ class VersionedTable:
         fs, p = self._fs(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
+    def _delete(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.delete(p, True)
+
     def _published(self) -> list[int]:
         return sorted(int(n[:-5]) for n in self._names(f"{self.path}/_published") if re.fullmatch(r"\d+\.json", n))
 
-    def _written(self) -> list[int]:
-        return sorted(int(n[2:]) for n in self._names(self.path) if re.fullmatch(r"v=\d+", n))
+    def _numbers(self, folder: str) -> list[int]:
+        return sorted(int(n[2:]) for n in self._names(folder) if re.fullmatch(r"v=\d+", n))
 
-    def _folders(self, version: int) -> list[str]:
-        folders = [""]
-        for column in self.partition_by:
-            folders = [
-                f"{f}/{n}".lstrip("/") for f in folders
-                for n in self._names(f"{self.path}/v={version}/{f}") if n.startswith(f"{column}=")
-            ]
-        return folders
+    def _written(self) -> list[int]:
+        return self._numbers(self.path)
 
     # reading
     def exists(self) -> bool:
         return bool(self._published())
 
+    def version(self) -> int | None:
+        return max(self._published(), default=None)
+
     def pointer(self, version: int | None = None) -> dict:
         published = self._published()
         if not published:
             raise FileNotFoundError(f"nothing published under {self.path}")
         version = published[-1] if version is None else version
-        row = self.spark.read.text(f"{self.path}/_published/{version}.json", wholetext=True).first()
-        return json.loads(row.value)
+        fs, p = self._fs(f"{self.path}/_published/{version}.json")
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
-    def _read_folders(self, pointer: dict, folders: Iterable[str]) -> DataFrame:
+    def files(self, version: int | None = None) -> DataFrame:
+        """The entries of a version's files: file, rows, keys, layout, min_ and max_ of the ranged columns, part_ values."""
+        return self._entries(self.pointer(version))
+
+    def _entries(self, pointer: dict) -> DataFrame:
+        schema = T.StructType.fromJson(pointer["schema"])
+        kinds = entry_schema(schema, pointer["ranges"], self.partition_by)
+        if not pointer["parts"]:
+            return self.spark.createDataFrame([], kinds)
+        found = self.spark.read.schema(kinds).parquet(*[f"{self.path}/_files/v={v}" for v in pointer["parts"]])
+        gone = [f"{self.path}/_gone/v={v}" for v in pointer["gone"]]
+        if gone:
+            found = found.join(self.spark.read.schema("file string").parquet(*gone), "file", "left_anti")
+        return found.select(*kinds.names)
+
+    def folders(self, version: int | None = None) -> dict[str, list[int]]:
+        """Partition folders with the versions that have files there; for small tables."""
+        at = F.regexp_extract("file", r"^v=(\d+)/(?:(.*)/)?[^/]*$", 1).cast("int")
+        folder = F.regexp_extract("file", r"^v=(\d+)/(?:(.*)/)?[^/]*$", 2)
+        rows = self.files(version).groupBy(folder.alias("folder")).agg(F.sort_array(F.collect_set(at)).alias("versions")).collect()
+        return {r.folder: list(r.versions) for r in rows}
+
+    def changed_partitions(self, since: int | None, until: int | None = None) -> DataFrame:
+        """Distinct partition values of the files that one of two versions has and the other has not; all of ``until``'s if
+        ``since`` is None."""
+        parts = [F.col(f"`part_{c}`").alias(c) for c in self.partition_by]
+        new = self.files(until)
+        if since is None:
+            return new.select(*parts).distinct()
+        old = self.files(since)
+        return new.join(old, "file", "left_anti").select(*parts).unionByName(old.join(new, "file", "left_anti").select(*parts)).distinct()
+
+    def _read_files(self, pointer: dict, files: Iterable[str]) -> DataFrame:
         schema = T.StructType.fromJson(pointer["schema"])
-        paths = [f"{self.path}/v={v}/{f}".rstrip("/") for f in folders for v in pointer["folders"][f]]
+        paths = [f"{self.path}/{f}" for f in sorted(files)]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        # Without a base path of their own, folders of several versions would show v as a column.
+        # Without a base path of their own, files of several versions would show v as a column.
         return self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths).select(*schema.names)
 
+    def _named(self, found: DataFrame) -> list[str]:
+        return [r.file for r in found.select("file").distinct().collect()]
+
     def read(self, version: int | None = None, **expected) -> DataFrame:
         """The latest (or a kept) version; ``expected`` details must match what was published."""
         pointer = self.pointer(version)
         self._require(pointer["details"], expected)
-        return self._read_folders(pointer, sorted(pointer["folders"]))
+        return self._read_files(pointer, self._named(self._entries(pointer)))
+
+    def read_partitions(self, wanted: DataFrame) -> DataFrame:
+        """The rows of the partitions that ``wanted`` (distinct partition values) names; other files are not opened."""
+        pointer = self.pointer()
+        parts = wanted.select(*[F.col(f"`{c}`").alias(f"part_{c}") for c in self.partition_by])
+        found = self._entries(pointer)
+        same = [found[c].eqNullSafe(parts[c]) for c in parts.columns]
+        return self._read_files(pointer, self._named(found.join(parts, same, "left_semi")))
+
+    def read_matching(self, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The rows that share their keys with ``source``; only files that may hold one are opened."""
+        pointer = self.pointer()
+        return self._read_files(pointer, self._candidates(pointer, source, keys)).join(source.select(*keys).distinct(), list(keys), "left_semi")
 
     @staticmethod
     def _require(details: dict, expected: dict) -> None:
@@ -269,15 +332,32 @@ class VersionedTable:
             raise ValueError(f"published table differs from what is expected: {wrong}")
 
     # writing
-    def _write_version(self, df: DataFrame, rules: Iterable[Rule]) -> tuple[int, int]:
+    def _write_version(self, df: DataFrame, rules: Iterable[Rule], layout: str | None = None) -> tuple[int, int]:
         version = max(self._written() + self._published(), default=0) + 1
         counted = [*rules, Rule("rows", "TRUE")]
 
         def write(observed: DataFrame) -> None:
-            _store(observed, f"{self.path}/v={version}", "error", self.partition_by)
+            if layout is None:
+                return _store(observed, f"{self.path}/v={version}", "error", self.partition_by)
+            writer = observed.write.mode("error")  # the rows are laid already
+            (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(f"{self.path}/v={version}")
+
+        rows = checked_write(df, counted, write)[-1]["total"]
+        return version, rows
+
+    def _describe(self, version: int, schema: T.StructType, layout: str | None) -> DataFrame:
+        """Entries of the files that ``version`` wrote."""
+        placed = self.spark.read.schema(schema).option("basePath", self.path).parquet(f"{self.path}/v={version}").withColumn("_file", self._place())
+        return entries(placed, schema, filtered(schema, self.keys), self._ranges(schema), self.partition_by, layout)
+
+    def _ranges(self, schema: T.StructType) -> list[str]:
+        return ranged(schema, [c for c in dict.fromkeys([*self.keys, *self.stats]) if c in schema.names])
 
-        results = checked_write(df, counted, write)
-        return version, results[-1]["total"]
+    def _place(self) -> Column:
+        """A row's file, below the table's folder, by its name on disk."""
+        # The path is a URI: decoded once it gives that name.  A plus sign stands for itself there.
+        encoded = F.regexp_extract(F.col("_metadata.file_path"), r"/(v=\d+/(?:[^/]+/){%d}[^/]+)$" % len(self.partition_by), 1)
+        return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
     def _point(self, pointer: dict) -> None:
         fs, final = self._fs(f"{self.path}/_published/{pointer['version']}.json")
@@ -297,22 +377,28 @@ class VersionedTable:
         rules: Iterable[Rule] = (),
         keep: int = 0,
         allow_empty: bool = True,
+        notes: dict | None = None,
         **details,
     ) -> int:
-        """Replace the table.  A broken ``fail`` rule or a refused empty result stays invisible."""
+        """Replace the table.  A broken ``fail`` rule or a refused empty result stays invisible.
+
+        ``details`` can be asked for when reading; ``notes`` are free.
+        """
         version, rows = self._write_version(df, rules)
         if not rows and not allow_empty:
             raise ValueError("refusing to publish an empty result")
+        if rows:
+            self._describe(version, df.schema, None).write.parquet(f"{self.path}/_files/v={version}")
         self._point({
-            "version": version, "rows": rows, "details": details, "schema": df.schema.jsonValue(),
-            "folders": {f: [version] for f in self._folders(version)} if rows else {},
+            "version": version, "rows": rows, "details": details, "notes": notes or {}, "schema": df.schema.jsonValue(),
+            "keys": self.keys, "ranges": self._ranges(df.schema), "parts": [version] if rows else [], "gone": [],
         })
         self.prune(keep)
         return version
 
     def upsert(
         self, source: DataFrame, keys: Sequence[str], update_columns: Sequence[str] | None = None,
-        rules: Iterable[Rule] = (), keep: int = 0, **details,
+        rules: Iterable[Rule] = (), keep: int = 0, notes: dict | None = None, **details,
     ) -> int:
         """Idempotent merge; creates the table if absent.  ``rules`` guard the rows written.
 
@@ -323,64 +409,111 @@ class VersionedTable:
         staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
         source.write.parquet(staging)
         try:
-            return self._merge(self.spark.read.schema(source.schema).parquet(staging), keys, update_columns, rules, keep, details)
+            rows = self.spark.read.schema(source.schema).parquet(staging)
+            return self._merge(rows, list(keys), update_columns, rules, keep, notes, details)
         finally:
-            fs, p = self._fs(staging)
-            fs.delete(p, True)
+            self._delete(staging)
 
     def _merge(
-        self, source: DataFrame, keys: Sequence[str], update_columns, rules: Iterable[Rule], keep: int, details: dict
+        self, source: DataFrame, keys: list[str], update_columns, rules: Iterable[Rule], keep: int, notes: dict | None, details: dict
     ) -> int:
         require_unique(source, keys)
         if not self.exists():
-            return self.publish(source, rules, keep, **details)
+            self.keys = self.keys or keys
+            return self.publish(source, rules, keep, notes=notes, **details)
         pointer = self.pointer()
         self._require(pointer["details"], details)
-        current = self._read_folders(pointer, sorted(pointer["folders"]))
-        hit = self._matched_folders(current, source, keys) if pointer["folders"] else []
-        result = merged(self._read_folders(pointer, hit), source, keys, update_columns)
-        version, _ = self._write_version(result, rules)
-        folders = {f: list(v) for f, v in pointer["folders"].items() if f not in hit}
-        for f in self._folders(version):
-            folders.setdefault(f, []).append(version)
-        self._point({
-            "version": version, "rows": None, "details": pointer["details"],
-            "schema": result.schema.jsonValue(), "folders": folders,
-        })
+        hit = self._matched_files(pointer, source, keys)
+        result = merged(self._read_files(pointer, hit), source, keys, update_columns)
+        return self._replace(pointer, result, hit, rules, keep, notes)
+
+    def _replace(self, pointer: dict, result: DataFrame, gone: list[str], rules: Iterable[Rule], keep: int, notes: dict | None, layout: str | None = None) -> int:
+        """A version in which the files ``gone`` are replaced by those of ``result``."""
+        self.keys, self.stats = pointer["keys"], list(dict.fromkeys([*pointer["ranges"], *self.stats]))
+        version, rows = self._write_version(result, rules, layout)
+        parts, lost = list(pointer["parts"]), list(pointer["gone"])
+        if gone:
+            self.spark.createDataFrame([(f,) for f in gone], "file string").coalesce(1).write.parquet(f"{self.path}/_gone/v={version}")
+            lost.append(version)
+        if rows:
+            self._describe(version, result.schema, layout).write.parquet(f"{self.path}/_files/v={version}")
+            parts.append(version)
+        after = {
+            "version": version, "rows": None, "details": pointer["details"], "notes": notes or {}, "schema": result.schema.jsonValue(),
+            "keys": self.keys, "ranges": self._ranges(result.schema), "parts": parts, "gone": lost,
+        }
+        if len(parts) + len(lost) > KEPT_DELTAS:
+            whole = f"{self.path}/_files/v={version + 1}"
+            self._entries(after).write.parquet(whole)  # numbered as a version of its own, which has no data
+            after |= {"parts": [version + 1], "gone": []}
+            self._mark(version + 1)
+        self._point(after)
         self.prune(keep)
         return version
 
-    def _matched_folders(self, current: DataFrame, source: DataFrame, keys: Sequence[str]) -> list[str]:
-        """Partition folders with a row to update; as many names as folders at the most."""
-        # The path is a URI: decoded once it gives the folder's name on disk.  A plus sign stands for itself there.
-        encoded = F.regexp_extract(F.col("_metadata.file_path"), r"/v=\d+/(.*?)/?[^/]*$", 1)
-        place = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
-        placed = current.select(*keys, place.alias("_folder"))
-        rows = placed.join(source.select(*keys), list(keys), "left_semi").select("_folder").distinct().collect()
-        return sorted(r["_folder"] for r in rows)
+    def _mark(self, version: int) -> None:
+        """Takes a version number that no data will have."""
+        fs, p = self._fs(f"{self.path}/v={version}")
+        fs.mkdirs(p)
+
+    def _candidates(self, pointer: dict, source: DataFrame, keys: Sequence[str]) -> list[str]:
+        """Files that may hold a row with the keys of ``source``: by value ranges, then by Bloom filter."""
+        schema = T.StructType.fromJson(pointer["schema"])
+        source = source.select(*[F.col(f"`{k}`").cast(schema[k].dataType).alias(k) for k in keys])  # hashes depend on the type
+        bounds = [c for c in keys if c in pointer["ranges"]]
+        asked = source.agg(F.count(F.lit(1)).alias("n"), *[f(f"`{c}`").alias(f"{f.__name__}_{i}") for i, c in enumerate(bounds) for f in (F.min, F.max)]).first()
+        if not asked.n:
+            return []
+        found = self._entries(pointer).where(in_ranges({
+            c: (asked[f"min_{i}"], asked[f"max_{i}"]) for i, c in enumerate(bounds) if asked[f"min_{i}"] is not None}))
+        if list(keys) == pointer["keys"] == filtered(schema, keys) and asked.n <= MOST_ASKED:
+            hashes = [r.h for r in source.select(key_hash(keys).alias("h")).where("h IS NOT NULL").collect()]  # at most MOST_ASKED
+            found = holding(found, np.array(hashes, np.int64))
+        return self._named(found)
+
+    def _matched_files(self, pointer: dict, source: DataFrame, keys: Sequence[str]) -> list[str]:
+        """Files with a row to update."""
+        some = self._candidates(pointer, source, keys)
+        if not some:
+            return []
+        schema = T.StructType.fromJson(pointer["schema"])
+        placed = (
+            self.spark.read.schema(schema).option("basePath", self.path).parquet(*[f"{self.path}/{f}" for f in some])
+            .select(*[f"`{k}`" for k in keys], self._place().alias("file"))
+        )
+        return self._named(placed.join(source.select(*keys), list(keys), "left_semi"))
 
     def optimize(self, columns: Sequence[str], files: int, keep: int = 0) -> int:
-        """Rewrite the current version clustered by ``columns``."""
+        """Lay the files that are not yet clustered by ``columns`` along their curve, in about ``files`` files for the whole table.
+
+        Files that an earlier call has laid stay as they are; where there is nothing else, nothing is written.
+        """
         pointer = self.pointer()
-        laid = clustered(self.read(), columns, files, self.partition_by)
-        version = max(self._written() + self._published(), default=0) + 1
-        writer = laid.write.mode("error")
-        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(f"{self.path}/v={version}")
-        self._point({**pointer, "version": version, "folders": {f: [version] for f in self._folders(version)}})
-        self.prune(keep)
-        return version
+        layout = ",".join(columns)
+        found = self._entries(pointer)
+        loose = ~F.col("layout").eqNullSafe(layout)
+        names = self._named(found.where(loose))
+        if not names:
+            return pointer["version"]
+        share = found.agg(F.sum(F.when(loose, F.col("rows")).otherwise(0)) / F.sum("rows")).first()[0]
+        self.stats = list(dict.fromkeys([*pointer["ranges"], *columns]))
+        laid = clustered(self._read_files(pointer, names), columns, max(1, round(files * share)), self.partition_by)
+        return self._replace(pointer, laid, names, (), keep, pointer["notes"], layout)
 
     def prune(self, keep: int) -> None:
-        """Drop all but the newest ``keep`` versions, and files no kept version names."""
+        """Drop all but the newest ``keep`` versions, and what no kept version names."""
         if keep <= 0:
             return
         published = self._published()
         held = published[-keep:]
-        used = {v for p in held for vs in self.pointer(p)["folders"].values() for v in vs} | set(held)
+        pointers = [self.pointer(p) for p in held]
+        at = F.regexp_extract("file", r"^v=(\d+)/", 1).cast("int")
+        used = {r.v for p in pointers for r in self._entries(p).select(at.alias("v")).distinct().collect()} | set(held)  # version numbers
+        described = {v for p in pointers for v in p["parts"]}
+        gone = {v for p in pointers for v in p["gone"]}
         for v in published[:-keep]:
-            fs, p = self._fs(f"{self.path}/_published/{v}.json")
-            fs.delete(p, False)
-        for v in self._written():
-            if v not in used and v < held[-1]:
-                fs, p = self._fs(f"{self.path}/v={v}")
-                fs.delete(p, True)
+            self._delete(f"{self.path}/_published/{v}.json")
+        for folder, wanted in ((self.path, used | described), (f"{self.path}/_files", described), (f"{self.path}/_gone", gone)):
+            for v in self._numbers(folder):
+                if v not in wanted and v < held[-1]:
+                    self._delete(f"{folder}/v={v}")
