@@ -18,7 +18,8 @@ from ..functions.columns import whole_seconds
 from .events import known_events, latest_per_key
 
 
-def _visitor(anonymous_key: str | None) -> Column:
+def visitor_of(anonymous_key: str | None) -> Column:
+    """Whose event it is: the user, else the one anonymous visitor or, by ``anonymous_key``, one of several."""
     nobody = F.lit("a") if anonymous_key is None else F.concat(F.lit("a"), F.coalesce(F.col(anonymous_key), F.lit("")))
     return F.coalesce(F.concat(F.lit("u"), F.col("user_id")), nobody)
 
@@ -65,7 +66,7 @@ def sessionize(
     """
     limit = int(inactivity_minutes * 60)
     marked = events.withColumns({
-        "_visitor": _visitor(anonymous_key),
+        "_visitor": visitor_of(anonymous_key),
         "_second": whole_seconds(F.col("event_ts")),
     })
     if method == "slots":
@@ -106,10 +107,10 @@ def renumbered(
     ``silver`` was numbered with.
     """
     fresh = known_events(arrived)
-    stored = silver.withColumnRenamed("session_id_raw", "session_id").withColumn("_visitor", _visitor(anonymous_key))
+    stored = silver.withColumnRenamed("session_id_raw", "session_id").withColumn("_visitor", visitor_of(anonymous_key))
     replaced = stored.join(fresh.select("event_id").distinct(), "event_id", "left_semi")
     touched = (
-        fresh.select(_visitor(anonymous_key).alias("_visitor"), "event_ts")
+        fresh.select(visitor_of(anonymous_key).alias("_visitor"), "event_ts")
         .union(replaced.select("_visitor", "event_ts"))
         .groupBy("_visitor")
         .agg(F.min("event_ts").alias("_from"))
@@ -124,10 +125,14 @@ def renumbered(
     return sessionize(merged, inactivity_minutes, anonymous_key, seed=seed)
 
 
+def ingested_between(bronze: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """Bronze rows of a span of ingest days, both included."""
+    return bronze.where(F.col("_ingest_date").between(F.to_date(F.lit(first_day)), F.to_date(F.lit(last_day))))
+
+
 def backfill(
     silver: DataFrame, bronze: DataFrame, first_day: str, last_day: str, inactivity_minutes: float = 30,
     anonymous_key: str | None = None,
 ) -> DataFrame:
     """Rows to upsert after replaying the Bronze rows ingested in a span of days (inclusive)."""
-    span = bronze.where(F.col("_ingest_date").between(F.to_date(F.lit(first_day)), F.to_date(F.lit(last_day))))
-    return renumbered(silver, span, inactivity_minutes, anonymous_key)
+    return renumbered(silver, ingested_between(bronze, first_day, last_day), inactivity_minutes, anonymous_key)

@@ -21,7 +21,7 @@ from ..schemas import (
 )
 from ..session import scratch_path, use_utc
 from ..sources import landing, shop, tables
-from ..streaming import ingest, stateful
+from ..streaming import incremental, ingest, stateful
 from .refresh import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -821,10 +821,9 @@ def medallion_refresh(spark, sf_dir):
 def backfill_window(spark, sf_dir):
     """Silver from what was ingested before the 20th, then a replay of the days from there on."""
     bronze = shop.bronze_events(spark, sf_dir)
-    table = tables.VersionedTable(spark, scratch_path(spark, "silver"), ["event_date"])
-    table.publish(sessions.silver_events(bronze.where("_ingest_ts < TIMESTAMP '2024-01-20'"), 720))
-    rows = sessions.backfill(table.read(), bronze, "2024-01-20", "2024-03-01", 720)
-    table.upsert(rows, ["event_id"])
+    table = tables.VersionedTable(spark, scratch_path(spark, "silver"), ["event_date"], keys=["event_id"])
+    table.publish(sessions.silver_events(bronze.where("_ingest_ts < TIMESTAMP '2024-01-20'"), 720), anonymous_key=None)
+    incremental.SilverEvents(spark, table, 720).merge(sessions.ingested_between(bronze, "2024-01-20", "2024-03-01"))
     return _silver_cols(table.read())
 
 

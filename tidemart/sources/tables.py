@@ -423,6 +423,8 @@ class VersionedTable:
             return self.publish(source, rules, keep, notes=notes, **details)
         pointer = self.pointer()
         self._require(pointer["details"], details)
+        if source.isEmpty():
+            return pointer["version"]
         hit = self._matched_files(pointer, source, keys)
         result = merged(self._read_files(pointer, hit), source, keys, update_columns)
         return self._replace(pointer, result, hit, rules, keep, notes)

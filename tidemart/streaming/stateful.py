@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..operators.events import known_events, latest_per_key
-from ..operators.sessions import renumbered, sessionize
+from ..operators.events import latest_per_key
 from ..sources.tables import VersionedTable
+from .incremental import SilverEvents
 from .ingest import trigger
 
 WATERMARK_MINUTES = 60
@@ -41,18 +41,15 @@ def upsert_stream(
 
 def silver_stream(
     bronze: DataFrame, table: VersionedTable, checkpoint: str, inactivity_minutes: float = 30, when: str = "availableNow",
-    anonymous_key: str | None = None,
+    anonymous_key: str | None = None, keep: int = 10,
 ) -> StreamingQuery:
-    """Keep Silver events up to date: only what each batch touches is numbered again.
+    """Keep Silver events up to date: only what each batch touches is numbered again (see :mod:`incremental`).
 
     The table records its ``anonymous_key``; one that was built under another rule is refused.
     """
-    def prepare(batch: DataFrame) -> DataFrame:
-        if table.exists():
-            return renumbered(table.read(anonymous_key=anonymous_key), batch, inactivity_minutes, anonymous_key)
-        return sessionize(latest_per_key(known_events(batch), "event_id"), inactivity_minutes, anonymous_key)
-
-    return upsert_stream(bronze, table, ["event_id"], checkpoint, prepare, when, anonymous_key=anonymous_key)
+    silver = SilverEvents(table.spark, table, inactivity_minutes, anonymous_key)
+    writer = bronze.writeStream.foreachBatch(lambda batch, _: silver.merge(batch, keep) and None)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger(when)).start()
 
 
 def deduplicated(stream: DataFrame, minutes: int = WATERMARK_MINUTES) -> DataFrame:
