@@ -662,6 +662,19 @@ def build() -> dict[str, str]:
     once = DELIVERIES + """,
 clean AS (SELECT * FROM first_delivery WHERE event_type <> 'signup')""" + "," + _numbered("clean", 720)
     sql["medallion_refresh"] = f"WITH {once}, {FUNNEL} {FUNNEL_OUT}"
+    sold_once = once + "," + PURCHASES + "," + _order_steps("purchases")
+    sql["refresh_twice"] = f"WITH {sold_once}, {_sales('purchases')} {SALES_OUT}"
+    refreshed = {
+        "events": "silver", "dim_users_scd2": "users", "dim_products_scd2": "products", "fact_orders": "orders_f", "fact_daily_sales": "sales",
+        "fact_funnel": "funnel", "fact_abandoned_carts": "abandoned", "dim_user_360": "(SELECT DISTINCT user_id FROM users)"}
+    sql["refreshed_tables"] = f"WITH {sold_once}, {USER_DIM}, {PRODUCT_DIM}, {CARTS}, {FUNNEL}, {_sales('purchases')} " + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {source}" for name, source in refreshed.items())
+    sql["bronze_rules_stream"] = f"""WITH {DELIVERIES} SELECT * FROM (
+      SELECT 'event_id_present' AS expectation, count(*) AS total, count(*) FILTER (event_id IS NULL) AS failing,
+        count(event_id) / count(*) AS pass_rate FROM first_delivery
+      UNION ALL SELECT 'event_ts_present', count(*), count(*) FILTER (event_ts IS NULL), count(event_ts) / count(*) FROM first_delivery)"""
+    sql["quarantine_stream"] = sql["late_split"]
+    sql["scd2_users_by_deliveries"] = sql["scd2_users"]
 
     # reports
     sql["drift_report"] = f"""WITH {DRIFT} SELECT batch_id AS _source_file,

@@ -8,7 +8,7 @@ shared scratch space and return what they read back.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from ..schemas import (
 )
 from ..session import scratch_path, use_utc
 from ..sources import landing, shop, tables
-from ..streaming import incremental, ingest, stateful
+from ..streaming import dimensions, incremental, ingest, stateful
 from .refresh import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,7 @@ QUERIES: dict[str, Query] = {}
 
 DIM = 64
 AS_OF = shop.AS_OF
+LAST_DAY = "2024-01-30"
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 EVENT_OUT = [
     "event_id", "event_type", "event_ts", "user_id", "session_id", "device", "ip", "country", "product_id", "category",
@@ -804,15 +805,76 @@ def live_sessions(spark, sf_dir):
     return spark.read.parquet(out).where("user_id IS NULL OR user_id <> 'heartbeat'")
 
 
+def _landed(spark, sf_dir) -> str:
+    src = scratch_path(spark, "landing")
+    landing.write_landing(shop.first_delivery(spark, sf_dir).select(*EVENT.names), f"{src}/events")
+    landing.write_snapshot(shop.user_snapshots(spark, sf_dir), f"{src}/users")
+    landing.write_snapshot(shop.product_snapshots(spark, sf_dir), f"{src}/products")
+    return src
+
+
 @query
 def medallion_refresh(spark, sf_dir):
     """Landing files to marts in one call; shows the funnel it published."""
+    made = refresh(spark, _landed(spark, sf_dir), scratch_path(spark, "warehouse"), AS_OF, 720)
+    return made["fact_funnel"].read()
+
+
+@query
+def refresh_twice(spark, sf_dir):
+    """A refresh without the last day's events and one after they landed; shows the daily sales that led to."""
     src, home = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
-    landing.write_landing(shop.first_delivery(spark, sf_dir).select(*EVENT.names), f"{src}/events")
+    every = shop.first_delivery(spark, sf_dir).select(*EVENT.names)
+    last = F.to_date("event_ts") == F.to_date(F.lit(LAST_DAY))
     landing.write_snapshot(shop.user_snapshots(spark, sf_dir), f"{src}/users")
     landing.write_snapshot(shop.product_snapshots(spark, sf_dir), f"{src}/products")
-    made = refresh(spark, src, home, AS_OF, 720)
-    return made["fact_funnel"].read()
+    landing.write_landing(every.where(~last), f"{src}/events")
+    refresh(spark, src, home, AS_OF, 720)
+    landing.write_landing(every.where(last), f"{src}/events")
+    return refresh(spark, src, home, AS_OF, 720)["fact_daily_sales"].read()
+
+
+@query
+def refreshed_tables(spark, sf_dir):
+    """Rows of each of the eight tables that a refresh publishes."""
+    made = refresh(spark, _landed(spark, sf_dir), scratch_path(spark, "warehouse"), AS_OF, 720)
+    counts = [t.read().agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows") for name, t in made.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def bronze_rules_stream(spark, sf_dir):
+    """The Bronze rules as the ingesting stream counts them."""
+    out, rules = scratch_path(spark, "bronze"), quality.BRONZE_EVENTS
+    watched = ingest.stream_events(spark, f"{_landed(spark, sf_dir)}/events", f"{out}/checkpoint", f"{out}/events", EVENT, rules=rules)
+    rows = [(r["expectation"], r["total"], r["failing"], r["pass_rate"]) for r in ingest.counted(watched, rules)]
+    return spark.createDataFrame(rows, "expectation string, total bigint, failing bigint, pass_rate double")
+
+
+@query
+def quarantine_stream(spark, sf_dir):
+    """On-time rows and held ones, written by one stream to two sinks."""
+    path, schema = _bronze_files(spark, sf_dir)
+    out = scratch_path(spark, "split")
+    stream = spark.readStream.schema(schema).parquet(path)
+    ingest.split_stream(stream, stateful.split_late, f"{out}/good", f"{out}/held", f"{out}/checkpoint").awaitTermination()
+    shown = lambda name, verdict: spark.read.schema(T.StructType([*schema.fields, T.StructField("quarantine_reason", T.StringType())])).parquet(f"{out}/{name}").select(
+        "event_id", "_source_file", verdict.alias("verdict"))
+    return shown("good", F.lit("on_time")).unionByName(shown("held", F.col("quarantine_reason")))
+
+
+@query
+def scd2_users_by_deliveries(spark, sf_dir):
+    """User versions from snapshots that arrive in three deliveries, the latest changes first."""
+    snapshots = _stored(spark, shop.user_snapshots(spark, sf_dir), "snapshots")
+    table = tables.VersionedTable(spark, scratch_path(spark, "users"))
+    dimension = dimensions.Dimension(spark, table, "user_id", USER_TRACKED)
+    lot = F.pmod(F.xxhash64("user_id", "updated_ts"), F.lit(3))
+    for n in (2, 0, 1):
+        dimension.merge(snapshots.where(lot == n), n)
+    return table.read().select(
+        "user_id", "email", "country", "city", "marketing_opt_in", "loyalty_tier", "valid_from", "valid_to", "is_current", "version"
+    )
 
 
 # ---- reports ---------------------------------------------------------------------------

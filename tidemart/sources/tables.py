@@ -312,18 +312,21 @@ class VersionedTable:
         self._require(pointer["details"], expected)
         return self._read_files(pointer, self._named(self._entries(pointer)))
 
-    def read_partitions(self, wanted: DataFrame) -> DataFrame:
-        """The rows of the partitions that ``wanted`` (distinct partition values) names; other files are not opened."""
-        pointer = self.pointer()
+    def _partition_files(self, pointer: dict, wanted: DataFrame) -> list[str]:
         parts = wanted.select(*[F.col(f"`{c}`").alias(f"part_{c}") for c in self.partition_by])
         found = self._entries(pointer)
         same = [found[c].eqNullSafe(parts[c]) for c in parts.columns]
-        return self._read_files(pointer, self._named(found.join(parts, same, "left_semi")))
+        return self._named(found.join(parts, same, "left_semi"))
+
+    def read_partitions(self, wanted: DataFrame, version: int | None = None) -> DataFrame:
+        """The rows of the partitions that ``wanted`` (distinct partition values) names; other files are not opened."""
+        pointer = self.pointer(version)
+        return self._read_files(pointer, self._partition_files(pointer, wanted))
 
     def read_matching(self, source: DataFrame, keys: Sequence[str]) -> DataFrame:
         """The rows that share their keys with ``source``; only files that may hold one are opened."""
         pointer = self.pointer()
-        return self._read_files(pointer, self._candidates(pointer, source, keys)).join(source.select(*keys).distinct(), list(keys), "left_semi")
+        return self._read_files(pointer, self._candidates(pointer, source, keys) or []).join(source.select(*keys).distinct(), list(keys), "left_semi")
 
     @staticmethod
     def _require(details: dict, expected: dict) -> None:
@@ -398,34 +401,60 @@ class VersionedTable:
 
     def upsert(
         self, source: DataFrame, keys: Sequence[str], update_columns: Sequence[str] | None = None,
-        rules: Iterable[Rule] = (), keep: int = 0, notes: dict | None = None, **details,
+        rules: Iterable[Rule] = (), keep: int = 0, notes: dict | None = None, settled: bool = False, **details,
     ) -> int:
         """Idempotent merge; creates the table if absent.  ``rules`` guard the rows written.
 
         ``details`` are recorded when the table is created and must match them later.
 
-        The source is written down first: it is computed once, and every step sees the same rows.
+        The source is written down first: it is computed once, and every step sees the same rows.  ``settled`` says that it is
+        cheap to read again and has one row per key; then neither is done.
         """
+        if settled:
+            return self._merge(source, list(keys), update_columns, rules, keep, notes, details)
         staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
         source.write.parquet(staging)
         try:
             rows = self.spark.read.schema(source.schema).parquet(staging)
+            require_unique(rows, keys)
             return self._merge(rows, list(keys), update_columns, rules, keep, notes, details)
         finally:
             self._delete(staging)
 
+    def append(self, rows: DataFrame, rules: Iterable[Rule] = (), keep: int = 0, notes: dict | None = None, **details) -> int:
+        """Add rows; nothing that is there is read."""
+        if not self.exists():
+            return self.publish(rows, rules, keep, notes=notes, **details)
+        pointer = self.pointer()
+        self._require(pointer["details"], details)
+        return self._replace(pointer, rows, [], rules, keep, notes)
+
+    def replace_partitions(
+        self, wanted: DataFrame, rows: DataFrame, rules: Iterable[Rule] = (), keep: int = 0, notes: dict | None = None
+    ) -> int:
+        """``rows`` take the place of all rows in the partitions that ``wanted`` names."""
+        pointer = self.pointer()
+        return self._replace(pointer, rows, self._partition_files(pointer, wanted), rules, keep, notes)
+
+    def note(self, notes: dict) -> int:
+        """The same table under new notes."""
+        pointer = self.pointer()
+        version = max(self._written() + self._published(), default=0) + 1
+        self._mark(version)
+        self._point({**pointer, "version": version, "notes": notes})
+        return version
+
     def _merge(
         self, source: DataFrame, keys: list[str], update_columns, rules: Iterable[Rule], keep: int, notes: dict | None, details: dict
     ) -> int:
-        require_unique(source, keys)
         if not self.exists():
             self.keys = self.keys or keys
             return self.publish(source, rules, keep, notes=notes, **details)
         pointer = self.pointer()
         self._require(pointer["details"], details)
-        if source.isEmpty():
-            return pointer["version"]
         hit = self._matched_files(pointer, source, keys)
+        if hit is None:
+            return pointer["version"]
         result = merged(self._read_files(pointer, hit), source, keys, update_columns)
         return self._replace(pointer, result, hit, rules, keep, notes)
 
@@ -458,26 +487,26 @@ class VersionedTable:
         fs, p = self._fs(f"{self.path}/v={version}")
         fs.mkdirs(p)
 
-    def _candidates(self, pointer: dict, source: DataFrame, keys: Sequence[str]) -> list[str]:
-        """Files that may hold a row with the keys of ``source``: by value ranges, then by Bloom filter."""
+    def _candidates(self, pointer: dict, source: DataFrame, keys: Sequence[str]) -> list[str] | None:
+        """Files that may hold a row with the keys of ``source``: by value ranges, then by Bloom filter.  None if it has no row."""
         schema = T.StructType.fromJson(pointer["schema"])
         source = source.select(*[F.col(f"`{k}`").cast(schema[k].dataType).alias(k) for k in keys])  # hashes depend on the type
         bounds = [c for c in keys if c in pointer["ranges"]]
         asked = source.agg(F.count(F.lit(1)).alias("n"), *[f(f"`{c}`").alias(f"{f.__name__}_{i}") for i, c in enumerate(bounds) for f in (F.min, F.max)]).first()
         if not asked.n:
-            return []
+            return None
         found = self._entries(pointer).where(in_ranges({
             c: (asked[f"min_{i}"], asked[f"max_{i}"]) for i, c in enumerate(bounds) if asked[f"min_{i}"] is not None}))
         if list(keys) == pointer["keys"] == filtered(schema, keys) and asked.n <= MOST_ASKED:
-            hashes = [r.h for r in source.select(key_hash(keys).alias("h")).where("h IS NOT NULL").collect()]  # at most MOST_ASKED
-            found = holding(found, np.array(hashes, np.int64))
+            hashes = source.select(key_hash(keys).alias("h")).where("h IS NOT NULL").toPandas()["h"]  # at most MOST_ASKED
+            found = holding(found, hashes.to_numpy(np.int64))
         return self._named(found)
 
-    def _matched_files(self, pointer: dict, source: DataFrame, keys: Sequence[str]) -> list[str]:
-        """Files with a row to update."""
+    def _matched_files(self, pointer: dict, source: DataFrame, keys: Sequence[str]) -> list[str] | None:
+        """Files with a row to update; None if ``source`` has no row."""
         some = self._candidates(pointer, source, keys)
         if not some:
-            return []
+            return some
         schema = T.StructType.fromJson(pointer["schema"])
         placed = (
             self.spark.read.schema(schema).option("basePath", self.path).parquet(*[f"{self.path}/{f}" for f in some])
@@ -508,6 +537,8 @@ class VersionedTable:
             return
         published = self._published()
         held = published[-keep:]
+        if held == published:
+            return
         pointers = [self.pointer(p) for p in held]
         at = F.regexp_extract("file", r"^v=(\d+)/", 1).cast("int")
         used = {r.v for p in pointers for r in self._entries(p).select(at.alias("v")).distinct().collect()} | set(held)  # version numbers

@@ -13,12 +13,14 @@ was built otherwise, the state is made anew from Silver.  A batch that is repeat
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import fingerprint, whole_seconds
 from ..operators.events import known_events, latest_per_key
+from ..operators.quality import Rule
 from ..operators.sessions import sessionize, visitor_of
 from ..sources.tables import VersionedTable
 
@@ -26,8 +28,9 @@ from ..sources.tables import VersionedTable
 class SilverEvents:
     """``table`` holds Silver events, partitioned by event_date; its state lies at ``<path>_days``."""
 
-    def __init__(self, spark: SparkSession, table: VersionedTable, inactivity_minutes: float = 30, anonymous_key: str | None = None):
-        self.spark, self.table = spark, table
+    def __init__(self, spark: SparkSession, table: VersionedTable, inactivity_minutes: float = 30, anonymous_key: str | None = None,
+                 rules: Iterable[Rule] = ()):
+        self.spark, self.table, self.rules = spark, table, list(rules)
         self.inactivity_minutes, self.anonymous_key = inactivity_minutes, anonymous_key
         self.state = VersionedTable(spark, f"{table.path}_days", ["event_date"], keys=["_visitor"], stats=["event_date"])
         self._work: list[str] = []
@@ -69,7 +72,8 @@ class SilverEvents:
         try:
             fresh = self._stage(latest_per_key(known_events(bronze), "event_id"))
             if not self.table.exists():
-                version = self.table.upsert(self._sessionized(fresh), ["event_id"], keep=keep, anonymous_key=self.anonymous_key)
+                self.table.keys = self.table.keys or ["event_id"]
+                version = self.table.publish(self._sessionized(fresh), self.rules, keep=keep, anonymous_key=self.anonymous_key)
                 self.rebuild_state()
                 return version
             self.table._require(self.table.pointer()["details"], {"anonymous_key": self.anonymous_key})
@@ -109,9 +113,9 @@ class SilverEvents:
         rows = theirs.select(*columns, "_old").unionByName(new.select(*columns, F.lit(None).cast("string").alias("_old")))
         numbered = self._stage(self._sessionized(rows, seed))
         changed = numbered.where("NOT session_id_silver <=> _old").drop("_old")
-        version = self.table.upsert(changed, ["event_id"], keep=keep, anonymous_key=self.anonymous_key)
+        version = self.table.upsert(changed, ["event_id"], rules=self.rules, keep=keep, settled=True, anonymous_key=self.anonymous_key)
         days = self._days_of(numbered.drop("_old"))
         emptied = later.join(days, ["_visitor", "event_date"], "left_anti").select(
             "_visitor", "event_date", F.lit(None).cast("long").alias("last_second"), F.lit(None).cast("long").alias("last_number"))
-        self.state.upsert(days.unionByName(emptied), ["_visitor", "event_date"], keep=2, notes={"silver": version})
+        self.state.upsert(self._stage(days.unionByName(emptied)), ["_visitor", "event_date"], keep=2, notes={"silver": version}, settled=True)
         return version
