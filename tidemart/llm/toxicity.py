@@ -46,7 +46,6 @@ NEGATIONS = ("not", "never", "no", "isn't", "aren't", "wasn't", "don't", "nicht"
 REPORTS = ("said", "says", "told", "called", "wrote", "quoted", "reported", "claimed", "sagte", "dit", "dijo")
 
 MAX_TRAINING_ROWS = 20_000  # bound of the labelled sample that the classifier is fitted on
-MAX_LEARNED = 3_000  # bound of the learned vocabulary
 BEGINNINGS = (4, 5, 6)  # lengths of word beginnings that may be learned
 EVIDENCE = 16.0  # least n * KL(share among its documents || overall share), in nats
 FULL_EVIDENCE = 40.0  # with less, a word weighs less
@@ -54,6 +53,7 @@ PRECISION = 0.8  # least share of toxic documents among those with the word
 FIXED_WEIGHT = 1.0
 DEFAULT_FIT = (-3.0, 3.0)
 
+LISTED = frozenset((*INSULTS, *THREATS, *TARGETS, *NEGATIONS, *REPORTS))
 TOKEN = re.compile(r"[\w']+|[.!?;:\n]")
 ENDS = frozenset(".!?;:\n")
 
@@ -187,8 +187,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINI
 
 
 def _features(text: str) -> Iterator[str]:
-    """Words that the fixed list does not have, and their beginnings."""
-    words = set(re.findall(r"[\w']+", text.lower())).difference(INSULTS)
+    """Words that the fixed lists do not have, so that listed ones keep their role, and their beginnings."""
+    words = set(re.findall(r"[\w']+", text.lower())).difference(LISTED)
     yield from words
     yield from {f"{w[:n]}*" for w in words for n in BEGINNINGS if len(w) > n}
 
@@ -233,7 +233,7 @@ def learned(spark: SparkSession, rows: DataFrame) -> dict[str, float]:
         if gain >= EVIDENCE:
             odds = math.log(((p + 0.5) / (toxic + 1)) / ((neg[feature] + 0.5) / (clean + 1)))
             scored.append((gain, feature, min(2.0, odds / 4) * min(1.0, gain / FULL_EVIDENCE)))
-    return {f: w for _, f, w in sorted(scored, key=lambda x: (-x[0], x[1]))[:MAX_LEARNED]}
+    return {f: w for _, f, w in scored}  # as many as the evidence in max_rows documents supports
 
 
 def vocabulary(weights: dict[str, float]) -> tuple[dict[str, float], dict[str, float]]:
