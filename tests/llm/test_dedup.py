@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from edge_rows import BASE, TEXTS, edge_docs, no_docs
-from tidemart.llm import components, exact_dedup, simhash
+from tidemart.llm import common, components, exact_dedup, simhash
 from tidemart.llm import substring_dedup as sub
 from tidemart.llm.common import read_table
 from tidemart.llm.queries import QUERIES
@@ -162,6 +162,30 @@ def test_components_of_paths_and_stars(spark):
     assert components.components(spark, spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_hot_keys_of_joins_are_split(spark, tmp_path):
+    """A vertex with most links, and a grid with most fingerprints, do not end in one task of a join."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        star = spark.range(40_000).select(F.col("id").alias("v"), F.lit(-1).cast("long").alias("u")).unionByName(
+            spark.range(4_000).selectExpr("-10 - id AS u", "id + 100000 AS v")).repartition(8)
+        star = common.staged(spark, star, "star")
+        keys = common.staged(spark, spark.range(40_000).selectExpr("id AS fp", "IF(id % 5 = 0, id, 7) AS grid").repartition(8), "keys")
+        for df in (components._large_star(spark, star), components._small_star(spark, star.select(F.col("v").alias("u"), F.lit(-5).cast("long").alias("v"))
+                   .unionByName(star.select(F.lit(999_999).cast("long").alias("u"), "v"))), simhash.in_cells(keys, 1_000)):
+            df.write.mode("overwrite").parquet(f"{tmp_path}/out")
+            df.collect()
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_near_duplicates_equal_plain(spark, sf_dir):
     out = QUERIES["op5_simhash"](spark, sf_dir).collect()
     docs = [(r.doc_id, r.text) for r in read_table(spark, sf_dir, "documents").collect()]

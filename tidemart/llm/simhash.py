@@ -91,9 +91,12 @@ def grid_keys(classes: DataFrame, widths: tuple[int, ...] = SEGMENTS) -> DataFra
 
 
 def in_cells(keys: DataFrame, grid_rows: int = GRID_ROWS) -> DataFrame:
-    """(grid, cell, fp): grids above ``grid_rows`` are cut into blocks; a cell holds two blocks of them."""
-    large = keys.groupBy("grid").count().where(F.col("count") > grid_rows).select(
-        "grid", F.ceil(F.col("count") / grid_rows).cast("int").alias("blocks"))
+    """(grid, cell, fp): grids above ``grid_rows`` are cut into blocks; a cell holds two blocks of them.
+
+    The list of large grids is written down before the join, so that a large grid can be split there.
+    """
+    large = staged(keys.sparkSession, keys.groupBy("grid").count().where(F.col("count") > grid_rows).select(
+        "grid", F.ceil(F.col("count") / grid_rows).cast("int").alias("blocks")), "large-grids")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     cells = F.expr("transform(sequence(0, blocks - 1), b -> least(own, b) * blocks + greatest(own, b))")
     return (
@@ -222,8 +225,8 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, grid_rows: int =
     prints = staged(spark, fingerprints(docs), "fingerprints")
     classes = staged(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "classes")
     roots = components(spark, links(spark, classes, grid_rows)).select(F.col("u").alias("fp"), F.col("root").alias("group_fp"))
-    grouped = classes.join(roots, "fp", "left").withColumn("group_fp", F.coalesce("group_fp", "fp"))
-    least = grouped.groupBy("group_fp").agg(F.min("least_id").alias("component_id"))
+    grouped = staged(spark, classes.join(roots, "fp", "left").withColumn("group_fp", F.coalesce("group_fp", "fp")), "grouped")
+    least = staged(spark, grouped.groupBy("group_fp").agg(F.min("least_id").alias("component_id")), "least-ids")
     named = grouped.select("fp", "group_fp").join(least, "group_fp")
     return prints.join(named, "fp").select("doc_id", "text_hash", "fp", "group_fp", "component_id")
 
