@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import fingerprint
 from .events import keyed_rows
-from .heavy import ROWS_PER_TASK, in_every_lane, large_keys, with_lanes, with_slices
+from .heavy import ROWS_PER_TASK, in_every_lane, settled_large_keys, with_lanes, with_slices
 
 
 def _tracked_state(tracked: Sequence[str], compat_hash: bool) -> Column:
@@ -116,7 +116,7 @@ def as_of_versions(
     elif how != "left":
         raise ValueError(f"unknown join type {how!r}")
     dimension = dimension.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull())
-    lanes = large_keys(facts, key, rows_per_task)
+    lanes = settled_large_keys(facts, key, rows_per_task)
 
     facts_only = [c for c in facts.columns if c not in (key, at)]
     f = facts.select(F.col(key).alias("_key"), F.col(at).alias("_at"), *[F.col(c).alias(f"_f_{c}") for c in facts_only])

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the operators rely on.  Broadcasts are left to Spark's own size check
 # (autoBroadcastJoinThreshold, re-checked by AQE with measured sizes), and skewed
@@ -77,6 +77,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Written to scratch space and read back: computed once, and of a size that is known when it is joined."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SCRATCH: dict[str, list[str]] = {}
 
 
