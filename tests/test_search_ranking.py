@@ -153,3 +153,67 @@ def test_tiers_are_trimmed_and_bounds_can_be_lifted(spark):
     popular = spark.createDataFrame([], "product_id string, popularity_score double")
     found = ranking.semantic_search(asked, c, products, popular, 8, 5).groupBy("query_id").count().collect()
     assert {tuple(r) for r in found} == {("q0000", 5), ("q0001", 5)}
+
+
+def test_literal_search_by_index_equals_comparing_all_names(spark):
+    import random
+    import re
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(300):
+        name = " ".join(rng.choice(["Red", "Blue", "CHAIR", "desk", "Äpfel", "lamp", "x_y", "50%", "a\\b"]) for _ in range(3))
+        price = rng.choice([None, float("nan"), *(float(p) for p in range(1, 40))])
+        rows.append((f"p{i}", name if i % 17 else None, rng.choice(["electronics", "home", None]), price))
+    texts = ["chair", "d_sk", "red%lamp", "Äpf", "%", "x\\_y", "zzz", "", None, "re", "50\\%", "lue de", "b_ue%apf", "chairchair"]
+    asked = [(f"q{i}", t, c, m) for i, t in enumerate(texts) for c, m in [(None, None)]]
+    asked += [("f1", "chair", "home", 20.0), ("f2", "lamp", "nowhere", None), ("f3", "desk", None, 5.0)]
+    dim = spark.createDataFrame(rows, "product_id string, name string, category string, price double").withColumns({
+        "is_current": F.lit(True), "active": F.lit(True)})
+    queries = spark.createDataFrame(asked, "query_id string, query string, category string, max_price double")
+    got = {}
+    for r in retrieval.literal_search(queries, dim, 7, categories=("electronics", "home")).collect():
+        got.setdefault(r.query_id, []).append((r.retrieval_rank, r.product_id, r.score))
+
+    def pattern(text):
+        out, at = "", 0
+        text = f"%{text.lower()}%"
+        while at < len(text):
+            if text[at] == "\\" and at + 1 < len(text):
+                out, at = out + re.escape(text[at + 1]), at + 2
+                continue
+            out += {"%": ".*", "_": "."}.get(text[at], re.escape(text[at]))
+            at += 1
+        return re.compile(out, re.S)
+
+    for qid, text, category, most in asked:
+        hits = []
+        for pid, name, c, price in rows:
+            if text and (name is None or not pattern(text).fullmatch(name.lower())):
+                continue
+            if category in ("electronics", "home") and c != category:
+                continue
+            if most is not None and not (price is not None and price <= most):
+                continue
+            score = float("inf") if price is None else float("-inf") if price != price else -price
+            hits.append((-score, pid, score))
+        want = [(i, pid, s) for i, (_, pid, s) in enumerate(sorted(hits, key=lambda h: (h[0], h[1]))[:7], 1)]
+        assert sorted(got.get(qid, [])) == want, (qid, text)
+
+
+def test_filters_come_before_scores():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    n, m, dim = 400, 12, 8
+    price = [None if i % 23 == 0 else float("nan") if i % 29 == 0 else float(rng.integers(1, 60)) for i in range(n)]
+    held = pa.table({"product_id": [str(i) for i in range(n)], "embedding": rng.normal(size=(n, dim)).tolist(),
+                     "category": [None if i % 31 == 0 else "abcd"[i % 4] for i in range(n)], "price": price})
+    asked = pa.table({"query_id": [str(i) for i in range(m)], "k": [5] * m, "embedding": rng.normal(size=(m, dim)).tolist(),
+                      "category": ["a", "b", None, "a", "zz", None, "c", "a", "b", "d", "d", "c"],
+                      "max_price": [None, 20.0, None, 9.0, None, 30.0, 0.5, 59.0, 20.0, None, 40.0, 1.0]})
+    want, got = retrieval.dot_scorer(dim)(asked, held), retrieval.filtered_dot_scorer(dim)(asked, held)
+    assert np.array_equal(np.isnan(want), np.isnan(got)) and np.allclose(want, got, atol=1e-9, equal_nan=True)
+    multiplied = sum(len(rows) * len(places) for rows, _, places in retrieval.filtered_slices(asked, held))
+    assert (~np.isnan(want)).sum() <= multiplied < 0.5 * n * m

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import joined_text
 from ..schemas import PRODUCT_CATEGORIES
-from ..session import scratch_path
+from ..session import scratch_path, stage
 from .blockwise import top_k
 from .history import current
 
@@ -176,6 +176,40 @@ def dot_scorer(dim: int):
     return score
 
 
+def filtered_slices(queries: pa.Table, candidates: pa.Table) -> Iterator[tuple[list[int], list[int], np.ndarray]]:
+    """(queries, how many each admits, candidates): per wanted category its candidates by price, as many as any query admits.
+
+    A query admits a beginning of its list, so nothing else needs a score.
+    """
+    prices = candidates["price"].to_numpy()
+    names, codes = np.unique(np.asarray(candidates["category"].fill_null("").to_pylist(), dtype=str), return_inverse=True)
+    code_of = {name: i for i, name in enumerate(names)}
+    by_price = np.argsort(prices, kind="stable")  # what has no price, or none that compares, comes last
+    wanted: dict[str | None, list[tuple[int, float | None]]] = {}
+    for row, (category, ceiling) in enumerate(zip(queries["category"].to_pylist(), queries["max_price"].to_pylist())):
+        wanted.setdefault(category, []).append((row, ceiling))
+    for category, asked in wanted.items():
+        own = by_price if category is None else by_price[codes[by_price] == code_of.get(category, -1)]
+        known = prices[own][:int(np.count_nonzero(~np.isnan(prices[own])))]
+        counts = [len(own) if c is None else int(np.searchsorted(known, c, "right")) for _, c in asked]
+        if max(counts):
+            yield [row for row, _ in asked], counts, own[:max(counts)]
+
+
+def filtered_dot_scorer(dim: int):
+    """As :func:`dot_scorer` for queries with filters; only pairs that pass them are multiplied."""
+    def score(queries: pa.Table, candidates: pa.Table) -> np.ndarray:
+        asked, held = _matrix(queries, dim), _matrix(candidates, dim)
+        out = np.full((len(asked), len(held)), np.nan)
+        for rows, counts, places in filtered_slices(queries, candidates):
+            dots = np.round(asked[rows] @ held[places].T, SCORE_PLACES)
+            for row, count, values in zip(rows, counts, dots):
+                out[row, places[:count]] = values[:count]
+        return out
+
+    return score
+
+
 def literal_scorer(queries: pa.Table, candidates: pa.Table) -> np.ndarray:
     """Cheapest first among names that match; a missing price sorts before all others."""
     names = candidates["name_lower"]
@@ -223,7 +257,7 @@ def nearest_prefiltered(
     asked = with_filters(queries, categories=None).select(
         "query_id", "embedding", "category", "max_price", F.lit(_bounded(k, most)).alias("k")
     )
-    return top_k(asked, candidates.select("product_id", "embedding", "category", "price"), dot_scorer(dim), **blocks)
+    return top_k(asked, candidates.select("product_id", "embedding", "category", "price"), filtered_dot_scorer(dim), **blocks)
 
 
 def nearest_postfiltered(
@@ -251,18 +285,68 @@ def nearest_postfiltered(
     )
 
 
+GRAM = 3  # letters that must stand together for a name to be looked up
+
+
+def _grams(text: Column) -> Column:
+    """Distinct runs of ``GRAM`` characters; null or shorter texts have none."""
+    places = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - (GRAM - 1))).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(GRAM))))
+
+
+def _looked_up(asked: DataFrame, names: DataFrame) -> DataFrame:
+    """Literal hits of queries with ``grams``: names that hold the rarest of them, verified against the pattern.
+
+    Grams meet by equality, and only grams that some query has are counted or carried.  The k best of a query are cut within
+    map tasks before they are shuffled.
+    """
+    wanted = stage(asked.select("query_id", F.explode("grams").alias("gram")), "grams")
+    held = names.withColumn("gram", F.explode(_grams(F.col("name_lower")))).join(wanted.select("gram").distinct(), "gram", "left_semi")
+    counts = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = wanted.join(counts, "gram", "left").groupBy("query_id").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("g"))
+    rarest = stage(rarest.where("g.n > 0").select("query_id", F.col("g.gram").alias("gram")), "rarest")
+    met = held.join(rarest, "gram").join(asked.drop("grams").withColumnsRenamed({"category": "_category"}), "query_id")
+    passed = (
+        F.expr("name_lower LIKE pattern")
+        & (F.col("_category").isNull() | (F.coalesce("category", F.lit("")) == F.col("_category")))
+        & (F.col("max_price").isNull() | (F.col("price") <= F.col("max_price")) & ~F.isnan("price"))
+    )
+    score = F.when(F.col("price").isNull(), float("inf")).when(F.isnan("price"), float("-inf")).otherwise(-F.col("price"))
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "product_id")
+    return (
+        met.where(passed).select("query_id", "product_id", score.alias("score"), "k")
+        .withColumn("retrieval_rank", F.row_number().over(best)).where(F.col("retrieval_rank") <= F.col("k")).drop("k")
+    )
+
+
 def literal_search(queries: DataFrame, products: DataFrame, k: int, categories: Sequence[str] = PRODUCT_CATEGORIES,
                    most: int | None = LITERAL_MAX, **blocks) -> DataFrame:
-    """Name search for many queries; a null or empty text filters on category and price only."""
+    """Name search for many queries; a null or empty text filters on category and price only.
+
+    Queries with ``GRAM`` plain characters in a row are looked up in an index of names.  The others, those without a text
+    among them, are compared with all names.
+    """
     text = F.when(F.col("query") != "", F.col("query"))
-    asked = with_filters(queries, categories).select(
-        "query_id", like_pattern(text).alias("pattern"), "category", "max_price",
-        F.lit(_bounded(k, most)).alias("k"),
-    )
+    lowered = F.lower(text)
+    # A backslash may take a wildcard's meaning away: such texts are compared with all names.
+    plain = F.when(~F.contains(lowered, F.lit("\\")), F.split(lowered, "[%_]"))
+    grams = F.array_distinct(F.flatten(F.transform(plain, _grams)))
+    bound = _bounded(k, most)
+    asked = stage(with_filters(queries, categories).select(
+        "query_id", like_pattern(text).alias("pattern"), "category", "max_price", F.lit(bound).alias("k"), grams.alias("grams")), "asked")
     names = current(products, active_only=True).select(
         "product_id", F.lower("name").alias("name_lower"), "category", "price"
     )
-    return top_k(asked, names, literal_scorer, **blocks)
+    indexed = F.coalesce(F.size("grams") > 0, F.lit(False))
+    rest = asked.where(~indexed).drop("grams")
+    if asked.where(indexed).isEmpty():
+        return top_k(rest, names, literal_scorer, **blocks)
+    found = _looked_up(asked.where(indexed), names).where(F.col("retrieval_rank") <= bound)
+    if rest.isEmpty():
+        return found
+    compared = top_k(rest, names, literal_scorer, **blocks)
+    return compared.unionByName(found.select(*compared.columns))
 
 
 def _written(df: DataFrame, label: str) -> DataFrame:
