@@ -116,3 +116,30 @@ def test_any_order_of_snapshots_gives_the_same_versions(spark, seed):
     assert dim.snapshots.read().count() == 40
     want = versions(spark.createDataFrame(rows, schema), "k", ["color", "size"])
     assert sorted(map(str, table.read().select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_moving_windows_equal_full_counts(spark):
+    import random
+
+    from tidemart.operators.ranking import product_signals
+    from tidemart.sources.tables import VersionedTable
+    from tidemart.streaming.popularity import RollingSignals
+
+    rng = random.Random(7)
+    home, start = scratch_path(spark, "rolling"), datetime(2024, 1, 1)
+    events = VersionedTable(spark, f"{home}/events", ["event_date"])
+    orders = VersionedTable(spark, f"{home}/orders", ["order_date"])
+    rolling = RollingSignals(spark, VersionedTable(spark, f"{home}/days", ["day"]), events, orders)
+    kinds = "product_id string, event_type string, event_ts timestamp"
+    bought = "order_id string, order_ts timestamp, items array<struct<product_id string, quantity int>>"
+    for lo, hi in ((0, 14), (10, 12), (13, 20)):
+        at = lambda: start + timedelta(days=rng.randrange(lo, hi), seconds=rng.choice([0, rng.randrange(86_400)]))  # noqa: B023, E731
+        seen = [(rng.choice(["p1", "p2", "p3", None]), rng.choice(["page_view", "add_to_cart", "purchase"]), at()) for _ in range(40)]
+        sold = [(f"o{i}", at(), [(rng.choice(["p1", "p4", None]), rng.choice([1, 2, None]))]) for i in range(12)]
+        events.append(spark.createDataFrame(seen, kinds).withColumn("event_date", F.to_date("event_ts")))
+        orders.append(spark.createDataFrame(sold, bought).withColumn("order_date", F.to_date("order_ts")))
+        counted = rolling.update()
+        assert counted and all(lo <= (d - start.date()).days < hi for d in counted) and rolling.update() == []
+    for as_of in ("2024-01-15 00:00:00", "2024-01-12 13:30:00", "2024-02-20 00:00:00"):
+        want = product_signals(events.read(), orders.read(), as_of)
+        assert sorted(rolling.signals(as_of).select(*want.columns).collect()) == sorted(want.collect()), as_of

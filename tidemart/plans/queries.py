@@ -21,7 +21,7 @@ from ..schemas import (
 )
 from ..session import scratch_path, use_utc
 from ..sources import landing, shop, tables
-from ..streaming import dimensions, incremental, ingest, stateful
+from ..streaming import dimensions, incremental, ingest, popularity, stateful
 from .refresh import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -494,6 +494,21 @@ def product_signals(spark, sf_dir):
     return _signals(spark, sf_dir)
 
 
+@query
+def rolling_signals(spark, sf_dir):
+    """The signals from counts per day: built before the last week's events arrived, then brought up to date."""
+    silver = _stored_silver(spark, sf_dir)
+    home = scratch_path(spark, "rolling")
+    events = tables.VersionedTable(spark, f"{home}/events", ["event_date"])
+    bought = tables.VersionedTable(spark, f"{home}/orders", ["order_date"])
+    counts = popularity.RollingSignals(spark, tables.VersionedTable(spark, f"{home}/days", ["day"]), events, bought)
+    for rows in (silver.where("event_date < DATE '2024-01-24'"), silver.where("event_date >= DATE '2024-01-24'")):
+        events.append(rows)
+        bought.append(orders.fact_orders(rows)) if not bought.exists() else bought.publish(orders.fact_orders(silver))
+        counts.update()
+    return counts.signals(AS_OF)
+
+
 @query
 def popularity_score(spark, sf_dir):
     found = ranking.popularity(_stored(spark, _signals(spark, sf_dir), "signals"))
