@@ -217,3 +217,23 @@ def test_filters_come_before_scores():
     assert np.array_equal(np.isnan(want), np.isnan(got)) and np.allclose(want, got, atol=1e-9, equal_nan=True)
     multiplied = sum(len(rows) * len(places) for rows, _, places in retrieval.filtered_slices(asked, held))
     assert (~np.isnan(want)).sum() <= multiplied < 0.5 * n * m
+
+
+@pytest.mark.parametrize("spread", [0.02, 3.0])
+def test_bounded_search_equals_scoring_all(spark, spread):
+    from tidemart.operators import bounded
+
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(12, 6))
+    rows = [(f"p{i:04d}", (centres[i % 12] + spread * rng.normal(size=6)).round(3).tolist()) for i in range(1_500)]
+    rows += [(f"twin{i}", rows[7][1]) for i in range(30)]
+    held = spark.createDataFrame(rows, "product_id string, embedding array<double>").repartition(3)
+    asked = spark.createDataFrame(
+        [(f"q{i}", k, (centres[i % 12] * 2).tolist()) for i, k in enumerate([5, 1, 40, 0, 12])], "query_id string, k int, embedding array<double>")
+    laid = bounded.laid_out(held, 6, 24)
+    want = top_k(asked, held, retrieval.dot_scorer(6)).select("query_id", "retrieval_rank", "product_id", "score").collect()
+    got = bounded.bounded_top_k(asked, laid, 6, 24).select("query_id", "retrieval_rank", "product_id", "score").collect()
+    assert sorted(got) == sorted(want) and len(want) == 58
+    saved = bounded.work_saved(asked, laid, 6, 24).first()
+    assert saved.scored + saved.skipped == 5 * len(rows) and (spread > 1 or saved.skipped > 0.6 * 5 * len(rows))
+    assert bounded.bounded_top_k(asked, laid.limit(0), 6, 24).count() == 0

@@ -674,6 +674,7 @@ clean AS (SELECT * FROM first_delivery WHERE event_type <> 'signup')""" + "," +
         count(event_id) / count(*) AS pass_rate FROM first_delivery
       UNION ALL SELECT 'event_ts_present', count(*), count(*) FILTER (event_ts IS NULL), count(event_ts) / count(*) FROM first_delivery)"""
     sql["quarantine_stream"] = sql["late_split"]
+    sql["knn_topk_bounded"] = sql["knn_topk"]
     sql["rolling_signals"] = sql["product_signals"]
     sql["scd2_users_by_deliveries"] = sql["scd2_users"]
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import history, marts, orders, quality, ranking, reports, retrieval, sessions
+from ..operators import bounded, history, marts, orders, quality, ranking, reports, retrieval, sessions
 from ..operators import events as ev
 from ..schemas import (
     EMBEDDING, EVENT, PRODUCT_TRACKED, USER, USER_TRACKED, with_ingest_columns,
@@ -421,6 +421,14 @@ def knn_topk_in_blocks(spark, sf_dir):
     )
 
 
+@query
+def knn_topk_bounded(spark, sf_dir):
+    """The same search over candidates laid out by pivots, whose blocks are skipped by their bounds."""
+    vectors = shop.embedding_vectors(spark, sf_dir)
+    asked = _label_queries(vectors).select("query_id", "embedding", F.lit(10).alias("k"))
+    return bounded.bounded_top_k(asked, bounded.laid_out(vectors, DIM), DIM)
+
+
 @query
 def knn_texts(spark, sf_dir):
     """Documents nearest to each benchmark text, both encoded by the stand-in encoder."""
