@@ -673,6 +673,9 @@ clean AS (SELECT * FROM first_delivery WHERE event_type <> 'signup')""" + "," +
       SELECT 'event_id_present' AS expectation, count(*) AS total, count(*) FILTER (event_id IS NULL) AS failing,
         count(event_id) / count(*) AS pass_rate FROM first_delivery
       UNION ALL SELECT 'event_ts_present', count(*), count(*) FILTER (event_ts IS NULL), count(event_ts) / count(*) FROM first_delivery)"""
+    sql["stream_additive_schema"] = f"""WITH {DELIVERIES} SELECT event_id, event_type,
+      CASE WHEN CAST(substr(event_id, 3) AS BIGINT) % 2 = 1 THEN 'c_' || event_type END AS campaign, CAST(NULL AS VARCHAR) AS _rescued_data
+      FROM first_delivery"""
     sql["quarantine_stream"] = sql["late_split"]
     sql["knn_topk_bounded"] = sql["knn_topk"]
     sql["rolling_signals"] = sql["product_signals"]

@@ -865,6 +865,20 @@ def refreshed_tables(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def stream_additive_schema(spark, sf_dir):
+    """A stream that goes on with a column more: earlier rows read it as null."""
+    src, out = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    odd = F.substring("event_id", 3, 20).cast("bigint") % 2 == 1
+    sent = shop.first_delivery(spark, sf_dir).select(*EVENT.names)
+    wider = T.StructType([*EVENT.fields, T.StructField("campaign", T.StringType())])
+    later = sent.where(odd).withColumn("campaign", F.concat(F.lit("c_"), "event_type"))
+    for rows, schema in ((sent.where(~odd), EVENT), (later, wider)):
+        landing.write_landing(rows, src)
+        ingest.stream_events(spark, src, f"{out}/checkpoint", f"{out}/events", schema)
+    return tables.read(spark, f"{out}/events", merge_schema=True).select("event_id", "event_type", "campaign", "_rescued_data")
+
+
 @query
 def bronze_rules_stream(spark, sf_dir):
     """The Bronze rules as the ingesting stream counts them."""
