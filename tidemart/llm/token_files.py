@@ -1,6 +1,7 @@
 """Token ids as flat binary files with 64-bit document offsets.
 
-Documents are dealt into ranges of ascending doc_id; each task writes one pair of files:
+Documents are dealt into ranges of ascending doc_id, then of the hash of their text, so rows of one id, or of none, may
+lie in several files; each task writes one pair of files:
 
 * ``<name>.ids``: the ids of its documents, end id included, as little-endian unsigned integers, 16 or 32 bits by vocabulary size;
 * ``<name>.idx``: the number of documents n, n + 1 offsets into the ids, n doc_ids, as little-endian signed 64-bit
@@ -10,7 +11,7 @@ Every attempt of a task writes under a name of its own and only the names that t
 nothing wrong behind.  The driver sees one row per file; the prefix sums over their counts are the files' bases.
 Readers map the files into memory where the store is a local one and read them otherwise.
 
-Null and empty texts hold the end id only.  Null doc_ids come first; documents of equal doc_id follow each other by text.
+Null and empty texts hold the end id only.  Null doc_ids come first; documents of equal doc_id follow each other by the hash of their text, then by text.
 An empty table gives no files' worth of rows.
 """
 
@@ -33,7 +34,7 @@ from .common import small_batches
 from .files import is_local, one_per_task, opened, shared_folder
 
 END_ID = 1
-CACHE_WORDS = 400_000  # bound of a worker's memory for finished words; clearing it changes no result
+CACHE_WORDS = 1_000_000  # bound of a worker's memory for finished words, kept from task to task; clearing it changes no result
 READ_DOCS = 4096
 ROW_WORDS = 200
 
@@ -160,7 +161,6 @@ def write_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_
                 column = batch.column("doc_id")
                 known.append(column.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8))
                 names.append(column.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
-        encoder.forget()
         offsets = np.cumsum(np.concatenate(sizes)).astype("<i8")
         n = len(offsets) - 1
         with store.open_output_stream(f"{path}.idx", compression=None) as out:
@@ -168,8 +168,9 @@ def write_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_
                 out.write(array.tobytes())
         yield pa.RecordBatch.from_pydict({"part": [part], "uri": [uri], "n_docs": [n], "n_tokens": [int(offsets[-1])]})
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first()) \
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    ordered = hashed.repartitionByRange(F.col("doc_id").asc_nulls_first(), "hash") \
+        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "hash", F.col("text").asc_nulls_first()).drop("hash")
     files = sorted(ordered.mapInArrow(write, "part bigint, uri string, n_docs bigint, n_tokens bigint").collect())  # one row a file
     bases = accumulate((f.n_tokens for f in files), initial=0)
     return [(f.uri, base, f.n_docs, f.n_tokens, width) for f, base in zip(files, bases) if f.n_docs]
