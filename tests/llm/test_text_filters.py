@@ -255,6 +255,21 @@ def test_short_templates_are_found(spark, sf_dir):
 
 
 
+def test_templates_are_scanned_in_parts(spark, monkeypatch):
+    texts = [(i, f"intro {wording} outro " * 2) for i, (_, wording) in enumerate(licenses.TEMPLATES + licenses.NOTICES)]
+    docs = spark.createDataFrame([*texts, *TEXTS], "doc_id long, text string")
+    want = sorted(map(tuple, licenses.license_matches(docs).collect()), key=repr)
+    monkeypatch.setattr(licenses, "MAX_TEMPLATE_WORDS", 50)
+    parts = licenses.parts_of(licenses.TEMPLATES)
+    assert len(parts) > 4 and sum(parts, ()) == licenses.TEMPLATES
+    assert sorted(map(tuple, licenses.license_matches(docs).collect()), key=repr) == want
+
+
+def test_license_plan_has_no_python(spark, sf_dir):
+    plan = QUERIES["op2_license_scan"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
 def test_item_digest(spark, sf_dir):
     rows = QUERIES["op3_decontamination"](spark, sf_dir).collect()
     assert {r.items_sha256 for r in rows if not r.n_items} == {hashlib.sha256(b"").hexdigest()}

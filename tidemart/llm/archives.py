@@ -12,7 +12,7 @@ page_id (then last file and offset) is the response and the others become revisi
 
 Files are compressed record by record, so any record can be read by its offset, and a task holds one record at a time.  Only
 metadata is shuffled.  Null payloads are empty; null URLs are written as ``about:blank``; null page_ids count as the smallest.
-An empty table gives archives without records.
+An empty table gives archives without records.  A payload, however long, is held whole by the task that has its record.
 """
 
 from __future__ import annotations

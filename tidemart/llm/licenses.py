@@ -13,9 +13,10 @@ the document.  Shingles are compared by 64-bit hashes.
 A template of fewer words than a shingle is one shingle of its own length: in the same pass that length is hashed at every word,
 and places with a template's hash are verified word by word.
 
-Templates are a given table of license wordings, counted before their bands become literals of the plan; more than
-``MAX_TEMPLATE_WORDS`` words, and templates without a word, are refused.  Null and empty texts match nothing.  Rows with one
-doc_id are reported once per template.
+Templates are a given table of license wordings, whose bands become literals of the plan.  They are scanned in parts of at most
+``MAX_TEMPLATE_WORDS`` words (a longer template is a part of its own), and of a license's wordings the best counts; templates
+without a word are refused.  Null and empty texts match nothing.  Rows with one doc_id are reported once per template.  A text of any
+length is one row of words.  Of the documents' other columns none is read, so they may have any name; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ WINDOW_WORDS = 8
 STRIDE = 4
 BANDS = 32
 LEAST = 0.8
-MAX_TEMPLATE_WORDS = 20_000
+MAX_TEMPLATE_WORDS = 20_000  # of the templates in one plan
 
 # Wordings of well-known public licenses: (name, text).
 TEMPLATES = (
@@ -86,13 +87,10 @@ def minhash(hashes: Column, start: Column, band: int, width: int) -> Column:
 
 
 def template_rows(spark: SparkSession, templates=TEMPLATES) -> list[dict]:
-    """(template, license, words, shingles) as hashed by Spark itself; bounded by ``MAX_TEMPLATE_WORDS``.
+    """(template, license, words, shingles) as hashed by Spark itself.
 
     A template shorter than a shingle has one hash, of all its words.
     """
-    total = sum(len((text or "").split()) for _, text in templates)
-    if total > MAX_TEMPLATE_WORDS:
-        raise ValueError(f"{total} template words; scan larger sets in parts of {MAX_TEMPLATE_WORDS}")
     rows = [(i, name, text) for i, (name, text) in enumerate(templates)]
     df = spark.createDataFrame(rows, "template int, license string, text string")
     split = df.select("template", "license", words(F.col("text")).alias("words"))
@@ -118,6 +116,20 @@ def _band_values(rows: list[dict], bands: int, width: int) -> list[dict[int, set
     return by_band
 
 
+def parts_of(templates, most: int | None = None) -> list[tuple]:
+    """``templates`` in parts of at most ``most`` words, a longer one by itself."""
+    most = MAX_TEMPLATE_WORDS if most is None else most
+    parts, size = [[]], 0
+    for template in templates:
+        n = len((template[1] or "").split())
+        if parts[-1] and size + n > most:
+            parts.append([])
+            size = 0
+        parts[-1].append(template)
+        size += n
+    return [tuple(p) for p in parts]
+
+
 def license_matches(docs: DataFrame, templates=TEMPLATES + NOTICES, bands: int = BANDS, window_words: int = WINDOW_WORDS,
                     stride: int = STRIDE, least: float = LEAST) -> DataFrame:
     """(doc_id, license, containment, first_word): one row per document and license found.
@@ -125,6 +137,15 @@ def license_matches(docs: DataFrame, templates=TEMPLATES + NOTICES, bands: int =
     ``containment`` is that of the license's best wording; ``first_word`` is where the first window that retrieved one of
     its wordings begins, or where a wording shorter than a shingle stands.
     """
+    found = [_matches(docs, part, bands, window_words, stride, least) for part in parts_of(templates)]
+    if len(found) == 1:
+        return found[0]
+    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "license").agg(
+        F.max("containment").alias("containment"), F.min("first_word").alias("first_word"))
+
+
+def _matches(docs: DataFrame, templates, bands: int, window_words: int, stride: int, least: float) -> DataFrame:
+    """:func:`license_matches` for one part of the templates."""
     spark = docs.sparkSession
     width = window_words - SHINGLE + 1
     rows = template_rows(spark, templates)
@@ -134,7 +155,7 @@ def license_matches(docs: DataFrame, templates=TEMPLATES + NOTICES, bands: int =
         if len(r["words"]) < SHINGLE:
             short.setdefault(len(r["words"]), {}).setdefault(r["shingles"][0], set()).add(r["template"])
     in_templates = sorted({h for r in rows if len(r["words"]) >= SHINGLE for h in r["shingles"]})
-    # Both tables are bounded by MAX_TEMPLATE_WORDS.
+    # Both tables are bounded by MAX_TEMPLATE_WORDS, or by one template.
     by_value = spark.createDataFrame(
         [(b, value, sorted(ts)) for b in range(bands) for value, ts in by_band[b].items()]
         + [(-size, value, sorted(ts)) for size in short for value, ts in short[size].items()],

@@ -13,7 +13,8 @@ Forward value of a prefix, by the kind of model:
   one piece that agrees with the last piece before it.
 
 Characters no piece covers become byte pieces, or the unknown piece where the model has none.  Results equal the
-library's.  Null and empty texts have no pieces and decode to the empty text.  Models whose normaliser rewrites
+library's.  Null and empty texts have no pieces and decode to the empty text.  Repeated rows are coded alike; a text of any length,
+one unbroken word too, is one row; an empty table gives no rows.  Models whose normaliser rewrites
 characters are refused.
 """
 

@@ -10,7 +10,8 @@ The insult vocabulary is the fixed list below plus words and word beginnings tha
 (:func:`fit`).  Labels choose vocabulary and calibration only; language, source, labels and doc_id are never inputs of a
 score.
 
-Null and empty texts have no clause and get the base score.  Repeated rows get equal scores.  Without usable labels the
+Null and empty texts have no clause and get the base score.  Repeated rows get equal scores.  A text of any length is read once,
+clause by clause; an empty table gives no rows.  Without usable labels the
 fixed list and the default calibration hold.
 """
 

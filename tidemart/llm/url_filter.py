@@ -5,7 +5,7 @@ counts where no ASCII letter or digit touches it.  One strict term rejects, as d
 weights, a strict term weighs as much as that many soft ones.
 
 Null URLs, and those without ``://``, have an empty host and path; the vocabulary still reads what there is.
-Repeated rows are judged alike; extra columns ride along.
+Repeated rows are judged alike; extra columns ride along.  A URL of any length is read once; an empty table gives no rows.
 """
 
 from __future__ import annotations
