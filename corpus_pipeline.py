@@ -28,14 +28,17 @@ def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts, the one with the largest doc_id; A-Z in either case count as equal."""
     return exact_dedup.drop_exact_copies(spark, docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose fingerprints are linked, the one with the smallest doc_id."""
     return simhash.drop_near_duplicates(spark, docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which fewer than one word in twenty stands in a passage of a benchmark item."""
     benchmark = read_table(spark, sf_dir, "benchmark")
     return filtered(docs, lambda d: decontamination.contamination(d, benchmark), "NOT contaminated")
 
