@@ -34,21 +34,26 @@ class Dimension:
         ``batch`` numbers the deliveries: one that is repeated adds no snapshots again.  Versions are merged in any case, so
         a job that ended between the two is made good by the repetition.
         """
+        if not self.snapshots.exists():
+            self.snapshots.publish(keyed_rows(arrived, self.key), keep=2, notes={"batch": batch})
+            return self._number(self.snapshots.read(), arrived.columns, keep)
         staging = f"{self.table.path}_work/{batch if batch is not None else 'now'}"
         keyed_rows(arrived, self.key).write.mode("overwrite").parquet(staging)
         try:
             rows = self.spark.read.schema(arrived.schema).parquet(staging)
-            if not self.snapshots.exists():
-                self.snapshots.publish(rows, keep=2, notes={"batch": batch})
-            elif batch is None or self.snapshots.pointer()["notes"].get("batch") != batch:
+            if batch is None or self.snapshots.pointer()["notes"].get("batch") != batch:
                 if rows.isEmpty():
                     return self.table.version()
                 self.snapshots.append(rows, keep=2, notes={"batch": batch})
-            theirs = self.snapshots.read_matching(rows, [self.key])
-            made = versions(theirs.select(*arrived.columns), self.key, self.tracked, **self.options)
-            if not self.table.exists():
-                self.table.keys = self.table.keys or [self.key, "version"]
-                return self.table.publish(made, self.rules, keep=keep)
-            return self.table.upsert(made, [self.key, "version"], rules=self.rules, keep=keep)
+            theirs = self.snapshots.read_matching(rows, [self.key]) if self.table.exists() else self.snapshots.read()
+            return self._number(theirs, arrived.columns, keep)
         finally:
             self.table._delete(staging)
+
+    def _number(self, snapshots: DataFrame, columns: list[str], keep: int) -> int:
+        """Merges the versions of all keys of ``snapshots``, which holds every snapshot of theirs."""
+        made = versions(snapshots.select(*columns), self.key, self.tracked, **self.options)
+        if not self.table.exists():
+            self.table.keys = self.table.keys or [self.key, "version"]
+            return self.table.publish(made, self.rules, keep=keep)
+        return self.table.upsert(made, [self.key, "version"], rules=self.rules, keep=keep)
