@@ -299,3 +299,32 @@ def test_optimize_lays_only_what_is_new(spark):
     assert table.optimize(["a"], 8) > first
     assert kept <= {r.file for r in table.files().collect()} and table.files().where("layout IS NULL").count() == 0
     assert table.read().exceptAll(frame(0, 9_000)).isEmpty() and table.read().count() == 9_000
+
+
+def test_entries_hold_a_bounded_number_of_keys(spark, monkeypatch):
+    """A long file has several entries, made in memory that does not grow with it; merges still find its rows."""
+    import tracemalloc
+
+    import numpy as np
+
+    from tidemart.sources import manifest
+
+    hashes = np.arange(1_000_000, dtype=np.int64)
+    tracemalloc.start()
+    manifest.bloom(hashes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+    monkeypatch.setattr(manifest, "ENTRY_ROWS", 1_000, raising=False)
+    table = tables.VersionedTable(spark, scratch_path(spark, "a b+c%"), ["day"], keys=["id"])
+    frame = lambda ids, n: spark.createDataFrame([(i, "x:y", n) for i in ids], "id long, day string, n int").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        table.publish(frame(range(4_000), 1))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    held = table.files().collect()
+    assert sum(r.rows for r in held) == 4_000 and len(held) >= 4 and max(r.rows for r in held) < 2_000
+    table.upsert(frame([5, 3_995, 4_001], 2), ["id"])
+    got = {r.id: r.n for r in table.read().collect()}
+    assert len(got) == 4_001 == table.read().count() and {i for i, n in got.items() if n == 2} == {5, 3_995, 4_001}

@@ -1,13 +1,15 @@
 """What a table knows about its files: rows, value ranges, partition values and a Bloom filter over the keys.
 
 Entries are rows of a table, written by the tasks that read a new version's files once.  A merge asks the entries which files may
-hold one of its keys, and opens those only.  A file that several tasks read has several entries; it may hold a key if any of
-them says so, so no entry is ever put together from parts.
+hold one of its keys, and opens those only.  A file that several tasks read, or that has many rows, has several entries; it may
+hold a key if any of them says so, so no entry is ever put together from parts.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,8 @@ from pyspark.sql import types as T
 
 BITS_PER_KEY = 12
 PROBES = 6
+ENTRY_ROWS = 1 << 19  # rows after which a file gets an entry more, so that a task holds a bounded number of hashes
+CHUNK = 1 << 16  # hashes that are worked on at a time
 MOST_ASKED = 200_000  # keys of a merge that are sent to the tasks; a larger merge compares keys by a join
 
 # Types whose least and greatest values are recorded.  Floats are left out: their order has no place for NaN.
@@ -45,15 +49,16 @@ def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
 def bloom(hashes: np.ndarray) -> bytes:
     bits = max(64, -(-BITS_PER_KEY * len(hashes) // 64) * 64)
     out = np.zeros(bits, bool)
-    out[_places(hashes, bits)] = True
+    for at in range(0, len(hashes), CHUNK):
+        out[_places(hashes[at:at + CHUNK], bits)] = True
     return np.packbits(out).tobytes()
 
 
 def may_hold(filter_: bytes, hashes: np.ndarray) -> bool:
     """Whether any of the keys may be among those the filter was made of."""
     bits = np.frombuffer(filter_, np.uint8)
-    for at in range(0, len(hashes), 1 << 16):
-        places = _places(hashes[at:at + (1 << 16)], 8 * len(bits))
+    for at in range(0, len(hashes), CHUNK):
+        places = _places(hashes[at:at + CHUNK], 8 * len(bits))
         if ((bits[places >> 3] >> (7 - (places & 7)) & 1) == 1).all(1).any():
             return True
     return False
@@ -76,10 +81,16 @@ def entry_schema(schema: T.StructType, ranges: Sequence[str], partition_by: Sequ
         T.StructField("layout", T.StringType()), *bounds, *parts])
 
 
+def place(uri: str, depth: int) -> str:
+    """A file's name on disk below its table's folder, ``depth`` partition folders down."""
+    found = re.search(r"/(v=\d+/(?:[^/]+/){%d}[^/]+)$" % depth, uri)
+    return unquote(found[1]) if found else ""
+
+
 def entries(placed: DataFrame, schema: T.StructType, keys: Sequence[str], ranges: Sequence[str], partition_by: Sequence[str], layout: str | None) -> DataFrame:
-    """Entries of the files of ``placed``, a table with their names in ``_file``.
+    """Entries of the files of ``placed``, a table with their URIs in ``_file``.
 
-    Rows come file by file, so a task holds one file's hashes at a time.
+    Rows come file by file, and an entry ends with its file or after ``ENTRY_ROWS`` rows: a task holds the hashes of one entry.
     """
     out = entry_schema(schema, ranges, partition_by)
     hashed = key_hash(keys) if keys else F.lit(None).cast("long")
@@ -91,7 +102,7 @@ def entries(placed: DataFrame, schema: T.StructType, keys: Sequence[str], ranges
         name, rows, hashes, bounds, parts = None, 0, [], [], []
 
         def done() -> pa.RecordBatch:
-            values = {"file": name, "rows": rows, "keys": bloom(np.concatenate(hashes)) if keys else None, "layout": layout}
+            values = {"file": place(name, len(partition_by)), "rows": rows, "keys": bloom(np.concatenate(hashes)) if keys else None, "layout": layout}
             for c, (low, high) in zip(ranges, bounds, strict=True):
                 values |= {f"min_{c}": low, f"max_{c}": high}
             values |= {f"part_{c}": v for c, v in zip(partition_by, parts, strict=True)}
@@ -119,6 +130,9 @@ def entries(placed: DataFrame, schema: T.StructType, keys: Sequence[str], ranges
                     found = pc.min_max(part.column(f"r{i}")).as_py()
                     lows, highs = ([v for v in pair if v is not None] for pair in zip(bounds[i], (found["min"], found["max"]), strict=True))
                     bounds[i] = (min(lows, default=None), max(highs, default=None))
+                if rows >= ENTRY_ROWS:
+                    yield done()
+                    name = None
         if name is not None:
             yield done()
 
@@ -138,7 +152,7 @@ def holding(found: DataFrame, hashes: np.ndarray) -> DataFrame:
     """(file): entries whose filter lets one of ``hashes`` through; at most ``MOST_ASKED`` of them are sent to the tasks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            met = [f is None or may_hold(f, hashes) for f in batch.column("keys").to_pylist()]
+            met = [not f.is_valid or may_hold(f.as_buffer(), hashes) for f in batch.column("keys")]
             yield pa.RecordBatch.from_arrays([batch.column("file").filter(pa.array(met, pa.bool_()))], ["file"])
 
     return found.select("file", "keys").mapInArrow(run, "file string")

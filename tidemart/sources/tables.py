@@ -350,16 +350,16 @@ class VersionedTable:
 
     def _describe(self, version: int, schema: T.StructType, layout: str | None) -> DataFrame:
         """Entries of the files that ``version`` wrote."""
-        placed = self.spark.read.schema(schema).option("basePath", self.path).parquet(f"{self.path}/v={version}").withColumn("_file", self._place())
+        placed = self.spark.read.schema(schema).option("basePath", self.path).parquet(f"{self.path}/v={version}").withColumn("_file", F.col("_metadata.file_path"))
         return entries(placed, schema, filtered(schema, self.keys), self._ranges(schema), self.partition_by, layout)
 
     def _ranges(self, schema: T.StructType) -> list[str]:
         return ranged(schema, [c for c in dict.fromkeys([*self.keys, *self.stats]) if c in schema.names])
 
-    def _place(self) -> Column:
-        """A row's file, below the table's folder, by its name on disk."""
+    def _place(self, uri: Column) -> Column:
+        """A file, below the table's folder, by its name on disk."""
         # The path is a URI: decoded once it gives that name.  A plus sign stands for itself there.
-        encoded = F.regexp_extract(F.col("_metadata.file_path"), r"/(v=\d+/(?:[^/]+/){%d}[^/]+)$" % len(self.partition_by), 1)
+        encoded = F.regexp_extract(uri, r"/(v=\d+/(?:[^/]+/){%d}[^/]+)$" % len(self.partition_by), 1)
         return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
     def _point(self, pointer: dict) -> None:
@@ -510,9 +510,10 @@ class VersionedTable:
         schema = T.StructType.fromJson(pointer["schema"])
         placed = (
             self.spark.read.schema(schema).option("basePath", self.path).parquet(*[f"{self.path}/{f}" for f in some])
-            .select(*[f"`{k}`" for k in keys], self._place().alias("file"))
+            .select(*[f"`{k}`" for k in keys], F.col("_metadata.file_path").alias("_uri"))
         )
-        return self._named(placed.join(source.select(*keys), list(keys), "left_semi"))
+        met = placed.join(source.select(*keys), list(keys), "left_semi").select("_uri").distinct()
+        return self._named(met.select(self._place(F.col("_uri")).alias("file")))
 
     def optimize(self, columns: Sequence[str], files: int, keep: int = 0) -> int:
         """Lay the files that are not yet clustered by ``columns`` along their curve, in about ``files`` files for the whole table.
