@@ -131,3 +131,17 @@ def test_segments(spark):
     seen = spark.createDataFrame([], "user_id string, session_id_silver string, event_ts timestamp")
     got = {r.user_id: (r.segment, r.recency_days) for r in marts.user_360(users, sold, seen, "2024-01-31").collect()}
     assert got == {"a": ("active", 30), "l": ("lapsing", 31), "c": ("churned", 181), "p": ("prospect", None)}
+
+
+def test_versions_shuffle_each_tracked_column_once(spark):
+    """No second copy of the tracked columns travels; nulls, NaN and a change that only moves a value still count."""
+    nan = float("nan")
+    rows = [("p", "2024-01-01", "x", None, nan), ("p", "2024-01-02", "x", None, nan), ("p", "2024-01-03", None, "x", nan),
+            ("p", "2024-01-04", None, "x", None), ("p", "2024-01-05", None, "x", -0.0), ("p", "2024-01-06", None, "x", 0.0)]
+    frame = spark.createDataFrame(rows, "k string, t string, a string, b string, c double").withColumn("updated_ts", F.col("t").cast("timestamp"))
+    made = history.versions(frame, "k", ["a", "b", "c"])
+    assert [r.t[-2:] for r in made.orderBy("version").collect()] == ["01", "03", "04", "05"]
+    sliced = history.versions(frame, "k", ["a", "b", "c"], rows_per_task=2)
+    assert [r.t[-2:] for r in sliced.orderBy("version").collect()] == ["01", "03", "04", "05"]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "struct(" not in plan

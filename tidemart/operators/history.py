@@ -9,6 +9,8 @@ each lane.  All other keys have a single slice or lane.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,23 +20,18 @@ from .events import keyed_rows
 from .heavy import ROWS_PER_TASK, in_every_lane, settled_large_keys, with_lanes, with_slices
 
 
-def _tracked_state(tracked: Sequence[str], compat_hash: bool) -> Column:
-    """What must differ for a new version.
+def _joined_hash(tracked: Sequence[str]) -> Column:
+    """The older rule: a hash of the joined non-null values, which misses a value moving to a neighbouring null column."""
+    return F.sha2(F.concat_ws("||", *[F.col(c).cast("string") for c in tracked]), 256)
 
-    The struct compares null-safely.  ``compat_hash`` is the older rule, a hash of the
-    joined non-null values, which misses a value moving to a neighbouring null column.
-    """
-    if compat_hash:
-        return F.sha2(F.concat_ws("||", *[F.col(c).cast("string") for c in tracked]), 256)
-    return F.struct(*[F.col(c) for c in tracked])
 
-
-def _slice_borders(steps: DataFrame, key: str, at: str, inner: Column) -> DataFrame:
+def _slice_borders(steps: DataFrame, key: str, at: str, inner: Column, state: Sequence[str]) -> DataFrame:
     """Per slice of a heavy key: does its first row open a version, how many versions lie
     before it, and when does the next version after it begin."""
+    whole = F.struct(*[F.col(c) for c in state])  # compares null-safely
     slices = steps.where("_heavy").groupBy(key, "_slice").agg(
-        F.min_by("_state", "_pos").alias("_head"),
-        F.max_by("_state", "_pos").alias("_tail"),
+        F.min_by(whole, "_pos").alias("_head"),
+        F.max_by(whole, "_pos").alias("_tail"),
         F.min(at).alias("_head_at"),
         F.min(F.when(inner, F.col(at))).alias("_inner_at"),
         F.count_if(inner).alias("_inner_n"),
@@ -73,16 +70,20 @@ def versions(
     if "_ingest_ts" in rows.columns:
         order.append(F.col("_ingest_ts").asc_nulls_first())
     order.append(F.col("_hash"))
-    rows = rows.withColumns({"_hash": fingerprint(rows), "_state": _tracked_state(tracked, compat_hash)})
+    rows = rows.withColumn("_hash", fingerprint(rows))
+    if compat_hash:
+        rows = rows.withColumn("_state", _joined_hash(tracked))
+    state = ["_state"] if compat_hash else list(tracked)
     rows = with_slices(rows, key, at, rows_per_task)
 
     in_slice = Window.partitionBy(key, "_slice").orderBy(*order)
     steps = rows.withColumns({
         "_pos": F.row_number().over(in_slice),
-        "_moved": ~F.lag("_state").over(in_slice).eqNullSafe(F.col("_state")),
+        # Column by column: a struct of them would travel and be sorted beside the columns themselves.
+        "_moved": ~reduce(and_, [F.lag(c).over(in_slice).eqNullSafe(F.col(c)) for c in state], F.lit(True)),
     })
     inner = (F.col("_pos") > 1) & F.col("_moved")
-    carried = steps.join(_slice_borders(steps, key, at, inner), [key, "_slice"], "left")
+    carried = steps.join(_slice_borders(steps, key, at, inner, state), [key, "_slice"], "left")
     opens = (F.col("_pos") == 1) & F.coalesce(F.col("_opens"), F.lit(True))
     numbered = carried.where(opens | inner).withColumns({
         "valid_from": F.col(at),
