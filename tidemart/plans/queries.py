@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..operators import bounded, history, marts, orders, quality, ranking, reports, retrieval, sessions
 from ..operators import events as ev
 from ..schemas import (
-    EMBEDDING, EVENT, PRODUCT_TRACKED, USER, USER_TRACKED, with_ingest_columns,
+    EMBEDDING, EVENT, ORDER_KEYS, PRODUCT_TRACKED, USER, USER_TRACKED, with_ingest_columns,
 )
 from ..session import scratch_path, use_utc
 from ..sources import landing, shop, tables
@@ -295,9 +295,11 @@ def pit_orders_users(spark, sf_dir):
 @query
 def pit_lines_products(spark, sf_dir):
     """Each order line with the catalogue price at the sale."""
-    lines, totals = _lines_and_totals(spark, shop.line_events(spark, sf_dir))
-    sold = _stored(spark, orders.priced_lines(lines, totals), "sold")
-    dim = _stored(spark, _products(spark, sf_dir), "dim")
+    held = orders.order_lines(shop.line_events(spark, sf_dir)).select(
+        *ORDER_KEYS, "event_ts", "product_id", "quantity", "unit_price", "_units")
+    lines = _stored(spark, held, "lines")
+    sold = orders.priced_lines(lines, orders.totals_of(lines)).select("order_id", "order_ts", "product_id", "quantity", "unit_price")
+    sold, dim = _stored(spark, sold, "sold"), _products(spark, sf_dir)
     found = history.lines_at_sale_price(sold, dim, ["version", "price", "active"])
     return found.withColumnRenamed("price", "price_at_sale")
 
