@@ -237,3 +237,14 @@ def test_bounded_search_equals_scoring_all(spark, spread):
     saved = bounded.work_saved(asked, laid, 6, 24).first()
     assert saved.scored + saved.skipped == 5 * len(rows) and (spread > 1 or saved.skipped > 0.6 * 5 * len(rows))
     assert bounded.bounded_top_k(asked, laid.limit(0), 6, 24).count() == 0
+
+
+def test_tiers_make_the_versions_once(spark, sf_dir):
+    """The catalogue is written down before the tiers read it: its frame has no window left."""
+    from tidemart.plans import queries as q
+
+    products = q._products(spark, sf_dir)
+    vectors = q.shop.embedding_vectors(spark, sf_dir)
+    found = retrieval.tiered_search(q._tier_queries(spark, sf_dir, vectors), vectors, products, q.DIM, 5, q.CATEGORIES)
+    assert "valid_from" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.where("name IS NULL").isEmpty() and not found.isEmpty()

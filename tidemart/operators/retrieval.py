@@ -375,7 +375,10 @@ def tiered_search(
     pool = pool or limit
     blank = F.trim(F.coalesce(F.col("query"), F.lit(""))) == ""
     spoken = queries.where(~blank)
-    attrs = current(products, active_only=True).select("product_id", "name", "category", "price", "currency")
+    # Every tier reads the catalogue: its current rows are written down, so that the versions are made once.
+    products = stage(current(products, active_only=True).select(
+        "product_id", "name", "category", "price", "currency", "is_current", "active"), "catalogue")
+    attrs = products.select("product_id", "name", "category", "price", "currency")
     vectors = embeddings.select("product_id", "embedding").join(attrs.select("product_id", "category", "price"), "product_id")
     columns = ["query_id", "product_id", "score", "retrieval_rank"]
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("retrieval_rank"))
