@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,33 @@ def _parsed_twice(lines: DataFrame, schema: T.StructType, line: str) -> DataFram
     )
 
 
+CORRUPT = "_corrupt_line"
+
+
+def _parsed_for_rescue(lines: DataFrame, schema: T.StructType, line: str, known: Column) -> DataFrame:
+    """As :func:`_parsed_twice`, but lines that hold nothing to rescue are _clean and have neither _raw nor _null.
+
+    A line is clean if all its values fit and its keys are known and no key comes twice.  Most lines are, and the plain map costs
+    more than the pinned fields.
+    """
+    guarded = T.StructType([*loosened(schema).fields, T.StructField(CORRUPT, T.StringType())])
+    both = F.struct(
+        F.from_json(F.col(line), guarded, {"columnNameOfCorruptRecord": CORRUPT}).alias("typed"),
+        F.json_object_keys(F.col(line)).alias("keys"),
+    )
+    once = lines.select("*", F.explode(F.array(both)).alias("_json"))
+    keys = F.col("_json.keys")
+    plain = (keys == known) | (
+        (F.cardinality(keys) > 0) & (F.cardinality(F.array_except(keys, known)) == 0)
+        & (F.cardinality(F.array_distinct(keys)) == F.cardinality(keys)))
+    clean = F.coalesce(F.col(f"_json.typed.{CORRUPT}").isNull() & plain, F.lit(False))
+    judged = once.select(*lines.columns, F.col("_json.typed").alias("_typed"), clean.alias("_clean"))
+    null = F.array_compact(F.array(*[F.when(F.col(f"_typed.{f.name}").isNull(), F.lit(f.name)) for f in schema]))
+    return judged.select(
+        *lines.columns, "_typed", "_clean", F.when(~F.col("_clean"), F.from_json(F.col(line), TEXT_MAP)).alias("_raw"),
+        F.when(~F.col("_clean"), null).alias("_null"))
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") -> DataFrame:
     """JSON text to the pinned columns plus ``_rescued_data``; other columns pass through.
 
@@ -44,7 +71,7 @@ def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") ->
     line that is no JSON object is kept whole.
     """
     known = F.array(*[F.lit(f.name) for f in schema])
-    parsed = _parsed_twice(lines, schema, line)
+    parsed = _parsed_for_rescue(lines, schema, line, known)
     stray = F.map_filter(
         F.col("_raw"),
         lambda k, v: ~F.array_contains(known, k) | (v.isNotNull() & F.array_contains(F.col("_null"), k)),
@@ -52,7 +79,8 @@ def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") ->
     broken = F.coalesce(F.cardinality("_raw"), F.lit(0)) < 1
     empty = F.col(line).rlike(r"^\s*\{\s*\}\s*$")
     rescued = (
-        F.when(empty, None)
+        F.when(F.col("_clean"), None)
+        .when(empty, None)
         .when(broken, F.to_json(F.struct(F.col(line).alias("_malformed"))))
         .when(F.cardinality(stray) > 0, F.to_json(stray))
     )
