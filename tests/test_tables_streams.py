@@ -328,3 +328,29 @@ def test_entries_hold_a_bounded_number_of_keys(spark, monkeypatch):
     table.upsert(frame([5, 3_995, 4_001], 2), ["id"])
     got = {r.id: r.n for r in table.read().collect()}
     assert len(got) == 4_001 == table.read().count() and {i for i, n in got.items() if n == 2} == {5, 3_995, 4_001}
+
+
+def test_only_lines_with_something_to_rescue_are_read_as_a_map(spark):
+    from tidemart.schemas import PRODUCT
+    from tidemart.sources import landing
+
+    given = ['{"product_id":"a","price":1.5}', '{"product_id":"b","price":"n/a"}', '{"product_id":"c","zz":1}', '{"price":1', "{}", "[1]", "",
+             '{"price":1,"price":null}', '{"name":"d","price":null,"brand":"x"}', '{"_corrupt_line":"x"}', None]
+    frame = spark.createDataFrame(list(enumerate(given)), "i int, value string")
+    known = F.array(*[F.lit(f.name) for f in PRODUCT])
+    parsed = {r.i: r for r in landing._parsed_for_rescue(frame, PRODUCT, "value", known).collect()}
+    assert parsed[0]._clean and parsed[8]._clean and parsed[0]._raw is None and parsed[8]._null is None
+    rescued = {r.i: r._rescued_data for r in landing.parse_lines(frame, PRODUCT).collect()}
+    assert rescued[0] is rescued[4] is rescued[8] is None
+    assert rescued[1] == '{"price":"n/a"}' and rescued[2] == '{"zz":"1"}' and rescued[9] == '{"_corrupt_line":"x"}'
+    assert "_malformed" in rescued[3] and "_malformed" in rescued[5] and rescued[7] is not None
+
+
+def test_bronze_rules_land_what_the_stream_reads(spark, sf_dir, monkeypatch):
+    from tidemart.plans import queries as q
+
+    def refused(*_, **__):
+        raise AssertionError("a snapshot that nothing reads was landed")
+
+    monkeypatch.setattr(q.landing, "write_snapshot", refused)
+    assert q.QUERIES["bronze_rules_stream"](spark, sf_dir).count() == 2

@@ -885,7 +885,7 @@ def stream_additive_schema(spark, sf_dir):
 def bronze_rules_stream(spark, sf_dir):
     """The Bronze rules as the ingesting stream counts them."""
     out, rules = scratch_path(spark, "bronze"), quality.BRONZE_EVENTS
-    watched = ingest.stream_events(spark, f"{_landed(spark, sf_dir)}/events", f"{out}/checkpoint", f"{out}/events", EVENT, rules=rules)
+    watched = ingest.stream_events(spark, _landed_events(spark, sf_dir), f"{out}/checkpoint", f"{out}/events", EVENT, rules=rules)
     rows = [(r["expectation"], r["total"], r["failing"], r["pass_rate"]) for r in ingest.counted(watched, rules)]
     return spark.createDataFrame(rows, "expectation string, total bigint, failing bigint, pass_rate double")
 
