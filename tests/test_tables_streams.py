@@ -354,3 +354,16 @@ def test_bronze_rules_land_what_the_stream_reads(spark, sf_dir, monkeypatch):
 
     monkeypatch.setattr(q.landing, "write_snapshot", refused)
     assert q.QUERIES["bronze_rules_stream"](spark, sf_dir).count() == 2
+
+
+def test_files_whose_rows_are_all_replaced_are_not_read_again(spark, monkeypatch):
+    table = tables.VersionedTable(spark, scratch_path(spark, "t"), ["place"])
+    frame = lambda rows: spark.createDataFrame(rows, "id string, place string, n int")
+    table.upsert(frame([("a", "x", 1), ("b", "x", 1), ("c", "y", 1), ("d", "y", 1), (None, "z", 1), ("e", "z", 1)]), ["id"])
+    opened, read = [], table._read_files
+    monkeypatch.setattr(table, "_read_files", lambda pointer, files: opened.extend(files) or read(pointer, files))
+    table.upsert(frame([("a", "x", 2), ("b", "y", 2), ("c", "y", 2), ("e", "z", 2)]), ["id"])
+    monkeypatch.undo()
+    assert {f.split("/")[1] for f in opened} == {"place=y", "place=z"}  # a null key is never replaced
+    want = [("", "z", 1), ("a", "x", 2), ("b", "y", 2), ("c", "y", 2), ("d", "y", 1), ("e", "z", 2)]
+    assert sorted((r.id or "", r.place, r.n) for r in table.read().collect()) == want

@@ -783,9 +783,10 @@ def fill_transport_fields(spark, sf_dir):
 def _bronze_files(spark, sf_dir) -> tuple[str, T.StructType]:
     """Both deliveries as a Bronze table of two appends."""
     path = scratch_path(spark, "bronze")
-    for delivery in _first_and_second(spark, sf_dir):
-        tables.append(delivery, path)
-    return path, spark.read.parquet(path).schema
+    tables.append(shop.first_delivery(spark, sf_dir), path)
+    first = spark.read.parquet(path)  # the files of the first append
+    tables.append(shop.second_delivery(first), path)
+    return path, first.schema
 
 
 @query

@@ -323,10 +323,14 @@ class VersionedTable:
         pointer = self.pointer(version)
         return self._read_files(pointer, self._partition_files(pointer, wanted))
 
+    def read_around(self, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """All rows of the files that may hold a row with the keys of ``source``, to be joined by the caller."""
+        pointer = self.pointer()
+        return self._read_files(pointer, self._candidates(pointer, source, keys) or [])
+
     def read_matching(self, source: DataFrame, keys: Sequence[str]) -> DataFrame:
         """The rows that share their keys with ``source``; only files that may hold one are opened."""
-        pointer = self.pointer()
-        return self._read_files(pointer, self._candidates(pointer, source, keys) or []).join(source.select(*keys).distinct(), list(keys), "left_semi")
+        return self.read_around(source, keys).join(source.select(*keys).distinct(), list(keys), "left_semi")
 
     @staticmethod
     def _require(details: dict, expected: dict) -> None:
@@ -401,23 +405,25 @@ class VersionedTable:
 
     def upsert(
         self, source: DataFrame, keys: Sequence[str], update_columns: Sequence[str] | None = None,
-        rules: Iterable[Rule] = (), keep: int = 0, notes: dict | None = None, settled: bool = False, **details,
+        rules: Iterable[Rule] = (), keep: int = 0, notes: dict | None = None, settled: bool = False, asked: DataFrame | None = None,
+        **details,
     ) -> int:
         """Idempotent merge; creates the table if absent.  ``rules`` guard the rows written.
 
         ``details`` are recorded when the table is created and must match them later.
 
         The source is written down first: it is computed once, and every step sees the same rows.  ``settled`` says that it is
-        cheap to read again and has one row per key; then neither is done.
+        cheap to read again and has one row per key; then neither is done.  ``asked`` holds the keys of such a source where they
+        are cheaper to read than the source itself, which is then computed once, by the write.
         """
         if settled:
-            return self._merge(source, list(keys), update_columns, rules, keep, notes, details)
+            return self._merge(source, source if asked is None else asked, list(keys), update_columns, rules, keep, notes, details)
         staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
         source.write.parquet(staging)
         try:
             rows = self.spark.read.schema(source.schema).parquet(staging)
             require_unique(rows, keys)
-            return self._merge(rows, list(keys), update_columns, rules, keep, notes, details)
+            return self._merge(rows, rows, list(keys), update_columns, rules, keep, notes, details)
         finally:
             self._delete(staging)
 
@@ -445,18 +451,25 @@ class VersionedTable:
         return version
 
     def _merge(
-        self, source: DataFrame, keys: list[str], update_columns, rules: Iterable[Rule], keep: int, notes: dict | None, details: dict
+        self, source: DataFrame, asked: DataFrame, keys: list[str], update_columns, rules: Iterable[Rule], keep: int, notes: dict | None,
+        details: dict,
     ) -> int:
         if not self.exists():
             self.keys = self.keys or keys
             return self.publish(source, rules, keep, notes=notes, **details)
         pointer = self.pointer()
         self._require(pointer["details"], details)
-        hit = self._matched_files(pointer, source, keys)
+        hit = self._matched_files(pointer, asked, keys)
         if hit is None:
             return pointer["version"]
-        result = merged(self._read_files(pointer, hit), source, keys, update_columns)
-        return self._replace(pointer, result, hit, rules, keep, notes)
+        if update_columns is None:  # rows of files that are replaced as a whole are not needed
+            partly = [f for f, rest in hit.items() if rest]
+            kept = self._read_files(pointer, partly)
+            kept = kept.join(asked.select(*keys), keys, "left_anti").select(*kept.columns) if partly else kept
+            result = kept.unionByName(source, allowMissingColumns=True)
+        else:
+            result = merged(self._read_files(pointer, hit), source, keys, update_columns)
+        return self._replace(pointer, result, list(hit), rules, keep, notes)
 
     def _replace(self, pointer: dict, result: DataFrame, gone: list[str], rules: Iterable[Rule], keep: int, notes: dict | None, layout: str | None = None) -> int:
         """A version in which the files ``gone`` are replaced by those of ``result``."""
@@ -502,18 +515,20 @@ class VersionedTable:
             found = holding(found, hashes.to_numpy(np.int64))
         return self._named(found)
 
-    def _matched_files(self, pointer: dict, source: DataFrame, keys: Sequence[str]) -> list[str] | None:
-        """Files with a row to update; None if ``source`` has no row."""
+    def _matched_files(self, pointer: dict, source: DataFrame, keys: Sequence[str]) -> dict[str, bool] | None:
+        """Files with a row to update, and whether they have others besides; None if ``source`` has no row."""
         some = self._candidates(pointer, source, keys)
         if not some:
-            return some
+            return None if some is None else {}
         schema = T.StructType.fromJson(pointer["schema"])
         placed = (
             self.spark.read.schema(schema).option("basePath", self.path).parquet(*[f"{self.path}/{f}" for f in some])
             .select(*[f"`{k}`" for k in keys], F.col("_metadata.file_path").alias("_uri"))
         )
-        met = placed.join(source.select(*keys), list(keys), "left_semi").select("_uri").distinct()
-        return self._named(met.select(self._place(F.col("_uri")).alias("file")))
+        met = placed.join(source.select(*keys), list(keys), "left_semi").groupBy("_uri").agg(F.count(F.lit(1)).alias("met"))
+        held = self._entries(pointer).groupBy("file").agg(F.sum("rows").alias("held"))
+        found = met.select(self._place(F.col("_uri")).alias("file"), "met").join(held, "file")
+        return {r.file: r.rest for r in found.select("file", (F.col("met") < F.col("held")).alias("rest")).collect()}
 
     def optimize(self, columns: Sequence[str], files: int, keep: int = 0) -> int:
         """Lay the files that are not yet clustered by ``columns`` along their curve, in about ``files`` files for the whole table.

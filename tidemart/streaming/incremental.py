@@ -15,7 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import fingerprint, whole_seconds
@@ -83,39 +83,66 @@ class SilverEvents:
         finally:
             self._clear()
 
-    def _winners(self, fresh: DataFrame, stored: DataFrame) -> DataFrame:
-        """Arrived rows that are newer than the stored copy of their event; of equal copies the stored one stays."""
-        both = fresh.withColumn("_new", F.lit(True)).unionByName(stored.select(*fresh.columns).withColumn("_new", F.lit(False)))
-        order: list[Column] = [F.col(c).desc_nulls_last() for c in ("_ingest_ts", "_source_file") if c in fresh.columns]
-        order += [fingerprint(fresh).desc(), F.col("_new").asc()]
-        return latest_per_key(both, "event_id", order).where("_new").drop("_new")
+    def _met(self, fresh: DataFrame, stored: DataFrame) -> DataFrame:
+        """Stored copies of arrived events: their visitor and day, and whether the arrived copy is newer.
+
+        Of equal copies the stored one stays.  Only keys and ranks are shuffled, no whole rows.
+        """
+        kinds = fresh.unionByName(stored.select(*fresh.columns)).schema  # hashes depend on the type
+        order = [c for c in ("_ingest_ts", "_source_file") if c in fresh.columns]
+
+        def rank(df: DataFrame) -> DataFrame:  # nulls are least, so last of the newest
+            alike = df.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in kinds})
+            return alike.withColumn("_rank", F.struct(*order, fingerprint(alike.select(*fresh.columns)).alias("_hash")))
+
+        held = rank(stored).select("event_id", "_visitor", "_day", F.col("_rank").alias("_held"))
+        return held.join(rank(fresh).select("event_id", "_rank"), "event_id").select(
+            "event_id", "_visitor", "_day", (F.col("_rank") > F.col("_held")).alias("_newer"))
 
     def _merge(self, fresh: DataFrame, keep: int) -> int | None:
-        stored = self._stage(self._as_arrived(self.table.read_matching(fresh, ["event_id"])))
-        new = self._stage(self._winners(fresh, stored).withColumn("_visitor", visitor_of(self.anonymous_key)))
+        """Rows are numbered by their ids, visitors and times alone; whole rows meet their number once, when they are written."""
+        met = self._stage(self._met(fresh, self._as_arrived(self.table.read_around(fresh, ["event_id"]))))
+        older = met.where("NOT _newer").select("event_id")
+        new = fresh if older.isEmpty() else self._stage(fresh.join(older, "event_id", "left_anti").select(*fresh.columns))
         if new.isEmpty():  # all copies are older than what is stored
             return self.table.version()
-        replaced = stored.join(new.select("event_id"), "event_id", "left_semi")
+        replaced = met.where("_newer")
         touched = self._stage(
-            new.select("_visitor", F.to_date("event_ts").alias("day")).union(replaced.select("_visitor", F.col("_day")))
+            new.select(visitor_of(self.anonymous_key).alias("_visitor"), F.to_date("event_ts").alias("day"))
+            .union(replaced.select("_visitor", "_day"))
             .groupBy("_visitor").agg(F.min("day").alias("_from")))
         known = self._stage(self.state.read_matching(touched, ["_visitor"]).where("last_second IS NOT NULL").join(touched, "_visitor"))
         latest = F.max(F.struct("event_date", "last_second", "last_number")).alias("s")
         seed = known.where("event_date < _from").groupBy("_visitor").agg(latest).select(
             "_visitor", F.col("s.last_second").alias("_seed_second"), F.col("s.last_number").alias("_seed_number"))
         later = known.where("event_date >= _from")
+        narrow = list(dict.fromkeys(["event_id", "event_ts", "user_id", *([self.anonymous_key] if self.anonymous_key else [])]))
         theirs = (
             self._as_arrived(self.table.read_partitions(later.select("event_date").distinct()))
+            .select(*narrow, "_old", "_visitor", "_day")
             .join(touched, "_visitor").where("_day >= _from")
-            .join(new.select("event_id"), "event_id", "left_anti")
+            .join(replaced.select("event_id"), "event_id", "left_anti")
         )
-        columns = [c for c in fresh.columns]
-        rows = theirs.select(*columns, "_old").unionByName(new.select(*columns, F.lit(None).cast("string").alias("_old")))
+        rows = theirs.select(*narrow, "_old").unionByName(new.select(*narrow, F.lit(None).cast("string").alias("_old")))
         numbered = self._stage(self._sessionized(rows, seed))
-        changed = numbered.where("NOT session_id_silver <=> _old").drop("_old")
-        version = self.table.upsert(changed, ["event_id"], rules=self.rules, keep=keep, settled=True, anonymous_key=self.anonymous_key)
+        changed = numbered.where("NOT session_id_silver <=> _old").select("event_id", "_old", "session_id_silver", "event_date")
+        version = self.table.upsert(
+            self._whole(changed, new), ["event_id"], rules=self.rules, keep=keep, settled=True, asked=changed.select("event_id"),
+            anonymous_key=self.anonymous_key)
         days = self._days_of(numbered.drop("_old"))
         emptied = later.join(days, ["_visitor", "event_date"], "left_anti").select(
             "_visitor", "event_date", F.lit(None).cast("long").alias("last_second"), F.lit(None).cast("long").alias("last_number"))
         self.state.upsert(self._stage(days.unionByName(emptied)), ["_visitor", "event_date"], keep=2, notes={"silver": version}, settled=True)
         return version
+
+    def _whole(self, changed: DataFrame, new: DataFrame) -> DataFrame:
+        """Silver rows of ``changed``: arrived ones, and stored ones under another number."""
+        ids = ["event_id", "session_id_silver", "event_date"]
+        rows = new.withColumnRenamed("session_id", "session_id_raw").join(changed.where("_old IS NULL").select(*ids), "event_id")
+        columns = ["session_id_raw" if c == "session_id" else c for c in new.columns] + ids[1:]
+        rows = rows.select(*columns)
+        moved = changed.where("_old IS NOT NULL")
+        if moved.isEmpty():
+            return rows
+        stored = self.table.read_partitions(moved.select("event_date").distinct()).drop("session_id_silver", "event_date")
+        return rows.unionByName(stored.join(moved.select(*ids), "event_id").select(*columns))
