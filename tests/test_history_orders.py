@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidemart.operators import history, marts, orders
@@ -145,3 +146,27 @@ def test_versions_shuffle_each_tracked_column_once(spark):
     assert [r.t[-2:] for r in sliced.orderBy("version").collect()] == ["01", "03", "04", "05"]
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert "struct(" not in plan
+
+
+def test_a_delivery_of_snapshots_is_written_once(spark, monkeypatch):
+    from tidemart.session import scratch_path
+    from tidemart.sources.tables import VersionedTable
+    from tidemart.streaming.dimensions import Dimension
+
+    rows = [(k, f"2024-01-0{d}", c) for k in "ab" for d, c in ((1, "x"), (2, "x"), (3, "y"), (4, "y"), (5, "x"))]
+    frame = lambda some: spark.createDataFrame(some, "k string, t string, color string").select("k", F.col("t").cast("timestamp").alias("updated_ts"), "color")
+    table = VersionedTable(spark, scratch_path(spark, "dim"))
+    dim = Dimension(spark, table, "k", ["color"])
+    dim.merge(frame(rows[2::3]), 0)
+    read = []
+    monkeypatch.setattr("pyspark.sql.DataFrameWriter.parquet", lambda w, path, *a, _own=DataFrameWriter.parquet: read.append(path) or _own(w, path, *a))
+    dim.merge(frame(rows[::3]), 1)
+    monkeypatch.undo()
+    assert sum(p.startswith(f"{table.path}_snapshots/v=") for p in read) == 1
+    assert not [p for p in read if p.startswith((f"{table.path}_work/", f"{table.path}/_staging/"))]  # no more are the versions
+    dim.merge(frame(rows[1::3]), 2)
+    dim.merge(frame(rows[1::3]), 2)  # repeated
+    dim.merge(frame([]), 3)
+    assert dim.snapshots.read().count() == 10
+    want = history.versions(frame(rows), "k", ["color"])
+    assert sorted(map(str, table.read().select(*want.columns).collect())) == sorted(map(str, want.collect()))

@@ -323,6 +323,11 @@ class VersionedTable:
         pointer = self.pointer(version)
         return self._read_files(pointer, self._partition_files(pointer, wanted))
 
+    def read_written(self, version: int) -> DataFrame:
+        """The rows that one publish, append or merge wrote."""
+        schema = T.StructType.fromJson(self.pointer(version)["schema"])
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(f"{self.path}/v={version}").select(*schema.names)
+
     def read_around(self, source: DataFrame, keys: Sequence[str]) -> DataFrame:
         """All rows of the files that may hold a row with the keys of ``source``, to be joined by the caller."""
         pointer = self.pointer()
@@ -414,7 +419,8 @@ class VersionedTable:
 
         The source is written down first: it is computed once, and every step sees the same rows.  ``settled`` says that it is
         cheap to read again and has one row per key; then neither is done.  ``asked`` holds the keys of such a source where they
-        are cheaper to read than the source itself, which is then computed once, by the write.
+        are cheaper to read than the source itself, which is then computed once, by the write; it may have several rows per key then,
+        which take the place of all rows of that key.
         """
         if settled:
             return self._merge(source, source if asked is None else asked, list(keys), update_columns, rules, keep, notes, details)

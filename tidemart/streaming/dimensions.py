@@ -37,23 +37,23 @@ class Dimension:
         if not self.snapshots.exists():
             self.snapshots.publish(keyed_rows(arrived, self.key), keep=2, notes={"batch": batch})
             return self._number(self.snapshots.read(), arrived.columns, keep)
-        staging = f"{self.table.path}_work/{batch if batch is not None else 'now'}"
-        keyed_rows(arrived, self.key).write.mode("overwrite").parquet(staging)
-        try:
-            rows = self.spark.read.schema(arrived.schema).parquet(staging)
-            if batch is None or self.snapshots.pointer()["notes"].get("batch") != batch:
-                if rows.isEmpty():
-                    return self.table.version()
-                self.snapshots.append(rows, keep=2, notes={"batch": batch})
-            theirs = self.snapshots.read_matching(rows, [self.key]) if self.table.exists() else self.snapshots.read()
-            return self._number(theirs, arrived.columns, keep)
-        finally:
-            self.table._delete(staging)
-
-    def _number(self, snapshots: DataFrame, columns: list[str], keep: int) -> int:
-        """Merges the versions of all keys of ``snapshots``, which holds every snapshot of theirs."""
+        pointer = self.snapshots.pointer()
+        if batch is None or pointer["notes"].get("batch") != batch:
+            version = self.snapshots.append(keyed_rows(arrived, self.key), keep=2, notes={"batch": batch})
+        else:
+            version = pointer["version"]
+        if not self.table.exists():
+            return self._number(self.snapshots.read(), arrived.columns, keep)
+        rows = self.snapshots.read_written(version)  # what arrived, as it was written
+        if rows.isEmpty():
+            return self.table.version()
+        return self._number(self.snapshots.read_matching(rows, [self.key]), arrived.columns, keep, rows.select(self.key).distinct())
+
+    def _number(self, snapshots: DataFrame, columns: list[str], keep: int, keys: DataFrame | None = None) -> int:
+        """The versions of all keys of ``snapshots``, which holds every snapshot of theirs, take the place of what these ``keys`` had."""
         made = versions(snapshots.select(*columns), self.key, self.tracked, **self.options)
         if not self.table.exists():
-            self.table.keys = self.table.keys or [self.key, "version"]
+            self.table.keys = self.table.keys or [self.key]
             return self.table.publish(made, self.rules, keep=keep)
-        return self.table.upsert(made, [self.key, "version"], rules=self.rules, keep=keep)
+        asked = snapshots.select(self.key).distinct() if keys is None else keys
+        return self.table.upsert(made, [self.key], rules=self.rules, keep=keep, settled=True, asked=asked)
