@@ -367,3 +367,15 @@ def test_files_whose_rows_are_all_replaced_are_not_read_again(spark, monkeypatch
     assert {f.split("/")[1] for f in opened} == {"place=y", "place=z"}  # a null key is never replaced
     want = [("", "z", 1), ("a", "x", 2), ("b", "y", 2), ("c", "y", 2), ("d", "y", 1), ("e", "z", 2)]
     assert sorted((r.id or "", r.place, r.n) for r in table.read().collect()) == want
+
+
+def test_backfill_reads_the_source_tables_once(spark, sf_dir, monkeypatch):
+    """What is published and what is replayed come from rows that were written down, not from the source tables again."""
+    from tidemart.streaming.incremental import SilverEvents
+
+    given = []
+    monkeypatch.setattr(tables.VersionedTable, "publish", lambda self, df, *a, **o: given.append(df))
+    monkeypatch.setattr(SilverEvents, "merge", lambda self, bronze, keep=10: given.append(bronze))
+    with pytest.raises(FileNotFoundError):  # nothing was published here
+        QUERIES["backfill_window"](spark, sf_dir)
+    assert len(given) == 2 and not [f for df in given for f in df.inputFiles() if sf_dir in f]

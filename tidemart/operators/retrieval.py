@@ -271,7 +271,19 @@ def nearest_postfiltered(
     **blocks,
 ) -> DataFrame:
     """Score first, then join current attributes and filter; not trimmed back to k."""
-    hits = nearest(queries, candidates, dim, max(k, 1) * max(oversample, 1), **blocks)
+    return filtered_hits(oversampled(queries, candidates, dim, k, oversample, **blocks), queries, products, categories)
+
+
+def oversampled(queries: DataFrame, candidates: DataFrame, dim: int, k: int, oversample: int = OVERSAMPLE, **blocks) -> DataFrame:
+    """The hits of a post-filtered search before its filter."""
+    return nearest(queries, candidates, dim, max(k, 1) * max(oversample, 1), **blocks)
+
+
+def filtered_hits(hits: DataFrame, queries: DataFrame, products: DataFrame, categories: Sequence[str] = PRODUCT_CATEGORIES) -> DataFrame:
+    """Hits with the current attributes of their products, if they pass their query's filter.
+
+    ``products`` needs no versions but those of the hits' products.
+    """
     wants = with_filters(queries, categories).select(
         "query_id", F.col("category").alias("_category"), F.col("max_price").alias("_ceiling")
     )

@@ -922,9 +922,10 @@ def scd2_users_by_deliveries(spark, sf_dir):
 @query
 def backfill_window(spark, sf_dir):
     """Silver from what was ingested before the 20th, then a replay of the days from there on."""
-    bronze = shop.bronze_events(spark, sf_dir)
+    bronze = shop.delivered_twice(_stored(spark, shop.first_delivery(spark, sf_dir), "first"))
     table = tables.VersionedTable(spark, scratch_path(spark, "silver"), ["event_date"], keys=["event_id"])
-    table.publish(sessions.silver_events(bronze.where("_ingest_ts < TIMESTAMP '2024-01-20'"), 720), anonymous_key=None)
+    clean = _stored(spark, ev.clean_events(bronze.where("_ingest_ts < TIMESTAMP '2024-01-20'")), "clean")
+    table.publish(sessions.sessionize(clean, 720), anonymous_key=None)
     incremental.SilverEvents(spark, table, 720).merge(sessions.ingested_between(bronze, "2024-01-20", "2024-03-01"))
     return _silver_cols(table.read())
 

@@ -116,7 +116,11 @@ def second_delivery(first: DataFrame) -> DataFrame:
 
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both deliveries from one scan."""
-    copies = first_delivery(spark, sf_dir).withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    return delivered_twice(first_delivery(spark, sf_dir))
+
+
+def delivered_twice(first: DataFrame) -> DataFrame:
+    copies = first.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
     return _delivered(copies, F.col("_copy")).drop("_copy")
 
 
