@@ -248,3 +248,29 @@ def test_tiers_make_the_versions_once(spark, sf_dir):
     found = retrieval.tiered_search(q._tier_queries(spark, sf_dir, vectors), vectors, products, q.DIM, 5, q.CATEGORIES)
     assert "valid_from" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert found.where("name IS NULL").isEmpty() and not found.isEmpty()
+
+
+def test_versions_are_made_of_the_hits_products_alone(spark, sf_dir, monkeypatch):
+    from tidemart.operators import history
+    from tidemart.plans import queries
+
+    given, make = [], history.versions
+    monkeypatch.setattr(history, "versions", lambda snapshots, *a, **o: given.append(snapshots) or make(snapshots, *a, **o))
+    found = queries._candidates(spark, sf_dir)
+    monkeypatch.undo()
+    vectors = queries.shop.embedding_vectors(spark, sf_dir)
+    asked = queries._filtered_queries(spark, sf_dir, vectors)
+    hits = queries.retrieval.oversampled(asked, vectors, queries.DIM, 20)
+    theirs = queries.shop.product_snapshots(spark, sf_dir).join(hits, "product_id", "left_semi")
+    assert [g.count() for g in given] == [theirs.count()]
+    want = queries.retrieval.nearest_postfiltered(asked, vectors, queries._products(spark, sf_dir), queries.DIM, 20, categories=queries.CATEGORIES)
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.select(*found.columns).collect()))
+
+
+def test_signals_carry_their_own_columns(spark, sf_dir, monkeypatch):
+    from tidemart.plans import queries
+
+    written, store = {}, queries._stored
+    monkeypatch.setattr(queries, "_stored", lambda spark, df, label: written.setdefault(label, df.columns) and store(spark, df, label))
+    queries._signals(spark, sf_dir)
+    assert set(written) == {"clean", "silver", "lines"} and "properties" not in written["silver"] and "page_url" not in written["clean"]

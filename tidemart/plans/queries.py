@@ -19,7 +19,7 @@ from ..operators import events as ev
 from ..schemas import (
     EMBEDDING, EVENT, ORDER_KEYS, PRODUCT_TRACKED, USER, USER_TRACKED, with_ingest_columns,
 )
-from ..session import scratch_path, use_utc
+from ..session import scratch_path, stage, use_utc
 from ..sources import landing, shop, tables
 from ..streaming import dimensions, incremental, ingest, popularity, stateful
 from .refresh import refresh
@@ -460,12 +460,19 @@ def knn_prefiltered(spark, sf_dir):
     return retrieval.nearest_prefiltered(_filtered_queries(spark, sf_dir, vectors), candidates, DIM, 15)
 
 
+def _postfiltered(spark, sf_dir, k):
+    """Hits first; versions are made of the snapshots of their products, not of every product."""
+    vectors = shop.embedding_vectors(spark, sf_dir)
+    asked = stage(_filtered_queries(spark, sf_dir, vectors), "asked")
+    hits = stage(retrieval.oversampled(asked, vectors, DIM, k), "hits")
+    theirs = shop.product_snapshots(spark, sf_dir, of=hits.select("product_id").distinct())
+    products = history.versions(_stored(spark, theirs, "snapshots"), "product_id", PRODUCT_TRACKED)
+    return retrieval.filtered_hits(hits, asked, products, CATEGORIES)
+
+
 @query
 def knn_postfiltered(spark, sf_dir):
-    vectors = shop.embedding_vectors(spark, sf_dir)
-    return retrieval.nearest_postfiltered(
-        _filtered_queries(spark, sf_dir, vectors), vectors, _products(spark, sf_dir), DIM, 10, categories=CATEGORIES
-    ).drop("currency")
+    return _postfiltered(spark, sf_dir, 10).drop("currency")
 
 
 @query
@@ -493,8 +500,16 @@ def tiered_search(spark, sf_dir):
 
 # ---- ranking ---------------------------------------------------------------------------
 
+SIGNAL_COLUMNS = list(dict.fromkeys([
+    "event_id", "event_type", "event_ts", "user_id", "product_id", "category", "price", "quantity",
+    *[c for c in ORDER_KEYS if c != "session_id_silver"],
+]))
+
+
 def _signals(spark, sf_dir):
-    events = _stored_silver(spark, sf_dir)
+    """Silver in the columns that signals are made of; latest copies are written once, as sessions read them twice."""
+    clean = _stored(spark, ev.clean_events(shop.bronze_events(spark, sf_dir)).select(*SIGNAL_COLUMNS), "clean")
+    events = _stored(spark, sessions.sessionize(clean, 720), "silver")
     lines, totals = _lines_and_totals(spark, events)
     return ranking.product_signals(events, totals, AS_OF, lines=lines)
 
@@ -526,10 +541,7 @@ def popularity_score(spark, sf_dir):
 
 
 def _candidates(spark, sf_dir):
-    vectors = shop.embedding_vectors(spark, sf_dir)
-    return retrieval.nearest_postfiltered(
-        _filtered_queries(spark, sf_dir, vectors), vectors, _products(spark, sf_dir), DIM, 20, categories=CATEGORIES
-    )
+    return _postfiltered(spark, sf_dir, 20)
 
 
 @query

@@ -180,10 +180,14 @@ def user_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def product_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A snapshot per part and shipping day: the best discount sets the price."""
+def product_snapshots(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
+    """A snapshot per part and shipping day: the best discount sets the price; of the products ``of`` (product_id), if given."""
     use_utc(spark)
-    days = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_shipdate").agg(
+    lines = table(spark, sf_dir, "lineitem")
+    if of is not None:  # before the days are grouped
+        product = F.concat(F.lit("p_"), F.col("l_partkey").cast("string"))
+        lines = lines.join(of, product == of["product_id"], "left_semi")
+    days = lines.groupBy("l_partkey", "l_shipdate").agg(
         F.max("l_discount").alias("discount"),
         F.bool_or(F.col("l_returnflag") != "R").alias("active"),
     )
