@@ -89,3 +89,20 @@ def test_whole_rows_are_written_once_per_merge(spark, monkeypatch):
     silver.merge(spark.createDataFrame(late, SCHEMA))  # two equal copies and an older one
     full = silver_events(spark.createDataFrame(rows + late, SCHEMA), 600)
     assert sorted(map(str, table.read().select(*full.columns).collect())) == sorted(map(str, full.collect()))
+
+
+def test_rows_are_hashed_for_ties_alone(spark, monkeypatch):
+    from tidemart.streaming import incremental
+
+    rows = [(f"e{i}", "page_view", START, "u", "s", float(i), START, "f") for i in range(9)]
+    silver = SilverEvents(spark, VersionedTable(spark, scratch_path(spark, "silver"), ["event_date"]), 600)
+    hashed, own = [], incremental.fingerprint
+    monkeypatch.setattr(incremental, "fingerprint", lambda df: hashed.append(df) or own(df))
+    frame = lambda *some: spark.createDataFrame(some, SCHEMA).withColumn("_visitor", F.lit("u")).withColumn("_day", F.to_date("event_ts"))
+    stored, fresh = frame(*rows), lambda *some: spark.createDataFrame(some, SCHEMA)
+    met = silver._met(fresh(*((*r[:7], "g") for r in rows[:4]), *((*r[:7], "a") for r in rows[4:]), ("n", *rows[0][1:])), stored)
+    assert {r.event_id: r._newer for r in met.collect()} == {f"e{i}": i < 4 for i in range(9)} and not hashed
+    assert [r._newer for r in silver._met(fresh(rows[0]), stored).collect()] == [False] and len(hashed) == 2  # equal copies
+    other = fresh((*rows[0][:5], 7.5, *rows[0][6:]))
+    a, b = (df.select(own(df.select(*fresh(rows[0]).columns))).first()[0] for df in (other, stored.where("event_id = 'e0'")))
+    assert [r._newer for r in silver._met(other, stored).collect()] == [a > b]

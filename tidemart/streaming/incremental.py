@@ -86,22 +86,27 @@ class SilverEvents:
     def _met(self, fresh: DataFrame, stored: DataFrame) -> DataFrame:
         """Stored copies of arrived events: their visitor and day, and whether the arrived copy is newer.
 
-        Of equal copies the stored one stays.  Only keys and ranks are shuffled, no whole rows.
+        Of equal copies the stored one stays.  Whole rows are read, for their hashes, only if copies came at the same time from the
+        same file; none is shuffled.
         """
-        kinds = fresh.unionByName(stored.select(*fresh.columns)).schema  # hashes depend on the type
-        order = [c for c in ("_ingest_ts", "_source_file") if c in fresh.columns]
-
-        def rank(df: DataFrame) -> DataFrame:  # nulls are least, so last of the newest
-            alike = df.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in kinds})
-            return alike.withColumn("_rank", F.struct(*order, fingerprint(alike.select(*fresh.columns)).alias("_hash")))
-
-        held = rank(stored).select("event_id", "_visitor", "_day", F.col("_rank").alias("_held"))
-        return held.join(rank(fresh).select("event_id", "_rank"), "event_id").select(
-            "event_id", "_visitor", "_day", (F.col("_rank") > F.col("_held")).alias("_newer"))
+        kinds = fresh.unionByName(stored.select(*fresh.columns)).schema  # order and hashes depend on the type
+        fresh, stored = (df.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in kinds}) for df in (fresh, stored))
+        rank = F.struct(F.lit(0), *[c for c in ("_ingest_ts", "_source_file") if c in fresh.columns])  # nulls are least, so last of the newest
+        held = stored.select("event_id", "_visitor", "_day", rank.alias("_held")).join(fresh.select("event_id", rank.alias("_rank")), "event_id")
+        met = self._stage(held.select(
+            "event_id", "_visitor", "_day", (F.col("_rank") > F.col("_held")).alias("_newer"), (F.col("_rank") == F.col("_held")).alias("_same")))
+        same = met.where("_same").select("event_id")
+        if same.isEmpty():
+            return met.drop("_same")
+        hashed = [df.select("event_id", fingerprint(df.select(*kinds.names)).alias(name)).join(same, "event_id", "left_semi")
+                  for df, name in ((fresh, "_hash"), (stored, "_held_hash"))]
+        later = hashed[0].join(hashed[1], "event_id").where("_hash > _held_hash").select("event_id", F.lit(True).alias("_later"))
+        newer = F.col("_newer") | (F.col("_same") & F.coalesce("_later", F.lit(False)))
+        return self._stage(met.join(later, "event_id", "left").select("event_id", "_visitor", "_day", newer.alias("_newer")))
 
     def _merge(self, fresh: DataFrame, keep: int) -> int | None:
         """Rows are numbered by their ids, visitors and times alone; whole rows meet their number once, when they are written."""
-        met = self._stage(self._met(fresh, self._as_arrived(self.table.read_around(fresh, ["event_id"]))))
+        met = self._met(fresh, self._as_arrived(self.table.read_around(fresh, ["event_id"])))
         older = met.where("NOT _newer").select("event_id")
         new = fresh if older.isEmpty() else self._stage(fresh.join(older, "event_id", "left_anti").select(*fresh.columns))
         if new.isEmpty():  # all copies are older than what is stored
