@@ -379,3 +379,42 @@ def test_backfill_reads_the_source_tables_once(spark, sf_dir, monkeypatch):
     with pytest.raises(FileNotFoundError):  # nothing was published here
         QUERIES["backfill_window"](spark, sf_dir)
     assert len(given) == 2 and not [f for df in given for f in df.inputFiles() if sf_dir in f]
+
+
+def _own_shop(spark, monkeypatch):
+    """The queries' deliveries and snapshots, of a few rows made here."""
+    from tidemart.plans import queries as q
+    from tidemart.schemas import USER, loosened
+
+    def whole(rows, schema):
+        return spark.createDataFrame([], loosened(schema)).unionByName(rows, allowMissingColumns=True)
+
+    at = F.to_timestamp(F.lit("2024-01-01")) + F.make_dt_interval(hours=F.col("id").cast("int"))
+    keyed = lambda key: spark.range(25).select((F.col("id") % 5).cast("string").alias(key), at.alias("updated_ts")).coalesce(1)
+    made = {"events": whole(events(spark, 25), EVENT), "users": whole(keyed("user_id"), USER), "products": whole(keyed("product_id"), PRODUCT)}
+    for function, name in (("first_delivery", "events"), ("user_snapshots", "users"), ("product_snapshots", "products")):
+        monkeypatch.setattr(q.shop, function, lambda *_, rows=made[name]: rows)
+    return q, made
+
+
+def _landed_files(src):
+    import os
+
+    return [f"{d}/{f}" for d, _, names in os.walk(src) for f in names if f.startswith("part-")]
+
+
+def test_a_refresh_finds_its_landing_files_packed(spark, sf_dir, monkeypatch):
+    """Plain lines took most of the disk of a refresh.  A packed snapshot has files enough for several tasks, and the same rows."""
+    q, made = _own_shop(spark, monkeypatch)
+    monkeypatch.setattr(landing, "PACKED_ROWS", 10, raising=False)
+    src = q._landed(spark, sf_dir)
+    for name, rows in made.items():
+        files = _landed_files(f"{src}/{name}")
+        assert files and all(f.endswith(".json.gz") for f in files), files
+        back = landing.read_json_lines(spark, f"{src}/{name}", rows.schema)
+        assert back.count() == 25 and back.select("updated_ts" if name != "events" else "event_ts").exceptAll(
+            rows.select("updated_ts" if name != "events" else "event_ts")).isEmpty()
+        assert name == "events" or len(files) >= 3
+    one = scratch_path(spark, "landing")
+    landing.write_snapshot(made["users"], one, files=1, gzip=True)
+    assert len(_landed_files(one)) == 1

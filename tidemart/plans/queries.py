@@ -844,10 +844,11 @@ def live_sessions(spark, sf_dir):
 
 
 def _landed(spark, sf_dir) -> str:
+    """Packed, as a refresh keeps its landing files beside all that it makes of them."""
     src = scratch_path(spark, "landing")
-    landing.write_landing(shop.first_delivery(spark, sf_dir).select(*EVENT.names), f"{src}/events")
-    landing.write_snapshot(shop.user_snapshots(spark, sf_dir), f"{src}/users")
-    landing.write_snapshot(shop.product_snapshots(spark, sf_dir), f"{src}/products")
+    landing.write_landing(shop.first_delivery(spark, sf_dir).select(*EVENT.names), f"{src}/events", gzip=True)
+    landing.write_snapshot(shop.user_snapshots(spark, sf_dir), f"{src}/users", gzip=True)
+    landing.write_snapshot(shop.product_snapshots(spark, sf_dir), f"{src}/products", gzip=True)
     return src
 
 

@@ -15,6 +15,9 @@ WIRE_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 # Folders such as dt=2024-01-01 must not become columns.
 FILE_OPTIONS = {"recursiveFileLookup": "true"}
 WRITE_OPTIONS = {"ignoreNullFields": "false", "timestampFormat": WIRE_TIME}
+# Lines repeat their field names: packed they take about an eighth of the disk.  The fastest level does that at over twice the default's speed.
+PACKED_OPTIONS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+PACKED_ROWS = 250_000  # of a snapshot file: tasks can share files, but not a packed one
 
 
 TEXT_MAP = T.MapType(T.StringType(), T.StringType())
@@ -110,13 +113,18 @@ def write_landing(df: DataFrame, path: str, ts: str = "event_ts", rows_per_file:
     dated = df.withColumn("dt", F.date_format(F.col(ts), "yyyy-MM-dd"))
     writer = dated.hint("rebalance", "dt").write.mode("append").partitionBy("dt")
     if gzip:
-        writer = writer.option("compression", "gzip")
+        writer = writer.options(**PACKED_OPTIONS)
     writer.option("maxRecordsPerFile", rows_per_file).options(**WRITE_OPTIONS).json(path)
 
 
-def write_snapshot(df: DataFrame, path: str, files: int | None = None) -> None:
+def write_snapshot(df: DataFrame, path: str, files: int | None = None, gzip: bool = False) -> None:
     """Entity snapshot as JSON lines; ``files=1`` writes one file, for small entity tables only."""
-    (df.coalesce(files) if files else df).write.mode("append").options(**WRITE_OPTIONS).json(path)
+    writer = (df.coalesce(files) if files else df).write.mode("append").options(**WRITE_OPTIONS)
+    if gzip:
+        writer = writer.options(**PACKED_OPTIONS)
+        if not files:
+            writer = writer.option("maxRecordsPerFile", PACKED_ROWS)
+    writer.json(path)
 
 
 def check_contract(posted: DataFrame, batch: str | None = None, line: str = "value", max_batch: int = MAX_BATCH) -> tuple[DataFrame, DataFrame]:
