@@ -418,3 +418,27 @@ def test_a_refresh_finds_its_landing_files_packed(spark, sf_dir, monkeypatch):
     one = scratch_path(spark, "landing")
     landing.write_snapshot(made["users"], one, files=1, gzip=True)
     assert len(_landed_files(one)) == 1
+
+
+def test_a_refresh_leaves_no_shuffle_files(spark, sf_dir, monkeypatch):
+    import time
+
+    from tidemart import session
+
+    def shuffled():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        found = manager.getAllFiles().mkString("\n").split("\n")
+        return {f.rsplit("/", 1)[-1] for f in found if "/shuffle_" in f}
+
+    q, _ = _own_shop(spark, monkeypatch)
+    before = shuffled()
+    made = q.refresh(spark, q._landed(spark, sf_dir), scratch_path(spark, "warehouse"), q.AS_OF, 720)
+    left = shuffled() - before
+    for _ in range(50):  # they go in the background
+        if not left:
+            break
+        time.sleep(0.2)
+        left = shuffled() - before
+    assert not left and spark.conf.get(session.DROP_SHUFFLES) == "false"
+    counts = {name: table.read().count() for name, table in made.items()}
+    assert len(counts) == 8 and counts["events"] == 25 and counts["dim_users_scd2"] == counts["dim_products_scd2"] == 5

@@ -19,7 +19,7 @@ from ..operators import events as ev
 from ..schemas import (
     EMBEDDING, EVENT, ORDER_KEYS, PRODUCT_TRACKED, USER, USER_TRACKED, with_ingest_columns,
 )
-from ..session import scratch_path, stage, use_utc
+from ..session import scratch_path, shuffles_dropped, stage, use_utc
 from ..sources import landing, shop, tables
 from ..streaming import dimensions, incremental, ingest, popularity, stateful
 from .refresh import refresh
@@ -846,9 +846,10 @@ def live_sessions(spark, sf_dir):
 def _landed(spark, sf_dir) -> str:
     """Packed, as a refresh keeps its landing files beside all that it makes of them."""
     src = scratch_path(spark, "landing")
-    landing.write_landing(shop.first_delivery(spark, sf_dir).select(*EVENT.names), f"{src}/events", gzip=True)
-    landing.write_snapshot(shop.user_snapshots(spark, sf_dir), f"{src}/users", gzip=True)
-    landing.write_snapshot(shop.product_snapshots(spark, sf_dir), f"{src}/products", gzip=True)
+    with shuffles_dropped(spark):
+        landing.write_landing(shop.first_delivery(spark, sf_dir).select(*EVENT.names), f"{src}/events", gzip=True)
+        landing.write_snapshot(shop.user_snapshots(spark, sf_dir), f"{src}/users", gzip=True)
+        landing.write_snapshot(shop.product_snapshots(spark, sf_dir), f"{src}/products", gzip=True)
     return src
 
 

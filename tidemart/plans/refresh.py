@@ -21,6 +21,7 @@ from ..operators.marts import abandoned_carts, daily_sales, funnel, user_360
 from ..operators.orders import fact_orders
 from ..operators.sessions import silver_events
 from ..schemas import EVENT, PRODUCT, PRODUCT_TRACKED, USER, USER_TRACKED, loosened, with_ingest_columns
+from ..session import shuffles_dropped
 from ..sources.tables import VersionedTable
 from ..streaming.dimensions import Dimension
 from ..streaming.incremental import SilverEvents
@@ -215,15 +216,16 @@ class Refresh:
         return sorted((r[0] for r in partitions.collect()), key=str)
 
     def run(self, as_of: str) -> dict[str, VersionedTable]:
-        try:
-            self.ingest()
-            self.silver()
-            self.marts(as_of)
-        finally:
-            self._clear()
-        if self.cluster:
-            for name, columns in CLUSTERED.items():
-                self.table(name).optimize(columns, CLUSTERED_FILES, self.keep)
+        with shuffles_dropped(self.spark):
+            try:
+                self.ingest()
+                self.silver()
+                self.marts(as_of)
+            finally:
+                self._clear()
+            if self.cluster:
+                for name, columns in CLUSTERED.items():
+                    self.table(name).optimize(columns, CLUSTERED_FILES, self.keep)
         names = ("events", "dim_users_scd2", "dim_products_scd2", "fact_orders", "fact_daily_sales", "fact_funnel", "fact_abandoned_carts", "dim_user_360")
         return {n: self.table(n) for n in names}
 

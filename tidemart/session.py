@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,6 +87,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs within go when it ends; else they stay until the driver happens to collect its garbage.
+
+    For steps that write: a frame that is collected twice would make its shuffles again.
+    """
+    before = spark.conf.get(DROP_SHUFFLES)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+
+
 _SCRATCH: dict[str, list[str]] = {}
 
 
