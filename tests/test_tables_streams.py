@@ -442,3 +442,23 @@ def test_a_refresh_leaves_no_shuffle_files(spark, sf_dir, monkeypatch):
     assert not left and spark.conf.get(session.DROP_SHUFFLES) == "false"
     counts = {name: table.read().count() for name, table in made.items()}
     assert len(counts) == 8 and counts["events"] == 25 and counts["dim_users_scd2"] == counts["dim_products_scd2"] == 5
+
+
+def test_both_deliveries_of_a_repeated_refresh_are_packed(spark, sf_dir, monkeypatch):
+    q, made = _own_shop(spark, monkeypatch)
+    both = made["events"].unionByName(events(spark, 4, 29 * 1440), allowMissingColumns=True)
+    monkeypatch.setattr(q.shop, "first_delivery", lambda *_: both)
+    seen = []
+
+    class Shown:
+        def read(self):
+            return spark.range(1)
+
+    def refreshed(spark, src, home, *_):
+        seen.append((_landed_files(src), landing.read_json_lines(spark, f"{src}/events", EVENT).count()))
+        return {"fact_daily_sales": Shown()}
+
+    monkeypatch.setattr(q, "refresh", refreshed)
+    q.QUERIES["refresh_twice"](spark, sf_dir)
+    assert [n for _, n in seen] == [25, 29]
+    assert all(f.endswith(".json.gz") for files, _ in seen for f in files), seen

@@ -843,13 +843,22 @@ def live_sessions(spark, sf_dir):
     return spark.read.parquet(out).where("user_id IS NULL OR user_id <> 'heartbeat'")
 
 
-def _landed(spark, sf_dir) -> str:
-    """Packed, as a refresh keeps its landing files beside all that it makes of them."""
-    src = scratch_path(spark, "landing")
+def _land(spark, sent, src: str) -> None:
+    """Event files, packed, as a refresh keeps its landing files beside all that it makes of them."""
+    with shuffles_dropped(spark):
+        landing.write_landing(sent, f"{src}/events", gzip=True)
+
+
+def _land_snapshots(spark, sf_dir, src: str) -> None:
     with shuffles_dropped(spark):
-        landing.write_landing(shop.first_delivery(spark, sf_dir).select(*EVENT.names), f"{src}/events", gzip=True)
         landing.write_snapshot(shop.user_snapshots(spark, sf_dir), f"{src}/users", gzip=True)
         landing.write_snapshot(shop.product_snapshots(spark, sf_dir), f"{src}/products", gzip=True)
+
+
+def _landed(spark, sf_dir) -> str:
+    src = scratch_path(spark, "landing")
+    _land(spark, shop.first_delivery(spark, sf_dir).select(*EVENT.names), src)
+    _land_snapshots(spark, sf_dir, src)
     return src
 
 
@@ -866,11 +875,10 @@ def refresh_twice(spark, sf_dir):
     src, home = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
     every = shop.first_delivery(spark, sf_dir).select(*EVENT.names)
     last = F.to_date("event_ts") == F.to_date(F.lit(LAST_DAY))
-    landing.write_snapshot(shop.user_snapshots(spark, sf_dir), f"{src}/users")
-    landing.write_snapshot(shop.product_snapshots(spark, sf_dir), f"{src}/products")
-    landing.write_landing(every.where(~last), f"{src}/events")
+    _land(spark, every.where(~last), src)
+    _land_snapshots(spark, sf_dir, src)
     refresh(spark, src, home, AS_OF, 720)
-    landing.write_landing(every.where(last), f"{src}/events")
+    _land(spark, every.where(last), src)
     return refresh(spark, src, home, AS_OF, 720)["fact_daily_sales"].read()
 
 
