@@ -143,3 +143,49 @@ def test_moving_windows_equal_full_counts(spark):
     for as_of in ("2024-01-15 00:00:00", "2024-01-12 13:30:00", "2024-02-20 00:00:00"):
         want = product_signals(events.read(), orders.read(), as_of)
         assert sorted(rolling.signals(as_of).select(*want.columns).collect()) == sorted(want.collect()), as_of
+
+
+def test_a_large_dimension_is_built_by_lots_of_keys(spark, monkeypatch):
+    """Each lot shuffles its own rows; nothing is visible before the last one is written and all have passed their rules."""
+    from tidemart.operators.history import versions
+    from tidemart.operators.quality import QualityGateError, Rule
+    from tidemart.sources import tables
+    from tidemart.sources.tables import VersionedTable
+    from tidemart.streaming import dimensions
+
+    rows = [(k, color, datetime(2024, 1, 1) + timedelta(hours=h)) for h in range(4) for k, color in (*zip("abcdefgh", "xxyyxyxy"), ("i", None), (None, "x"))]
+    rows += [("a", "z", datetime(2024, 1, 2)), ("a", "z", datetime(2024, 1, 2))]
+    given = spark.createDataFrame(rows, "k string, color string, updated_ts timestamp")
+    written, write = [], tables.checked_write
+    monkeypatch.setattr(tables, "checked_write", lambda df, *a, **o: written.append(write(df, *a, **o)) or written[-1])
+    monkeypatch.setattr(dimensions, "LOT_ROWS", 10, raising=False)
+    table = VersionedTable(spark, scratch_path(spark, "dim"))
+    dimensions.Dimension(spark, table, "k", ["color"]).merge(given)
+    want = versions(given, "k", ["color"])
+    assert len(written) == 1 + 4 and table.pointer()["rows"] == want.count() == sum(w[-1]["total"] for w in written[1:])  # 38 snapshots with a key
+    assert sorted(map(str, table.read().select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    refused = VersionedTable(spark, scratch_path(spark, "dim"))
+    with pytest.raises(QualityGateError):
+        dimensions.Dimension(spark, refused, "k", ["color"], [Rule("known", "k <> 'a'", "fail")]).merge(given)
+    assert not refused.exists()
+
+
+def test_tables_are_written_packed(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tidemart.sources import tables
+    from tidemart.streaming import ingest
+
+    home = scratch_path(spark, "packed")
+    frame = spark.createDataFrame([(i, i % 2) for i in range(100)], "id int, day int")
+    table = tables.VersionedTable(spark, f"{home}/t", ["day"])
+    table.publish(frame)
+    table.optimize(["id"], 2)
+    tables.append(frame, f"{home}/plain")
+    ingest.append_stream(spark.readStream.schema(frame.schema).parquet(f"{home}/plain"), f"{home}/bronze", f"{home}/c").awaitTermination()
+    for part in ("t/v=1/*", "t/v=2/*", "plain", "bronze"):
+        files = glob.glob(f"{home}/{part}/*.parquet")
+        held = [pq.ParquetFile(f).metadata for f in files]
+        assert files and all(m.row_group(0).column(0).compression == "ZSTD" for m in held if m.num_row_groups), part

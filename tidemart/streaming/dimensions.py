@@ -8,15 +8,19 @@ begun earlier, wherever the arrival falls.  A snapshot more never makes versions
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.events import keyed_rows
 from ..operators.history import versions
 from ..operators.quality import Rule
+from ..session import shuffles_dropped
 from ..sources.tables import VersionedTable
 
+LOT_ROWS = 40_000_000  # of the snapshots whose versions are built in one go
+
 
 class Dimension:
     """``table`` holds the versions; the snapshots lie at ``<path>_snapshots``."""
@@ -36,24 +40,45 @@ class Dimension:
         """
         if not self.snapshots.exists():
             self.snapshots.publish(keyed_rows(arrived, self.key), keep=2, notes={"batch": batch})
-            return self._number(self.snapshots.read(), arrived.columns, keep)
+            return self._built(arrived.columns, keep)
         pointer = self.snapshots.pointer()
         if batch is None or pointer["notes"].get("batch") != batch:
             version = self.snapshots.append(keyed_rows(arrived, self.key), keep=2, notes={"batch": batch})
         else:
             version = pointer["version"]
         if not self.table.exists():
-            return self._number(self.snapshots.read(), arrived.columns, keep)
+            return self._built(arrived.columns, keep)
         rows = self.snapshots.read_written(version)  # what arrived, as it was written
         if rows.isEmpty():
             return self.table.version()
         return self._number(self.snapshots.read_matching(rows, [self.key]), arrived.columns, keep, rows.select(self.key).distinct())
 
-    def _number(self, snapshots: DataFrame, columns: list[str], keep: int, keys: DataFrame | None = None) -> int:
+    def _built(self, columns: list[str], keep: int) -> int:
+        """The versions of all snapshots.
+
+        Whole rows are shuffled for them, which would take more disk than the tables themselves.  So large tables are built by lots of
+        keys: each reads the snapshots again, and shuffles its own.
+        """
+        snapshots = self.snapshots.read().select(*columns)
+        rows = self.snapshots.files().agg(F.sum("rows")).first()[0] or 0
+        n = -(-rows // LOT_ROWS)
+        self.table.keys = self.table.keys or [self.key]
+        if n < 2:
+            return self.table.publish(self._versions(snapshots), self.rules, keep=keep)
+        lot = F.pmod(F.xxhash64(self.key), F.lit(n))
+
+        def lots() -> Iterator[DataFrame]:
+            for i in range(n):
+                yield self._versions(snapshots.where(lot == i))
+
+        made = lots()
+        with shuffles_dropped(self.spark):
+            return self.table.publish(next(made), self.rules, keep=keep, more=made)
+
+    def _versions(self, snapshots: DataFrame) -> DataFrame:
+        return versions(snapshots, self.key, self.tracked, **self.options)
+
+    def _number(self, snapshots: DataFrame, columns: list[str], keep: int, keys: DataFrame) -> int:
         """The versions of all keys of ``snapshots``, which holds every snapshot of theirs, take the place of what these ``keys`` had."""
-        made = versions(snapshots.select(*columns), self.key, self.tracked, **self.options)
-        if not self.table.exists():
-            self.table.keys = self.table.keys or [self.key]
-            return self.table.publish(made, self.rules, keep=keep)
-        asked = snapshots.select(self.key).distinct() if keys is None else keys
-        return self.table.upsert(made, [self.key], rules=self.rules, keep=keep, settled=True, asked=asked)
+        return self.table.upsert(
+            self._versions(snapshots.select(*columns)), [self.key], rules=self.rules, keep=keep, settled=True, asked=keys)
