@@ -60,8 +60,10 @@ def _parsed_for_rescue(lines: DataFrame, schema: T.StructType, line: str, known:
         (F.cardinality(keys) > 0) & (F.cardinality(F.array_except(keys, known)) == 0)
         & (F.cardinality(F.array_distinct(keys)) == F.cardinality(keys)))
     clean = F.coalesce(F.col(f"_json.typed.{CORRUPT}").isNull() & plain, F.lit(False))
-    judged = once.select(*lines.columns, F.col("_json.typed").alias("_typed"), clean.alias("_clean"))
-    null = F.array_compact(F.array(*[F.when(F.col(f"_typed.{f.name}").isNull(), F.lit(f.name)) for f in schema]))
+    judged = once.select(*lines.columns, "_json", F.col("_json.typed").alias("_typed"), clean.alias("_clean"))
+    # Asked of _json, which goes no further: a column made of the very fields that are named next would double what Spark infers
+    # for a later filter with each of them.
+    null = F.array_compact(F.array(*[F.when(F.col(f"_json.typed.{f.name}").isNull(), F.lit(f.name)) for f in schema]))
     return judged.select(
         *lines.columns, "_typed", "_clean", F.when(~F.col("_clean"), F.from_json(F.col(line), TEXT_MAP)).alias("_raw"),
         F.when(~F.col("_clean"), null).alias("_null"))
